@@ -50,17 +50,19 @@ class LogisticTrainer(_Trainer):
 
     C = _param("C", TypeConverters.toFloat)
     maxIter = _param("maxIter", TypeConverters.toInt)
+    tol = _param("tol", TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, C=1.0, maxIter=1000, weightCol=""):
+    def __init__(self, C=1.0, maxIter=1000, tol=1e-4, weightCol=""):
         super().__init__()
-        self._set(C=C, maxIter=maxIter, weightCol=weightCol)
+        self._set(C=C, maxIter=maxIter, tol=tol, weightCol=weightCol)
 
     def _fit(self, dataset):
         weight = F.col(self._weight()) if self._weight() else F.lit(1.0)
         total = dataset.agg(F.sum(weight)).first()[0]
         trainer = LogisticRegression(
             maxIter=self.getOrDefault("maxIter"),
+            tol=self.getOrDefault("tol"),
             regParam=1.0 / (self.getOrDefault("C") * total),
             elasticNetParam=0.0,
             standardization=False,
