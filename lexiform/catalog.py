@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiform.cluster import fresh_path
+from lexiform.cluster import fresh_path, spread
 from lexiform.functions import text as words
 from lexiform.functions import vectors
 from lexiform.functions.stop_words import ENGLISH
@@ -40,10 +40,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents, over as many tasks as there are cores."""
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+
+
 def labelled(spark: SparkSession, sf: str, target: str = "quality") -> DataFrame:
     """Labelled documents: doc_id, text, target."""
     codes = table(spark, sf, "labels").select("doc_id", F.col(target).alias("target"))
-    return table(spark, sf, "documents").select("doc_id", "text").join(codes, "doc_id")
+    return documents_of(spark, sf).join(codes, "doc_id")
 
 
 def vector_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,25 +205,25 @@ def assemble_features(spark, sf):
 
 @query
 def tokenize_words(spark, sf):
-    tokens = table(spark, sf, "documents").select("doc_id", words.tokenize_words("text").alias("t"))
+    tokens = documents_of(spark, sf).select("doc_id", words.tokenize_words("text").alias("t"))
     return tokens.select("doc_id", F.concat_ws(" ", "t").alias("tokens"), F.size("t").alias("n"))
 
 
 @query
 def tokenize_whitespace(spark, sf):
-    documents = table(spark, sf, "documents")
+    documents = documents_of(spark, sf)
     tokens = documents.select("doc_id", words.tokenize_whitespace("text").alias("t"))
     return tokens.select("doc_id", F.concat_ws(" ", "t").alias("tokens"), F.size("t").alias("n"))
 
 
 @query
 def strip_accents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", words.strip_accents("text").alias("text"))
+    return documents_of(spark, sf).select("doc_id", words.strip_accents("text").alias("text"))
 
 
 @query
 def remove_stop_words(spark, sf):
-    tokens = table(spark, sf, "documents").select("doc_id", words.tokenize_words("text").alias("t"))
+    tokens = documents_of(spark, sf).select("doc_id", words.tokenize_words("text").alias("t"))
     kept = tokens.select("doc_id", words.remove_stop_words("t", ENGLISH).alias("t"))
     return kept.select("doc_id", F.concat_ws(" ", "t").alias("tokens"), F.size("t").alias("n"))
 
@@ -304,7 +309,7 @@ def label_predictions(spark, sf):
 
 
 def document_vocabulary(spark, sf) -> DataFrame:
-    documents = table(spark, sf, "documents")
+    documents = documents_of(spark, sf)
     statistics = vectorize.term_statistics(documents, words.tokenize_words("text"))
     return vectorize.vocabulary(statistics, documents.count(), min_df=2, max_df=0.8)
 
@@ -325,7 +330,7 @@ def idf(spark, sf):
 
 
 def term_features(spark, sf, **settings) -> DataFrame:
-    documents = table(spark, sf, "documents").select("doc_id", "text")
+    documents = documents_of(spark, sf)
     fitted = TermFeatures(minDF=2, maxDF=0.8, **settings).fit(documents)
     terms = next(s for s in fitted.stages if hasattr(s, "vocabulary")).vocabulary
     return vectorize.long_form(fitted.transform(documents), terms)
@@ -356,20 +361,20 @@ def _embedded(made: DataFrame, *extra: str) -> DataFrame:
 
 @query
 def embed_text(spark, sf):
-    return _embedded(embed.embed_text(table(spark, sf, "documents").select("doc_id", "text")))
+    return _embedded(embed.embed_text(documents_of(spark, sf)))
 
 
 @query
 def embed_text_batched(spark, sf):
-    documents = table(spark, sf, "documents").select("doc_id", "text")
+    documents = documents_of(spark, sf)
     return _embedded(embed.embed_text_batched(documents, size=64), "embed_ok")
 
 
 def hashed_word_vectors(spark, sf) -> DataFrame:
     """A vector of eight numbers for every word that occurs twice, from its md5."""
-    documents = table(spark, sf, "documents")
-    tokens = documents.select(F.explode(words.tokenize_whitespace("text")).alias("word"))
-    known = tokens.groupBy("word").count().filter("count >= 2")
+    documents = documents_of(spark, sf)
+    tokens = documents.select(F.explode_outer(words.tokenize_whitespace("text")).alias("word"))
+    known = tokens.filter("word is not null").groupBy("word").count().filter("count >= 2")
     digits = [F.conv(F.substring(F.md5("word"), 4 * i + 1, 4), 16, 10) for i in range(8)]
     return known.select(
         "word", F.array(*[d.cast("double") / 65535.0 - 0.5 for d in digits]).alias("vector")
@@ -378,7 +383,7 @@ def hashed_word_vectors(spark, sf) -> DataFrame:
 
 @query
 def mean_pool(spark, sf):
-    documents = table(spark, sf, "documents")
+    documents = documents_of(spark, sf)
     bags = documents.select("doc_id", words.tokenize_whitespace("text").alias("tokens"))
     pooled = pooling.mean_pool(bags, hashed_word_vectors(spark, sf), 8)
     wide = columns.expand_vector(pooled, "embedding", 8)
@@ -627,7 +632,8 @@ def gbt_classifier(spark, sf):
 
 @query
 def gbt_regressor(spark, sf):
-    rows = table(spark, sf, "lineitem").withColumnRenamed("l_extendedprice", "label")
+    rows = spread(table(spark, sf, "lineitem"), "l_orderkey")
+    rows = rows.withColumnRenamed("l_extendedprice", "label")
     made = columns.assemble_features(rows, ["l_quantity", "l_discount", "l_tax"])
     made = made.select("features", "label").persist()
     trees = make_model("gbt_regressor", n_estimators=5, max_depth=4).fit(made)
@@ -644,14 +650,14 @@ def gbt_regressor(spark, sf):
 @query
 def word2vec_fit(spark, sf):
     model = pooling.word2vec_fit(
-        table(spark, sf, "documents"), vector_size=16, min_count=5, epochs=1
+        documents_of(spark, sf), vector_size=16, min_count=5, epochs=1
     )
     return long_vector(pooling.word_vectors(model), "word", F.col("vector"))
 
 
 @query
 def word2vec_embed(spark, sf):
-    documents = table(spark, sf, "documents")
+    documents = documents_of(spark, sf)
     model = pooling.word2vec_fit(documents, vector_size=16, min_count=5, epochs=1)
     return pooling.word2vec_embed(documents, model)
 
@@ -659,7 +665,7 @@ def word2vec_embed(spark, sf):
 @query
 def score_text(spark, sf):
     fitted = runs.classification_run(labelled(spark, sf), **WEIGHED).fitted
-    made = runs.score_text(fitted, table(spark, sf, "documents").select("doc_id", "text"))
+    made = runs.score_text(fitted, documents_of(spark, sf))
     top = F.round(F.array_max(vector_to_array("probability")), 6)
     return made.select("doc_id", "prediction", "prediction_name", top.alias("confidence"))
 
@@ -667,7 +673,7 @@ def score_text(spark, sf):
 @query
 def score_stream_run(spark, sf):
     fitted = runs.classification_run(labelled(spark, sf), **WEIGHED).fitted
-    documents = table(spark, sf, "documents").select("doc_id", "text")
+    documents = documents_of(spark, sf)
     incoming = fresh_path(spark, "incoming")
     documents.write.parquet(incoming)
     texts = spark.readStream.schema(documents.schema).parquet(incoming)
@@ -683,7 +689,7 @@ def experiment_suite(spark, sf):
         {"description": "weights, logistic regression", "use_class_weights": True, **WEIGHED},
         {"extractor": "no such extractor", "description": "a failure"},
     ]
-    made = runs.experiment_suite(spark, configs, labelled(spark, sf))
+    made = runs.experiment_suite(spark, configs, labelled(spark, sf), parallel=2)
     return runs.experiment_outcomes(made)
 
 

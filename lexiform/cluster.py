@@ -8,8 +8,11 @@ import uuid
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # A table of at most this many rows may be held by the driver and broadcast.
 DIMENSION_ROWS = 100_000
@@ -39,6 +42,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(scan: DataFrame, identifier: str) -> DataFrame:
+    """Give a scan of few large files a partition per core; others stay as they are.
+
+    For plain scans only: asking for the number of partitions would run the
+    shuffles of anything else.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, identifier)
+
+
 def settled(df: DataFrame, max_rows: int = DIMENSION_ROWS) -> tuple[DataFrame, bool]:
     """Evaluate a table once: a local relation if small, else a checkpoint.
 
@@ -46,10 +61,16 @@ def settled(df: DataFrame, max_rows: int = DIMENSION_ROWS) -> tuple[DataFrame, b
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema), True
+        return local_table(df.sparkSession, rows, df.schema), True
     return checkpointed(df), False
 
 
+def local_table(spark: SparkSession, rows: list[Row], schema: StructType) -> DataFrame:
+    """Rows held by the driver as a local relation, whose size the optimiser knows."""
+    held = [row.asDict(recursive=True) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(held, to_arrow_schema(schema)), schema)
+
+
 def join_dimension(
     facts: DataFrame,
     dimension: DataFrame,

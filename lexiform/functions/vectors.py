@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +20,17 @@ def as_array(df: DataFrame, column: str) -> Column:
     return vector_to_array(F.col(column))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with the value computed once per row and not once per element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def l2_normalize(vector: Column | str) -> Column:
     """The vector scaled to unit length; the zero vector stays as it is."""
     vector = F.col(vector) if isinstance(vector, str) else vector
     norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.when(norm > 0, F.transform(vector, lambda x: x / norm)).otherwise(vector)
+    scaled = bound(norm, lambda n: F.transform(vector, lambda x: x / F.nullif(n, F.lit(0.0))))
+    return F.when(norm > 0, scaled).otherwise(vector)
 
 
 def minkowski_distance(left: Column | str, right: Column | str, p: float = 2) -> Column:
@@ -42,9 +50,13 @@ def minkowski_distance(left: Column | str, right: Column | str, p: float = 2) ->
 def softmax(logits: Column | str) -> Column:
     """Logits as probabilities, shifted by the maximum against overflow."""
     logits = F.col(logits) if isinstance(logits, str) else logits
-    powers = F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
-    total = F.aggregate(powers, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(powers, lambda x: x / total)
+
+    def shares(powers):
+        total = F.aggregate(powers, F.lit(0.0), lambda acc, x: acc + x)
+        return bound(total, lambda t: F.transform(powers, lambda x: x / t))
+
+    powers = bound(F.array_max(logits), lambda top: F.transform(logits, lambda x: F.exp(x - top)))
+    return bound(powers, shares)
 
 
 def argmax(scores: Column | str) -> Column:

@@ -67,7 +67,8 @@ def embed_text(
         for batch in batches:
             yield pd.Series(list(np.asarray(encoder(batch.tolist()), dtype=float)))
 
-    return df.withColumn(output, encode(text_or_empty(text)))
+    # Not to be repeated by the optimiser, which duplicates deterministic functions.
+    return df.withColumn(output, encode.asNondeterministic()(text_or_empty(text)))
 
 
 def embed_text_batched(
@@ -107,7 +108,7 @@ def embed_text_batched(
                 fine.extend([ok] * len(texts))
             yield pd.DataFrame({"embedding": vectors, "embed_ok": fine})
 
-    encoded = df.withColumn("_encoded", encode(text_or_empty(text)))
+    encoded = df.withColumn("_encoded", encode.asNondeterministic()(text_or_empty(text)))
     return encoded.select(
         *[c for c in df.columns if c not in (output, "embed_ok")],
         F.col("_encoded.embedding").alias(output),

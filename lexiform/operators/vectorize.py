@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,11 +23,16 @@ def term_statistics(
     """Corpus and document frequency of every term: term, tf, df.
 
     Both come out of one pass: each row is exploded once as it is and once
-    without repeats, and counted inside the task before the shuffle.
+    without repeats, and counted inside the task before the shuffle. The outer
+    explode keeps the optimiser from tokenising every text once more to drop
+    empty ones beforehand.
     """
     bags = df.select(F.col(tokens).alias("_t") if isinstance(tokens, str) else tokens.alias("_t"))
-    both = bags.select(F.posexplode(F.array("_t", F.array_distinct("_t"))).alias("_unique", "_bag"))
-    terms = both.select("_unique", F.explode("_bag").alias("term"))
+    both = bags.select(
+        F.posexplode_outer(F.array("_t", F.array_distinct("_t"))).alias("_unique", "_bag")
+    )
+    terms = both.select("_unique", F.explode_outer("_bag").alias("term"))
+    terms = terms.filter(F.col("term").isNotNull())
     if stop_words:
         terms = terms.filter(~F.col("term").isin(list(stop_words)))
     return terms.groupBy("term").agg(
@@ -89,9 +95,10 @@ def long_form(
     The terms are bounded by ``max_features``, so the lookup is broadcast.
     """
     lookup = df.sparkSession.createDataFrame(
-        list(enumerate(terms)), "index int, term string"
+        pa.table({"index": pa.array(range(len(terms)), pa.int32()), "term": list(terms)})
     )
-    entries = df.select(identifier, F.explode(sparse_entries(features)).alias("_e")).select(
+    exploded = df.select(identifier, F.explode_outer(sparse_entries(features)).alias("_e"))
+    entries = exploded.filter(F.col("_e").isNotNull()).select(
         identifier, F.col("_e.index").alias("index"), F.col("_e.value").alias(value)
     )
     return entries.join(F.broadcast(lookup), "index").select(identifier, "term", value)

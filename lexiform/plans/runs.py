@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiform import sources
-from lexiform.cluster import join_dimension
+from lexiform.cluster import join_dimension, local_table
 from lexiform.functions.vectors import decide_class
 from lexiform.operators.metrics import classification_report, confusion_matrix, f1_scores
 from lexiform.operators.profile import class_name, feature_info, ranked_codes
@@ -149,9 +149,8 @@ def classification_run(
         codes = codes.withColumn("target_name", class_name())
     else:
         codes = codes.join(names, "target", "left")
-    spark = train.sparkSession
     rows = codes.orderBy("label").collect()
-    classes = spark.createDataFrame(rows, codes.schema)
+    classes = local_table(train.sparkSession, rows, codes.schema)
     training = join_dimension(train, classes.select("target", "label"), "target", "inner")
     training = training.withColumn("label", F.col("label").cast("double"))
     weight = ""

@@ -36,7 +36,7 @@ from lexiform.functions.text import (
     tokenize_whitespace,
     tokenize_words,
 )
-from lexiform.functions.vectors import as_array
+from lexiform.functions.vectors import as_array, bound
 from lexiform.operators.columns import chosen_columns
 from lexiform.operators.embed import embed_text, embed_text_batched
 from lexiform.operators.scale import feature_moments, standardized
@@ -127,7 +127,8 @@ class MeanOverKnownWords(Transformer, HasInputCol, HasOutputCol, _Saved):
         counts = F.unwrap_udt(COUNTS)["values"]
         known = F.aggregate(counts, F.lit(0.0), lambda acc, x: acc + x)
         factor = F.size(TOKENS) / F.greatest(known, F.lit(1.0))
-        mean = F.transform(vector_to_array(self.getInputCol()), lambda x: x * factor)
+        pooled = vector_to_array(self.getInputCol())
+        mean = bound(factor, lambda f: F.transform(pooled, lambda x: x * f))
         return dataset.withColumn(self.getOutputCol(), array_to_vector(mean))
 
 
