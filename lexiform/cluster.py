@@ -65,6 +65,12 @@ def settled(df: DataFrame, max_rows: int = DIMENSION_ROWS) -> tuple[DataFrame, b
     return checkpointed(df), False
 
 
+def sized(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """Like settled, for tables too large to pass through the driver."""
+    table = checkpointed(df)
+    return table, table.count() <= max_rows
+
+
 def local_table(spark: SparkSession, rows: list[Row], schema: StructType) -> DataFrame:
     """Rows held by the driver as a local relation, whose size the optimiser knows."""
     held = [row.asDict(recursive=True) for row in rows]

@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiform.cluster import settled
+from lexiform.cluster import sized
 from lexiform.functions.text import tokenize_whitespace
 
 # A word-vector table of at most this many numbers is broadcast.
@@ -63,7 +63,7 @@ def mean_pool(
     frequent word costs one row per document, and adaptive execution splits
     what is still skewed.
     """
-    side, small = settled(vectors.select("word", "vector"), max(1, BROADCAST_NUMBERS // size))
+    side, small = sized(vectors.select("word", "vector"), max(1, BROADCAST_NUMBERS // size))
     words = df.select(identifier, F.explode_outer(tokens).alias("word"))
     if small:
         joined = words.withColumn("_n", F.lit(1)).join(F.broadcast(side), "word", "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import time
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -27,6 +28,9 @@ from lexiform.plans.stages import Projection, TermFeatures, TextEncoder, WordVec
 
 VERSION = "1"
 
+# Trainers pass over their rows many times; a task should hold at least so many.
+ROWS_PER_TASK = 5_000
+
 
 def make_extractor(kind: str, **params):
     """A text feature extractor by name."""
@@ -162,7 +166,8 @@ def classification_run(
     fitted_features = features.fit(training) if hasattr(features, "fit") else features
     prepared = fitted_features.transform(training).persist()
     trainer = make_model(model, len(rows), weight, identifier, **(model_params or {}))
-    fitted_model = trainer.fit(prepared)
+    tasks = math.ceil(prepared.count() / ROWS_PER_TASK)
+    fitted_model = trainer.fit(prepared.coalesce(max(1, tasks)))
     training_time = time.time() - started
     fitted = FittedRun(
         PipelineModel([fitted_features, fitted_model]),

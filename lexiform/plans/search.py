@@ -217,7 +217,7 @@ def run_trials(
         except Exception as problem:
             record = (*head, None, time.time() - started, str(problem), "failed")
         one = spark.createDataFrame([record], f"{TRIAL_SCHEMA}, status string")
-        save_trials(one.coalesce(1), path)
+        save_trials(one.coalesce(1), path, f"trial-{index}")
 
     in_threads(spark, run, trials.orderBy("trial_index").collect(), parallel)
     if statistics is not None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,9 +38,14 @@ def kept_results(results: dict) -> dict[str, str]:
     return kept
 
 
-def save_trials(records: DataFrame, path: str) -> None:
-    """Append trial records, one folder per status."""
-    records.write.mode("append").partitionBy("status").json(path)
+def save_trials(records: DataFrame, path: str, batch: str | None = None) -> None:
+    """Add trial records, one folder per batch and status.
+
+    Every batch has its own folder, so that concurrent writers do not commit
+    each other's files.
+    """
+    folder = f"{path}/batch={batch or uuid.uuid4().hex}"
+    records.write.mode("overwrite").partitionBy("status").json(folder)
 
 
 def read_trials(spark: SparkSession, path: str) -> DataFrame:
