@@ -22,7 +22,9 @@ from pyspark.ml.util import (
     DefaultParamsReader,
     DefaultParamsWritable,
     DefaultParamsWriter,
+    MLReadable,
     MLReader,
+    MLWritable,
     MLWriter,
 )
 from pyspark.sql import functions as F
@@ -223,7 +225,7 @@ class _NeighbourReader(MLReader):
         return model
 
 
-class NeighbourModel(Model):
+class NeighbourModel(Model, MLReadable, MLWritable):
     """The training rows and how they vote. Needs a row id; batch only."""
 
     n_neighbors = NeighbourTrainer.n_neighbors
@@ -244,17 +246,10 @@ class NeighbourModel(Model):
     def write(self):
         return _NeighbourWriter(self)
 
-    def save(self, path):
-        self.write().save(path)
-
     @classmethod
     def read(cls):
         return _NeighbourReader()
 
-    @classmethod
-    def load(cls, path):
-        return cls.read().load(path)
-
     def _transform(self, dataset):
         get = self.getOrDefault
         key, codes = get("identifier"), get("classes")
