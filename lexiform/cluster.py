@@ -99,7 +99,7 @@ def block_pairs(
     left_id: str,
     right_id: str,
     reduce_pair: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
-    schema: str,
+    schema: str | StructType,
     block_rows: int,
     counts: tuple[int, int] | None = None,
 ) -> DataFrame:

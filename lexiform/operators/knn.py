@@ -119,7 +119,11 @@ def k_nearest(
             if kept is not None:
                 yield kept
 
-        candidates = known.mapInPandas(scan, schema)
+        # Each task may send k rows per query, so tasks are limited such that all
+        # of them together send no more rows than there are training rows.
+        cores = asked.sparkSession.sparkContext.defaultParallelism
+        tasks = max(2 * cores, known.count() // max(1, k * n_queries))
+        candidates = known.coalesce(tasks).mapInPandas(scan, schema)
     else:
 
         def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

@@ -7,13 +7,15 @@ of doubles). An objective is a pair (metric name, minimise).
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiform.cluster import block_pairs, checkpointed, join_dimension
+from lexiform.cluster import block_pairs, checkpointed, join_dimension, settled
 
 Objective = tuple[str, bool]
 
@@ -187,9 +189,10 @@ def pareto_frontier(
 
     ``strict``: to dominate is to be better on every objective both have, so
     ties do not dominate. ``weak``: no worse on all and better on one. Each task
-    first drops what its own trials dominate; the few candidates left are then
-    compared with each other, broadcast if their counted number allows and in
-    bounded blocks if not.
+    reduces its trials to the distinct points they do not dominate themselves;
+    the few points left are then compared with each other, broadcast if their
+    counted number allows and in bounded blocks if not. The trials of the
+    remaining points are looked up at the end, so any number of them may tie.
     """
     if mode not in ("strict", "weak"):
         raise ValueError("mode must be strict or weak")
@@ -197,10 +200,12 @@ def pareto_frontier(
     names = [name for name, _ in objectives]
     signs = np.array([-1.0 if minimize else 1.0 for _, minimize in objectives])
     values = completed(trials).select(
-        "trial_index", *[metric_value(name).alias(name) for name in names]
+        "trial_index",
+        *[F.nanvl(metric_value(name), F.lit(None).cast("double")).alias(name) for name in names],
     )
-    schema = values.schema
     values = values.filter(F.coalesce(*names).isNotNull())
+    points = values.select(*names)
+    schema = points.schema
 
     def scores(frame: pd.DataFrame) -> np.ndarray:
         return frame[names].to_numpy(dtype=float) * signs
@@ -209,19 +214,27 @@ def pareto_frontier(
         kept = None
         for batch in batches:
             kept = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
+            kept = kept.drop_duplicates(ignore_index=True)
             kept = kept[_local_frontier(scores(kept), weak)]
         if kept is not None:
             yield kept
 
-    candidates = checkpointed(values.mapInPandas(local, schema))
-    count, parts = candidates.count(), candidates.rdd.getNumPartitions()
+    def reduced(some: DataFrame) -> tuple[DataFrame, int]:
+        made = checkpointed(some.mapInPandas(local, schema).distinct())
+        return made, made.count()
+
+    candidates, count = reduced(points)
+    parts = candidates.sparkSession.sparkContext.defaultParallelism
     while count > BROADCAST_CANDIDATES and parts > 1:
-        parts = max(1, parts // 16)
-        merged = checkpointed(candidates.repartition(parts).mapInPandas(local, schema))
-        fewer = merged.count()
+        parts = max(1, parts // 4)
+        merged, fewer = reduced(candidates.repartition(parts))
         if fewer > 0.9 * count:
             break
         candidates, count = merged, fewer
+
+    def same(left: DataFrame, right: DataFrame) -> Column:
+        return reduce(and_, [left[name].eqNullSafe(right[name]) for name in names])
+
     if count <= BROADCAST_CANDIDATES:
         rivals = candidates.sparkSession.sparkContext.broadcast(scores(candidates.toPandas()))
 
@@ -229,18 +242,22 @@ def pareto_frontier(
             for batch in batches:
                 yield batch[~_beaten(scores(batch), rivals.value, weak)]
 
-        return candidates.mapInPandas(survivors, schema)
-
-    def lost(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return left[["trial_index"]].iloc[:0]
-        return left[_beaten(scores(left), scores(right), weak)][["trial_index"]]
-
-    dominated = block_pairs(
-        candidates, candidates, "trial_index", "trial_index", lost, "trial_index bigint",
-        BROADCAST_CANDIDATES, (count, count),
-    )
-    return candidates.join(dominated.distinct(), "trial_index", "left_anti")
+        best = candidates.mapInPandas(survivors, schema)
+    else:
+
+        def lost(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            if not len(left) or not len(right):
+                return left[names].iloc[:0]
+            return left[_beaten(scores(left), scores(right), weak)][names]
+
+        keyed = candidates.withColumn("_point", F.xxhash64(*names))
+        dominated = block_pairs(
+            keyed, keyed, "_point", "_point", lost, schema, BROADCAST_CANDIDATES, (count, count)
+        ).distinct()
+        best = candidates.join(dominated, same(candidates, dominated), "left_anti")
+    best, small = settled(best.select([F.col(name).alias(f"_{name}") for name in names]))
+    matched = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in names])
+    return values.join(F.broadcast(best) if small else best, matched, "left_semi")
 
 
 def recommend_configs(

@@ -164,7 +164,8 @@ def classification_run(
     if statistics is not None and isinstance(features, TermFeatures):
         features.statistics = statistics
     fitted_features = features.fit(training) if hasattr(features, "fit") else features
-    prepared = fitted_features.transform(training).persist()
+    columns = [identifier, "features", "label", *([weight] if weight else [])]
+    prepared = fitted_features.transform(training).select(*columns).persist()
     trainer = make_model(model, len(rows), weight, identifier, **(model_params or {}))
     tasks = math.ceil(prepared.count() / ROWS_PER_TASK)
     fitted_model = trainer.fit(prepared.coalesce(max(1, tasks)))

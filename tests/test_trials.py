@@ -67,6 +67,19 @@ def test_frontier_against_brute_force(spark, monkeypatch, mode, candidates):
         assert found == expected
 
 
+def test_many_copies_of_the_best(spark):
+    rows = spark.range(60_000).select(
+        F.col("id").alias("trial_index"), F.lit("completed").alias("status"),
+        F.create_map().cast("map<string,string>").alias("params"),
+        F.create_map(
+            F.lit("accuracy"), F.when(F.col("id") % 3 == 0, 1.0).otherwise(F.col("id") / 1e6),
+            F.lit("training_time"), F.when(F.col("id") % 3 == 0, 1.0).otherwise(2.0 + F.col("id")),
+        ).alias("metrics"),
+    )
+    found = trials.pareto_frontier(rows, OBJECTIVES)
+    assert found.count() == 20_000 and found.filter("trial_index % 3 != 0").isEmpty()
+
+
 def test_convergence_carries_over_gaps(spark, monkeypatch):
     table = history(spark, [{"accuracy": 0.5}, {}, {"val_accuracy": 0.7}, {"accuracy": 0.6}])
     for bucket in (65_536, 2):
