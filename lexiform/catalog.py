@@ -19,7 +19,7 @@ from lexiform.plans.models import make_model
 from lexiform.plans.stages import TermFeatures
 from lexiform.sources import corpus, load, tables, trials_store
 from lexiform.sources.delimited import save_delimited
-from lexiform.streaming.score import score_stream
+from lexiform.streaming import score
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -671,14 +671,14 @@ def score_text(spark, sf):
 
 
 @query
-def score_stream_run(spark, sf):
+def score_stream(spark, sf):
     fitted = runs.classification_run(labelled(spark, sf), **WEIGHED).fitted
     documents = documents_of(spark, sf)
     incoming = fresh_path(spark, "incoming")
     documents.write.parquet(incoming)
     texts = spark.readStream.schema(documents.schema).parquet(incoming)
     output = fresh_path(spark, "scored")
-    score_stream(fitted, texts, output, fresh_path(spark, "progress")).awaitTermination()
+    score.score_stream(fitted, texts, output, fresh_path(spark, "progress")).awaitTermination()
     return spark.read.parquet(output).select("doc_id", "prediction", "prediction_name")
 
 

@@ -234,16 +234,17 @@ ORACLES["tfidf_sublinear"] = weighed_terms(
     TERM_COUNTS.replace("lower(text)", "lower(strip_accents(text))"), "(1 + ln(tf))"
 )
 
-HASHED = f"""
-SELECT doc_id, dim, round(s / sqrt(sum(s * s) OVER (PARTITION BY doc_id)), 6) AS value
-FROM (
+HASHED_SUMS = f"""
     SELECT doc_id, CAST(CAST('0x' || substring(h, 1, 8) AS BIGINT) % 64 AS INTEGER) AS dim,
         CAST(sum(CASE WHEN CAST('0x' || substring(h, 9, 1) AS BIGINT) % 2 = 1 THEN 1 ELSE -1 END)
             AS DOUBLE) AS s
     FROM (SELECT doc_id, md5(term) AS h
           FROM (SELECT doc_id, unnest({WORDS}) AS term FROM documents) t) m
-    GROUP BY 1, 2
-) x WHERE s <> 0"""
+    GROUP BY 1, 2"""
+
+HASHED = f"""
+SELECT doc_id, dim, round(s / sqrt(sum(s * s) OVER (PARTITION BY doc_id)), 6) AS value
+FROM ({HASHED_SUMS}) x WHERE s <> 0"""
 
 ORACLES["embed_text"] = HASHED
 ORACLES["embed_text_batched"] = (
@@ -367,6 +368,41 @@ ORACLES["probability_columns"] = (
     + f" FROM ({NEAR}) n GROUP BY query_id"
 )
 
+DENSE = f"""
+SELECT p.doc_id, p.target, list(coalesce(h.value, 0) ORDER BY p.dim) AS v
+FROM (SELECT doc_id, target, CAST(unnest(range(0, 64)) AS INTEGER) AS dim FROM ({QUALITY}) q) p
+LEFT JOIN (
+    SELECT doc_id, dim, s / sqrt(sum(s * s) OVER (PARTITION BY doc_id)) AS value
+    FROM ({HASHED_SUMS}) x WHERE s <> 0
+) h ON h.doc_id = p.doc_id AND h.dim = p.dim
+GROUP BY p.doc_id, p.target"""
+
+ORACLES["knn_classifier"] = f"""
+WITH rows AS MATERIALIZED ({split_rows(DENSE, 'doc_id', kept='v')}),
+near AS (
+    SELECT query_id, truth, label, distance FROM (
+        SELECT q.doc_id AS query_id, q.target AS truth, t.target AS label,
+            round(list_distance(q.v, t.v), 9) AS distance,
+            row_number() OVER (
+                PARTITION BY q.doc_id ORDER BY round(list_distance(q.v, t.v), 9), t.doc_id) AS rank
+        FROM rows q JOIN rows t ON q.split = 'test' AND t.split = 'train'
+    ) r WHERE rank <= 5
+),
+weighed AS (
+    SELECT query_id, truth, label, CASE WHEN min(distance) OVER (PARTITION BY query_id) = 0
+        THEN CAST(distance = 0 AS DOUBLE) ELSE 1 / distance END AS w
+    FROM near
+),
+votes AS (SELECT query_id, truth, label, sum(w) AS w FROM weighed GROUP BY 1, 2, 3),
+best AS (
+    SELECT query_id, truth, label, w / sum(w) OVER (PARTITION BY query_id) AS share,
+        row_number() OVER (PARTITION BY query_id ORDER BY round(w, 9) DESC, label) AS place
+    FROM votes
+)
+SELECT query_id AS doc_id, truth AS target, label AS prediction,
+    'class_' || CAST(label AS VARCHAR) AS prediction_name, round(share, 6) AS confidence
+FROM best WHERE place = 1"""
+
 JUDGED = f"""
 SELECT v.label AS y_true, p.prediction AS y_pred
 FROM ({PREDICT}) p JOIN embeddings v ON v.vec_id = p.query_id"""
