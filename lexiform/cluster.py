@@ -21,9 +21,11 @@ DIMENSION_ROWS = 100_000
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by spark.checkpoint.dir."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if named:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(named)
         return named.rstrip("/")
-    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")

@@ -29,37 +29,65 @@ def matrix(vectors: Sequence) -> np.ndarray:
     return np.array([np.asarray(v, dtype=float) for v in vectors])
 
 
-def distances(queries: np.ndarray, rows: np.ndarray, p: float) -> np.ndarray:
-    """Minkowski distance of every query to every row."""
-    out = np.empty((len(queries), len(rows)))
-    step = max(1, WORKING_NUMBERS // max(1, rows.size))
-    for start in range(0, len(queries), step):
-        gap = np.abs(queries[start : start + step, None, :] - rows[None, :, :])
-        if p == 1:
-            out[start : start + step] = gap.sum(axis=2)
-        elif p == 2:
-            out[start : start + step] = np.sqrt(np.einsum("qrd,qrd->qr", gap, gap))
-        else:
-            out[start : start + step] = (gap**p).sum(axis=2) ** (1.0 / p)
+def distances(left: np.ndarray, right: np.ndarray, p: float) -> np.ndarray:
+    """Minkowski distance of the rows of one matrix to the rows of another, in step."""
+    out = np.empty(len(left))
+    step = max(1, WORKING_NUMBERS // max(1, left.shape[1]))
+    for start in range(0, len(left), step):
+        gap = np.abs(left[start : start + step] - right[start : start + step])
+        total = gap.sum(axis=1) if p == 1 else (gap**p).sum(axis=1)
+        out[start : start + step] = total if p == 1 else total ** (1.0 / p)
     return out
 
 
+def near_pairs(points: np.ndarray, rows: np.ndarray, k: int, p: float):
+    """Pairs (point, row) that are sure to hold each point's k nearest rows.
+
+    Euclidean distances are first estimated by a matrix product; only pairs
+    that could be among the k nearest, given its rounding error, remain.
+    """
+    if p != 2 or len(rows) <= k:
+        return np.repeat(np.arange(len(points)), len(rows)), np.tile(np.arange(len(rows)), len(points))
+    lengths, spans = (points**2).sum(axis=1)[:, None], (rows**2).sum(axis=1)[None, :]
+    rough = lengths + spans - 2.0 * (points @ rows.T)
+    slack = 8 * (points.shape[1] + 8) * np.finfo(float).eps * (lengths + spans.max())
+    kth = np.partition(rough, k - 1, axis=1)[:, k - 1 : k]
+    limit = (np.sqrt(np.maximum(kth, 0.0) + slack) + 2e-9) ** 2 + slack
+    return np.nonzero(rough <= limit)
+
+
 def nearest(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, labels: np.ndarray,
     rows: np.ndarray, k: int, p: float,
 ) -> pd.DataFrame:
     """The k nearest rows of each query, ties by id."""
-    gap = np.round(distances(queries, rows, p), 9)
-    order = np.lexsort((np.broadcast_to(ids, gap.shape), gap))[:, :k]
-    at = np.arange(len(queries))[:, None]
-    return pd.DataFrame(
-        {
-            "query_id": np.repeat(query_ids, order.shape[1]),
-            "neighbour_id": ids[order].ravel(),
-            "label": labels[order].ravel(),
-            "distance": gap[at, order].ravel(),
-        }
-    )
+    order_ids = np.asarray(ids.tolist()) if ids.dtype == object else ids
+    parts = []
+    step = max(1, WORKING_NUMBERS // (len(rows) * (1 if p == 2 else rows.shape[1])))
+    for start in range(0, len(queries), step):
+        points = queries[start : start + step]
+        asked, found = near_pairs(points, rows, k, p)
+        gap = np.empty(len(asked))
+        size = max(1, WORKING_NUMBERS // rows.shape[1])
+        for at in range(0, len(asked), size):
+            some = slice(at, at + size)
+            gap[some] = distances(points[asked[some]], rows[found[some]], p)
+        gap = np.round(gap, 9)
+        order = np.lexsort((order_ids[found], gap, asked))
+        asked, found, gap = asked[order], found[order], gap[order]
+        place = np.arange(len(asked)) - np.searchsorted(asked, asked)
+        best = place < k
+        parts.append(
+            pd.DataFrame(
+                {
+                    "query_id": query_ids[start + asked[best]],
+                    "neighbour_id": ids[found[best]],
+                    "label": labels[found[best]],
+                    "distance": gap[best],
+                }
+            )
+        )
+    return pd.concat(parts, ignore_index=True)
 
 
 def k_nearest(
@@ -129,17 +157,10 @@ def k_nearest(
         def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if not len(left) or not len(right):
                 return pd.DataFrame(columns=["query_id", "neighbour_id", "label", "distance"])
-            parts = []
-            rows, step = matrix(right["v"]), max(1, WORKING_NUMBERS // len(right))
-            for start in range(0, len(left), step):
-                some = left.iloc[start : start + step]
-                parts.append(
-                    nearest(
-                        some["id"].to_numpy(), matrix(some["v"]), right["id"].to_numpy(),
-                        right["label"].to_numpy(), rows, k, p,
-                    )
-                )
-            return pd.concat(parts, ignore_index=True)
+            return nearest(
+                left["id"].to_numpy(), matrix(left["v"]), right["id"].to_numpy(),
+                right["label"].to_numpy(), matrix(right["v"]), k, p,
+            )
 
         counts = n_queries, known.count()
         candidates = block_pairs(asked, known, "id", "id", meet, schema, BLOCK_ROWS, counts)

@@ -83,6 +83,18 @@ def test_against_brute_force(spark, monkeypatch, p, small):
         assert [found[i][r] for r in range(1, 8)] == order
 
 
+def test_text_ids_and_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(knn, "WORKING_NUMBERS", 50)
+    asked = spark.createDataFrame([("q1", [0.0, 0.0]), ("q2", [5.0, 5.0])], "doc_id string, features array<double>")
+    known = spark.createDataFrame(
+        [(f"t{i:02d}", [float(i % 4), 0.0], i % 2) for i in range(60)],
+        "doc_id string, features array<double>, target int",
+    )
+    for p in (1, 2):
+        rows = knn.k_nearest(asked, known, 3, p).orderBy("query_id", "rank").collect()
+        assert [r["neighbour_id"] for r in rows] == ["t00", "t04", "t08", "t03", "t07", "t11"]
+
+
 def test_no_queries(spark):
     asked, known = frames(spark, [], [(1, [1.0], 0)])
     assert knn.k_nearest(asked, known).count() == 0
