@@ -29,6 +29,7 @@ from pyspark.ml.util import (
 )
 from pyspark.sql import functions as F
 
+from lexiform.cluster import checkpointed
 from lexiform.functions.vectors import as_array
 from lexiform.operators.knn import k_nearest, knn_predict, knn_proba
 from lexiform.operators.split import stratified_split
@@ -202,7 +203,8 @@ class NeighbourTrainer(_Trainer):
             identifier=get("identifier"),
             classes=[int(row[0]) for row in dataset.select("label").distinct().collect()],
         )
-        model.train = dataset.select(get("identifier"), "features", "label")
+        # Written once, so that scoring does not compute the features again.
+        model.train = checkpointed(dataset.select(get("identifier"), "features", "label"))
         return model
 
 
