@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 import time
+import warnings
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -13,18 +14,24 @@ from datetime import datetime
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiform import sources
-from lexiform.cluster import join_dimension, local_table
+from lexiform.cluster import join_dimension, local_table, settled
 from lexiform.functions.vectors import decide_class
 from lexiform.operators.metrics import classification_report, confusion_matrix, f1_scores
-from lexiform.operators.profile import class_name, feature_info, ranked_codes
+from lexiform.operators.profile import class_name, feature_info
 from lexiform.operators.split import train_test
-from lexiform.operators.weights import class_weights, with_class_weight
+from lexiform.operators.weights import class_weights
 from lexiform.plans.models import DECISIONS, make_model, model_info
-from lexiform.plans.stages import Projection, TermFeatures, TextEncoder, WordVectors
+from lexiform.plans.stages import (
+    NumericColumns,
+    Projection,
+    TermFeatures,
+    TextEncoder,
+    WordVectors,
+)
 
 VERSION = "1"
 
@@ -54,12 +61,14 @@ def make_extractor(kind: str, **params):
         return TextEncoder(**settings)
     if kind == "column":
         return Projection(outputCol="features", **settings)
+    if kind == "columns":
+        return NumericColumns(outputCol="features", **settings)
     raise ValueError(f"unknown extractor {kind!r}, expected one of {sorted(EXTRACTORS)}")
 
 
 EXTRACTORS = [
     "count_vectorizer", "tfidf_vectorizer", "word2vec", "sentence_embeddings",
-    "batched_embeddings", "column",
+    "batched_embeddings", "column", "columns",
 ]
 
 
@@ -133,12 +142,16 @@ def classification_run(
     names: DataFrame | None = None,
     save_path: str | None = None,
     statistics: tuple[DataFrame, int] | None = None,
+    cache_split: bool = True,
 ) -> RunResult:
     """Split, extract features, fit, predict the test side and score it.
 
     ``data`` has doc_id, text and target, or is a pair of train and test frames.
     Class codes may be any integers. ``statistics`` are term statistics of the
-    training side, to be shared between runs on the same split.
+    training side, to be shared between runs on the same split. The texts are
+    read once for the classes, once for the features and once to apply them.
+    The split is cached for that, on disk where memory ends; ``cache_split=False``
+    reads the source again instead, which is cheaper if it is a plain scan.
     """
     started = time.time()
     if isinstance(data, tuple):
@@ -147,22 +160,27 @@ def classification_run(
         train, test = train_test(
             data, identifier=identifier, test_size=test_size, seed=seed
         )
-    train, test = train.persist(), test.persist()
-    codes = ranked_codes(train, "target", "label")
+    own_split = cache_split and not isinstance(data, tuple)
+    if own_split:
+        train, test = train.persist(), test.persist()
+    codes, _ = settled(class_weights(train))
+    rank = F.row_number().over(Window.orderBy("target")) - 1
+    codes = codes.withColumn("label", rank.cast("int"))
     if names is None:
         codes = codes.withColumn("target_name", class_name())
     else:
         codes = codes.join(names, "target", "left")
     rows = codes.orderBy("label").collect()
+    n_train = sum(row["n"] for row in rows)
     classes = local_table(train.sparkSession, rows, codes.schema)
-    training = join_dimension(train, classes.select("target", "label"), "target", "inner")
-    training = training.withColumn("label", F.col("label").cast("double"))
-    weight = ""
-    if use_class_weights and model != "gbt_regressor":
-        training, weight = with_class_weight(training, class_weights(train)), "weight"
+    weight = "weight" if use_class_weights and model != "gbt_regressor" else ""
+    if use_class_weights and not weight:
+        warnings.warn("class weights are ignored by a regressor", stacklevel=2)
+    known = classes.select("target", F.col("label").cast("double").alias("label"), "weight")
+    training = join_dimension(train, known, "target", "inner")
     features = make_extractor(extractor, **(extractor_params or {}))
-    if statistics is not None and isinstance(features, TermFeatures):
-        features.statistics = statistics
+    if isinstance(features, TermFeatures):
+        features.statistics = statistics or (features.term_statistics(training), n_train)
     fitted_features = features.fit(training) if hasattr(features, "fit") else features
     columns = [identifier, "features", "label", *([weight] if weight else [])]
     prepared = fitted_features.transform(training).select(*columns).persist()
@@ -172,7 +190,7 @@ def classification_run(
     training_time = time.time() - started
     fitted = FittedRun(
         PipelineModel([fitted_features, fitted_model]),
-        classes,
+        classes.select("label", "target", "target_name"),
         DECISIONS.get(model, "label"),
         {
             "extractor": extractor,
@@ -185,11 +203,11 @@ def classification_run(
     predictions = fitted.predict(test)
     kept = [c for c in predictions.columns if c != "text"]
     found = predictions.select(*kept).persist()
-    scores = {k: v for k, v in f1_scores(found).first().asDict().items() if k != "support"}
+    scores = f1_scores(found).first().asDict()
     prediction_time = time.time() - began
     scores.update(
-        n_train=train.count(),
-        n_test=test.count(),
+        n_train=n_train,
+        n_test=scores.pop("support"),
         training_time=training_time,
         prediction_time=prediction_time,
         model_size=fitted.settings["model_info"]["model_size"],
@@ -198,7 +216,7 @@ def classification_run(
     if save_path:
         save_run(fitted, save_path)
     prepared.unpersist()
-    if not isinstance(data, tuple):
+    if own_split:
         train.unpersist()
         test.unpersist()
     return RunResult(fitted, found, scores)

@@ -37,7 +37,7 @@ from lexiform.functions.text import (
     tokenize_words,
 )
 from lexiform.functions.vectors import as_array, bound
-from lexiform.operators.columns import chosen_columns
+from lexiform.operators.columns import assemble_features, chosen_columns
 from lexiform.operators.embed import embed_text, embed_text_batched
 from lexiform.operators.scale import feature_moments, standardized
 from lexiform.operators.vectorize import term_statistics, vocabulary, vocabulary_lists
@@ -147,6 +147,23 @@ class Projection(Transformer, HasOutputCol, _Saved):
         return dataset.withColumn(self.getOutputCol(), array_to_vector(array))
 
 
+class NumericColumns(Transformer, HasOutputCol, _Saved):
+    """The numeric columns that match the patterns as the feature vector."""
+
+    include = Param(Params._dummy(), "include", "column patterns", TypeConverters.toListString)
+    exclude = Param(Params._dummy(), "exclude", "column patterns", TypeConverters.toListString)
+
+    @keyword_only
+    def __init__(self, include=("*",), exclude=("doc_id", "target", "label", "weight"),
+                 outputCol="features"):
+        super().__init__()
+        self._set(include=list(include), exclude=list(exclude), outputCol=outputCol)
+
+    def _transform(self, dataset):
+        get = self.getOrDefault
+        return assemble_features(dataset, get("include"), get("exclude"), self.getOutputCol())
+
+
 class _Extractor(Estimator, HasOutputCol, _Saved):
     include = Param(Params._dummy(), "include", "column patterns", TypeConverters.toListString)
     exclude = Param(Params._dummy(), "exclude", "column patterns", TypeConverters.toListString)

@@ -113,6 +113,16 @@ def test_early_stopping_ends_before_the_last_epoch(spark):
     assert fitted.transform(df).filter("prediction != label").count() == 0
 
 
+def test_numeric_columns(spark, tmp_path):
+    rows = [(i, float(i % 2), float(i % 5), i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, m_a double, m_b double, target int")
+    result = runs.classification_run(
+        df, "columns", extractor_params={"include": ["m_*"]}, save_path=f"{tmp_path}/run"
+    )
+    assert result.scores["accuracy"] == 1.0 and result.scores["n_train"] == 32
+    assert runs.load_run(spark, f"{tmp_path}/run").predict(df).filter("prediction != target").isEmpty()
+
+
 def test_unknown_names(spark, reviews):
     with pytest.raises(ValueError, match="unknown model"):
         make_model("oracle")
