@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexiform.cluster import spread
 from lexiform.sources.tables import standardize
 
 # Spellings that mean "no value" in a delimited file.
@@ -29,7 +30,8 @@ def load_delimited(
     The first column of the file is its row index and becomes doc_id, unless
     ``id_column`` names another. A quoted text may span lines; such a file is
     read by one task, so large data should come as many files, or with
-    ``multiline=False`` if no text holds a line break.
+    ``multiline=False`` if no text holds a line break. The rows of few files are
+    spread over the cores for what follows.
     """
     raw = spark.read.csv(
         path, sep=sep, header=True, quote='"', escape='"', multiLine=multiline
@@ -47,7 +49,7 @@ def load_delimited(
         value(text_column),
         F.trim(value(target_column)).alias(target_column),
     )
-    return standardize(rows, text_column, target_column)
+    return standardize(spread(rows, "doc_id"), text_column, target_column)
 
 
 def save_delimited(df: DataFrame, path: str, sep: str = "\t") -> None:

@@ -1,6 +1,10 @@
 import hashlib
+import math
+from fractions import Fraction
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lexiform.operators import split, weights
@@ -20,6 +24,26 @@ def test_quotas(spark):
     assert quotas == {0: 6, 1: 2}
 
 
+@settings(max_examples=8, deadline=None)
+@given(
+    st.dictionaries(st.integers(0, 9), st.integers(2, 60), min_size=1, max_size=4),
+    st.sampled_from([0.2, 0.33, 0.5]),
+)
+def test_quotas_by_largest_remainder(spark, counts, share):
+    total = sum(counts.values())
+    n_test = math.ceil(share * total)
+    if min(n_test, total - n_test) < len(counts):
+        return
+    made = split.stratified_quotas(labels(spark, counts), test_size=share)
+    quotas = {r["target"]: r["quota"] for r in made.collect()}
+    exact = {c: Fraction(n * (total - n_test), total) for c, n in counts.items()}
+    expected = {c: math.floor(q) for c, q in exact.items()}
+    missing = total - n_test - sum(expected.values())
+    for c in sorted(counts, key=lambda c: (expected[c] - exact[c], c))[:missing]:
+        expected[c] += 1
+    assert quotas == expected
+
+
 @pytest.mark.parametrize("counts", [{0: 5, 1: 1}, {c: 2 for c in range(8)}])
 def test_impossible_splits(spark, counts):
     with pytest.raises(Exception, match="fewer"):
