@@ -14,8 +14,11 @@ their ids are concatenated. Null and empty texts have no ids. Texts of any lengt
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -101,16 +104,14 @@ class FragmentCodec:
         return " ".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
-_codecs: dict[int, FragmentCodec] = {}
-
-
 def codec_of(vocabulary: str) -> FragmentCodec:
     """The codec of a vocabulary, kept by the worker over its tasks."""
-    key = hash(vocabulary)
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = FragmentCodec(vocabulary)
-    return _codecs[key]
+    kept = sys.modules.setdefault("lexiform_worker_codecs", types.ModuleType("codecs")).__dict__
+    key = hashlib.sha256(vocabulary.encode()).hexdigest()
+    if key not in kept:
+        kept.clear()
+        kept[key] = FragmentCodec(vocabulary)
+    return kept[key]
 
 
 def shared_vocabulary(df: DataFrame, path: str):

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiform.llm import forced_boundary, packing
+from lexiform.cluster import fresh_path
+from lexiform.llm import forced_boundary, packing, token_files, warc
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -22,14 +23,42 @@ def op3_residual_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), BYTE_VOCABULARY, end_id=0)
 
 
+def op5_boundary_chain_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as archives and read back."""
+    archives = fresh_path(spark, "archives")
+    warc.write_archives(table(spark, folder, "pages"), archives)
+    return warc.page_records(spark, archives)
+
+
 def op6_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """All documents encoded and decoded."""
     return forced_boundary.digests(table(spark, folder, "documents"), WORD_VOCABULARY)
 
 
+def op9_elias_fano_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents written as token files and read back."""
+    files = fresh_path(spark, "tokens")
+    token_files.write_tokens(table(spark, folder, "documents"), WORD_VOCABULARY, files, end_id=2)
+    return token_files.read_tokens(spark, files)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_residual_packing": op3_residual_packing,
+    "op5_boundary_chain_warc": op5_boundary_chain_warc,
     "op6_forced_boundary_bpe": op6_forced_boundary_bpe,
+    "op9_elias_fano_tokens": op9_elias_fano_tokens,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_boundary_chain_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit'
+                    ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM f""",
+}
