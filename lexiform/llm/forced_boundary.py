@@ -1,12 +1,12 @@
 """Encode and decode with a byte-pair vocabulary by splitting texts at forced boundaries.
 
 A merge can only build tokens of the vocabulary, so two neighbouring bytes that no token holds side
-by side are never merged: a cut between them is certain. The cuts used here are those before ASCII
-white space. For every token that does hold white space, the character in front of it is collected;
-a cut is made only after characters that no token holds in front of white space and that are not
-white space themselves, as both kinds of vocabulary first split texts by a pattern in which nothing
-but white space is followed by white space. Pairs inside a word are not cut: vocabularies with word
-ends mark the last token of the whole word.
+by side are never merged: a cut between them is certain. Two kinds of pairs are used, checked against
+all tokens when a vocabulary is loaded: a character that is not white space before ASCII white space,
+and a letter before one of some common punctuation marks. Pairs that a token does hold are left out.
+Both kinds of vocabulary first split texts by a pattern that ends a part at these places, whatever
+follows. Pairs inside a word are not cut: vocabularies with word ends mark the last token of the whole
+word.
 
 Fragments are encoded independently, each distinct one once as long as a task remembers it, and
 their ids are concatenated. Null and empty texts have no ids. Texts of any length pass whole.
@@ -19,6 +19,7 @@ import os
 import re
 import sys
 import types
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,8 @@ WHITE = " \t\n\r\x0b\x0c"
 OTHER_WHITE = re.compile(
     "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 )
-REMEMBERED = 300_000  # fragments that a task keeps
+MARKS = ".,;:!?*#$%&|"
+REMEMBERED = 400_000  # fragments that a worker keeps
 REMEMBERED_CHARS = 48  # longer fragments are not kept
 VOCABULARY_BYTES = 64_000_000  # a larger vocabulary file is not sent to the tasks
 
@@ -46,6 +48,12 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def joined_marks(tokens: list[bytes]) -> set[str]:
+    """Punctuation marks that some token holds directly after a letter."""
+    texts = (t.decode("utf-8", "replace") for t in tokens)
+    return {b for t in texts for a, b in zip(t, t[1:]) if b in MARKS and (a.isalnum() or a == "\ufffd")}
+
+
 def joined_before_white(tokens: list[bytes]) -> set[str]:
     """Characters that some token holds directly in front of ASCII white space."""
     white, found = WHITE.encode(), set()
@@ -75,28 +83,40 @@ class FragmentCodec:
         self.plain = not held
         after = "".join(map(re.escape, sorted(held)))
         self.cuts = re.compile(rf"(?<=[^\s{after}])(?=[ \t-\r])")
+        marks = "".join(sorted(set(MARKS) - joined_marks(raw)))
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if not marks or any(t[:1].isalnum() or t[:1] in MARKS for t in added):
+            self.fast = re.compile(r"\s*\S+|\s+")
+        else:
+            marks = re.escape(marks)
+            self.fast = re.compile(
+                rf"\s*[^\W\d_]+(?=[\s{marks}]|\Z)|\s*\S+|\s+"
+            )
         self.known: dict[str, bytes] = {}
 
     def fragments(self, text: str) -> list[str]:
         """The pieces between forced boundaries; joined they are the text."""
         if self.plain and not OTHER_WHITE.search(text):
-            return re.findall(r"\s*\S+|\s+", text)
+            return self.fast.findall(text)
         return [f for f in self.cuts.split(text) if f]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [self.fragments(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        missing = list(set().union(*split) - self.known.keys()) if split else []
+        known = self.known
+        split = [self.fragments(t) for t in texts]
+        found = [list(map(known.get, fragments)) for fragments in split]
+        short = [i for i, ids in enumerate(found) if None in ids]
+        missing = list({f for i in short for f, ids in zip(split[i], found[i]) if ids is None})
         coded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        fresh = {f: np.asarray(c.ids, "<u4").tobytes() for f, c in zip(missing, coded)}
-        self.known.update(fresh)
-        made = [b"".join([self.known[f] for f in fragments]) for fragments in split]
-        for f in fresh:
+        known.update((f, array("I", c.ids).tobytes()) for f, c in zip(missing, coded))
+        for i in short:
+            found[i] = [known[f] for f in split[i]]
+        for f in missing:
             if len(f) > REMEMBERED_CHARS:
-                del self.known[f]
-        return made
+                del known[f]
+        return [b"".join(ids) for ids in found]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids, special tokens kept, for a vocabulary without a decoder."""
