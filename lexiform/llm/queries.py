@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lexiform.cluster import fresh_path
-from lexiform.llm import forced_boundary, packing, token_files, warc
+from lexiform.llm import (
+    forced_boundary,
+    packing,
+    pairwise_rank,
+    quality_rules,
+    token_files,
+    toxicity,
+    warc,
+)
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +26,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_risk_controlled_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents judged by base rules and by cutoffs learnt from all labelled good documents."""
+    judged = quality_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
+def op2_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents ranked by quality."""
+    return pairwise_rank.rank(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op3_residual_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packing.pack_documents(table(spark, folder, "documents"), BYTE_VOCABULARY, end_id=0)
@@ -35,6 +57,14 @@ def op6_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return forced_boundary.digests(table(spark, folder, "documents"), WORD_VOCABULARY)
 
 
+def op8_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents scored for toxicity."""
+    scored = toxicity.score_toxicity(
+        table(spark, folder, "documents"), table(spark, folder, "labels")
+    )
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_elias_fano_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as token files and read back."""
     files = fresh_path(spark, "tokens")
@@ -43,9 +73,12 @@ def op9_elias_fano_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_risk_controlled_rules": op1_risk_controlled_rules,
+    "op2_pairwise_quality": op2_pairwise_quality,
     "op3_residual_packing": op3_residual_packing,
     "op5_boundary_chain_warc": op5_boundary_chain_warc,
     "op6_forced_boundary_bpe": op6_forced_boundary_bpe,
+    "op8_kneser_ney_toxicity": op8_kneser_ney_toxicity,
     "op9_elias_fano_tokens": op9_elias_fano_tokens,
 }
 
