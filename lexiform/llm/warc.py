@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from lexiform.cluster import fresh_path
+from lexiform.cluster import fresh_path, join_dimension
 from lexiform.llm.batches import record_batch
 
 MAGIC = "WARC/1.0\r\n"
@@ -64,8 +64,9 @@ def write_archives(
     A null html is an empty payload. Of the pages that share a payload of at least ``smallest``
     bytes, the one with the smallest page_id is a response and the others are revisits that refer to
     it, pages without an id included; if no page of a payload has an id all are responses. Rows that
-    repeat the smallest id are responses too. Other columns are not read. The shuffle that brings a
-    payload to its first page is a join, whose large keys adaptive execution splits.
+    repeat the smallest id are responses too. Other columns are not read. Repeated payloads are
+    counted first: a small table of them is broadcast, so that pages stay in place; a larger one is
+    joined, and adaptive execution splits its large keys.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(
@@ -82,7 +83,7 @@ def write_archives(
         .filter("n > 1 AND first IS NOT NULL")
         .select("digest", "first")
     )
-    marked = rows.join(firsts, "digest", "left").withColumn(
+    marked = join_dimension(rows, firsts, "digest").withColumn(
         "revisit", F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     )
     block = F.when(F.col("revisit"), F.lit("").cast("binary")).otherwise(F.col("payload"))
