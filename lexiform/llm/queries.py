@@ -11,6 +11,7 @@ from lexiform.cluster import fresh_path
 from lexiform.llm import (
     chat,
     forced_boundary,
+    metric_join,
     packing,
     pairwise_rank,
     quality_rules,
@@ -46,6 +47,11 @@ def op3_residual_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), BYTE_VOCABULARY, end_id=0)
 
 
+def op4_metric_range_join(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings joined within their label."""
+    return metric_join.range_join(table(spark, folder, "embeddings"), 0.93)
+
+
 def op5_boundary_chain_warc(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written as archives and read back."""
     archives = fresh_path(spark, "archives")
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_risk_controlled_rules": op1_risk_controlled_rules,
     "op2_pairwise_quality": op2_pairwise_quality,
     "op3_residual_packing": op3_residual_packing,
+    "op4_metric_range_join": op4_metric_range_join,
     "op5_boundary_chain_warc": op5_boundary_chain_warc,
     "op6_forced_boundary_bpe": op6_forced_boundary_bpe,
     "op7_typed_chat": op7_typed_chat,
@@ -108,6 +115,27 @@ def escaped(column: str) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "op4_metric_range_join": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e
+            FROM embeddings),
+        ok AS (
+            SELECT * FROM v
+            WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x <> 0)) > 0
+              AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b
+            FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+        reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM v
+            UNION
+            SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        parts AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+        counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id,
+               v.vec_id = component_id AS kept
+        FROM v JOIN parts USING (vec_id) LEFT JOIN counts USING (vec_id)""",
     "op5_boundary_chain_warc": """
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
