@@ -20,8 +20,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
-
+from pyspark.sql.types import (
+    BinaryType,
+    IntegerType,
+    LongType,
+    StructField,
+    StructType,
+)
+
+from lexiform.cluster import fresh_path
 from lexiform.llm.batches import chunks_of_text, record_batch
 from lexiform.llm.forced_boundary import codec_of, shared_vocabulary
 
@@ -104,19 +111,20 @@ class EliasFano:
 
 
 def segment_bytes(task: int, number: int, keys: list, ids: list[bytes], width: int) -> bytes:
-    """One file: documents in order, those without an id first."""
+    """One file: documents in order, those without an id first; ids as ``width``-byte integers."""
     present = np.array([k for k in keys if k is not None], np.int64)
     least = int(present.min()) if len(present) else 0
-    ends = np.cumsum([len(i) // 4 for i in ids])
-    body = np.frombuffer(b"".join(ids), "<u4")
+    ends = np.cumsum([len(i) // width for i in ids])
+    body = b"".join(ids)
     return b"".join(
         [
             struct.pack(
-                HEADER, MAGIC, task, number, len(keys), len(keys) - len(present), len(body), width, least
+                HEADER, MAGIC, task, number, len(keys), len(keys) - len(present),
+                len(body) // width, width, least
             ),
             EliasFano.of(ends).to_bytes(),
             EliasFano.of((present - least).astype(np.uint64)).to_bytes(),
-            body.astype(f"<u{width}").tobytes(),
+            body,
         ]
     )
 
@@ -158,30 +166,51 @@ def write_tokens(
     scan, and may be spread over several files. An empty table gives no segments.
     """
     vocabulary = shared_vocabulary(docs, path)
-    rows = docs.select(docs[key].cast("bigint").alias("key"), docs[text].alias("text"))
-    ordered = rows.withColumn("turn", F.monotonically_increasing_id())
-    ordered = ordered.repartitionByRange("key", "turn").sortWithinPartitions("key", "turn")
+    rows = docs.select(
+        docs[key].cast("bigint").alias("key"), F.monotonically_increasing_id().alias("turn"),
+        docs[text].alias("text"),
+    )
+    coded = StructType(
+        [
+            StructField("key", LongType()),
+            StructField("turn", LongType()),
+            StructField("width", IntegerType()),
+            StructField("ids", BinaryType()),
+        ]
+    )
     schema = StructType([StructField("content", BinaryType())])
     end = np.asarray([end_id], "<u4").tobytes()
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(vocabulary.value)
         width = 2 if max(len(codec.tokens) - 1, end_id) < 1 << 16 else 4
-        task, number, keys, ids, size = TaskContext.get().partitionId(), 0, [], [], 0
         for part, texts in chunks_of_text(batches):
-            keys += part.column("key").to_pylist()
-            fresh = [i + end for i in codec.encode(texts)]
-            ids += fresh
-            size += sum(map(len, fresh)) // 4
-            if size >= segment_ids:
-                content = segment_bytes(task, number, keys, ids, width)
-                yield record_batch(schema, {"content": [content]})
-                number, keys, ids, size = number + 1, [], [], 0
+            ids = [np.frombuffer(i + end, "<u4").astype(f"<u{width}") for i in codec.encode(texts)]
+            columns = {n: part.column(n) for n in ("key", "turn")}
+            columns |= {"width": [width] * len(ids), "ids": [i.tobytes() for i in ids]}
+            yield record_batch(coded, columns)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number, keys, ids, size, width = TaskContext.get().partitionId(), 0, [], [], 0, 4
+        for batch in batches:
+            for key, width, data in zip(*(c.to_pylist() for c in batch.columns)):
+                keys.append(key)
+                ids.append(data)
+                size += len(data) // width
+                if size >= segment_ids:
+                    content = segment_bytes(task, number, keys, ids, width)
+                    yield record_batch(schema, {"content": [content]})
+                    number, keys, ids, size = number + 1, [], [], 0
         if keys:
             content = segment_bytes(task, number, keys, ids, width)
             yield record_batch(schema, {"content": [content]})
 
-    segments = ordered.select("key", "text").mapInArrow(write, schema)
+    # Texts stay in place; only their ids are sorted.
+    spark, ready = docs.sparkSession, fresh_path(docs.sparkSession, "ids")
+    rows.mapInArrow(encode, coded).write.parquet(ready)
+    ordered = spark.read.schema(coded).parquet(ready)
+    ordered = ordered.repartitionByRange("key", "turn").sortWithinPartitions("key", "turn")
+    segments = ordered.select("key", "width", "ids").mapInArrow(write, schema)
     segments.select(F.col("content").cast("string")).write.option("maxRecordsPerFile", 1).text(
         folder
     )
