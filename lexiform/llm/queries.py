@@ -12,6 +12,7 @@ from lexiform.llm import (
     chat,
     forced_boundary,
     metric_join,
+    order_minhash,
     packing,
     pairwise_rank,
     quality_rules,
@@ -91,6 +92,11 @@ def op9_elias_fano_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_tokens(spark, files)
 
 
+def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with the class of their near duplicates."""
+    return order_minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_risk_controlled_rules": op1_risk_controlled_rules,
     "op2_pairwise_quality": op2_pairwise_quality,
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_typed_chat": op7_typed_chat,
     "op8_kneser_ney_toxicity": op8_kneser_ney_toxicity,
     "op9_elias_fano_tokens": op9_elias_fano_tokens,
+    "op10_order_minhash": op10_order_minhash,
 }
 
 
