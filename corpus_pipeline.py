@@ -1,17 +1,54 @@
-"""The document pipeline: quality, toxicity, near duplicates, packing."""
+"""The document pipeline: quality, toxicity, near duplicates, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
+again as the next stage's documents. All but the last return the columns of documents. Labels come
+from ``sf_dir``.
+"""
 
 from __future__ import annotations
 
-import sys
 import os
+import sys
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from lexiform.cluster import fresh_path  # noqa: E402
-from lexiform.llm import packing  # noqa: E402
-from lexiform.llm.queries import BYTE_VOCABULARY  # noqa: E402
+from lexiform.llm import order_minhash, packing, pairwise_rank, toxicity  # noqa: E402
+from lexiform.llm.queries import BYTE_VOCABULARY, table  # noqa: E402
+
+
+def without(docs: DataFrame, decisions: DataFrame, rejected) -> DataFrame:
+    """Documents less those whose id a decision rejects; a null id is never rejected here."""
+    gone = decisions.filter(rejected).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the pairwise quality model predicts to be good."""
+    ranked = pairwise_rank.rank(docs, table(spark, sf_dir, "labels"))
+    return without(docs, ranked, F.col("predicted") == 0)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity models do not predict to be toxic."""
+    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"))
+    return without(docs, scored, F.col("predicted") == 1)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates, the one with the smallest id.
+
+    Rows that repeat an id are one document; one of them stays.
+    """
+    classes = order_minhash.near_duplicates(docs)
+    kept = without(docs, classes, ~F.col("kept"))
+    repeated = classes.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    single = kept.join(repeated, "doc_id", "left_anti").select(docs.columns)
+    one_of = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(one_of.select(docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,14 +56,19 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, BYTE_VOCABULARY, end_id=0)
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [
+    ("pairwise quality", keep_quality),
+    ("Kneser-Ney toxicity", drop_toxic),
+    ("Order MinHash near-dedup", drop_near_duplicates),
+    ("best-fit packing", pack),
+]
 
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; what a stage keeps is written and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
