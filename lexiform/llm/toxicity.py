@@ -31,7 +31,8 @@ from lexiform.llm.pairwise_rank import logistic
 
 SAMPLE = 8_000  # ordinary documents that the fit takes, by hash; half as many toxic ones
 MAX_WORDS = 1 << 16  # words of the models, by documents; others count as one unknown word
-MAX_PAIRS = 1 << 21  # word pairs of a class model, by count; others are smoothed
+MAX_PAIRS = 1 << 18  # word pairs of a class model, by count; others are smoothed
+LEAST_PAIR = 3  # sightings of such a pair
 DISCOUNT = 0.75
 WINDOW = 3
 SIGHTINGS = 5  # surroundings in which a word was seen when its ratio counts half
@@ -74,6 +75,18 @@ def pair_keys(numbers: np.ndarray) -> np.ndarray:
     return keys[numbers[1:] != START]
 
 
+@dataclass
+class ClassCounts:
+    """What one class has seen: by word the different words in front of it, by word in front its
+    followers and their kinds, and its commonest pairs."""
+
+    contexts: np.ndarray
+    after: np.ndarray
+    kinds: np.ndarray
+    pairs: np.ndarray  # sorted
+    counts: np.ndarray
+
+
 @dataclass
 class KneserNey:
     """Log-likelihood ratios of the toxic over the ordinary class."""
@@ -86,43 +99,30 @@ class KneserNey:
 
     @classmethod
     def of(
-        cls,
-        ids: dict[str, int],
-        toxic: tuple[np.ndarray, np.ndarray],
-        ordinary: tuple[np.ndarray, np.ndarray],
-        surroundings: np.ndarray,
+        cls, ids: dict[str, int], toxic: ClassCounts, ordinary: ClassCounts, surroundings: np.ndarray
     ) -> KneserNey:
-        """``toxic`` and ``ordinary`` are pair keys and their counts."""
         shared = (surroundings + 0.5) / (surroundings + 0.5).sum()
-        size = len(shared)
-        union = np.union1d(toxic[0], ordinary[0])
+        union = np.union1d(toxic.pairs, ordinary.pairs)
         before, word = union // (MAX_WORDS * 2), union % (MAX_WORDS * 2)
         logs, backoffs, words = [], [], []
-        seen_words, seen_pairs = np.zeros(size), np.zeros(len(union))
-        for keys, counts in (toxic, ordinary):
-            h, w = keys // (MAX_WORDS * 2), keys % (MAX_WORDS * 2)
-            contexts = np.bincount(w, minlength=size).astype(float)
-            total = max(contexts.sum(), 1.0)
-            left = DISCOUNT * (contexts > 0).sum() / total if contexts.sum() else 1.0
-            p_word = np.maximum(contexts - DISCOUNT, 0) / total + left * shared
-            after = np.bincount(h, weights=counts, minlength=size)
-            kinds = np.bincount(h, minlength=size)
-            backoff = np.where(after > 0, DISCOUNT * kinds / np.maximum(after, 1), 1.0)
+        seen_words, seen_pairs = np.zeros(len(shared)), np.zeros(len(union))
+        for c in (toxic, ordinary):
+            total = max(c.contexts.sum(), 1.0)
+            left = DISCOUNT * (c.contexts > 0).sum() / total if c.contexts.sum() else 1.0
+            p_word = np.maximum(c.contexts - DISCOUNT, 0) / total + left * shared
+            backoff = np.where(c.after > 0, DISCOUNT * c.kinds / np.maximum(c.after, 1), 1.0)
             count = np.zeros(len(union))
-            count[np.searchsorted(union, keys)] = counts
-            p = np.maximum(count - DISCOUNT, 0) / np.maximum(after[before], 1)
+            count[np.searchsorted(union, c.pairs)] = c.counts
+            p = np.maximum(count - DISCOUNT, 0) / np.maximum(c.after[before], 1)
             logs.append(np.log(p + backoff[before] * p_word[word]))
             backoffs.append(np.log(backoff))
             words.append(np.log(p_word))
-            seen_words += contexts
+            seen_words += c.contexts
             seen_pairs += count
-        before_ratio, word_ratio = backoffs[0] - backoffs[1], words[0] - words[1]
-        before_ratio *= trust(np.bincount(union // (MAX_WORDS * 2), minlength=size))
-        word_ratio *= trust(seen_words)
+        before_ratio = (backoffs[0] - backoffs[1]) * trust(toxic.kinds + ordinary.kinds)
+        word_ratio = (words[0] - words[1]) * trust(seen_words)
         smooth = before_ratio[before] + word_ratio[word]
-        pair_ratio = smooth + (logs[0] - logs[1] - smooth) * trust(
-            seen_pairs, PAIR_SIGHTINGS
-        )
+        pair_ratio = smooth + (logs[0] - logs[1] - smooth) * trust(seen_pairs, PAIR_SIGHTINGS)
         found = (pair_ratio, before_ratio, word_ratio)
         return cls(ids, union, *(ratio.astype(np.float32) for ratio in found))
 
@@ -206,8 +206,8 @@ def _vocabulary(sample: DataFrame) -> dict[str, int]:
     return {r[0]: i + 2 for i, r in enumerate(rows)}
 
 
-def _class_pairs(sample: DataFrame, ids, toxic: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of the commonest word pairs in one class of the sample."""
+def _class_counts(sample: DataFrame, ids, toxic: int) -> ClassCounts:
+    """Counts of words and word pairs in one class of the sample."""
     schema = StructType([StructField("pair", LongType()), StructField("n", LongType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,18 +215,38 @@ def _class_pairs(sample: DataFrame, ids, toxic: int) -> tuple[np.ndarray, np.nda
             keys, n = np.unique(pair_keys(numbered(texts, ids.value)[0]), return_counts=True)
             yield record_batch(schema, {"pair": keys, "n": n})
 
-    rows = (
+    spark, folder = sample.sparkSession, fresh_path(sample.sparkSession, "pairs")
+    (
         sample.filter((F.col("toxic") == toxic) & ~F.col("apart"))
         .select("text")
         .mapInArrow(count, schema)
         .groupBy("pair")
         .agg(F.sum("n").alias("n"))
+        .write.parquet(folder)
+    )
+    pairs = spark.read.schema(schema).parquet(folder)
+    before = F.floor(F.col("pair") / (MAX_WORDS * 2)).cast("bigint")
+
+    def by_word(word, value) -> np.ndarray:
+        out = np.zeros(len(ids.value) + 2)
+        rows = pairs.groupBy(word.alias("word")).agg(value.alias("value")).toPandas()
+        out[rows["word"].to_numpy(np.int64)] = rows["value"]
+        return out
+
+    common = (
+        pairs.filter(F.col("n") >= LEAST_PAIR)
         .orderBy(F.desc("n"), "pair")
         .limit(MAX_PAIRS)
         .toPandas()
         .sort_values("pair")
     )
-    return rows["pair"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+    return ClassCounts(
+        by_word(F.col("pair") % (MAX_WORDS * 2), F.count("*")),
+        by_word(before, F.sum("n")),
+        by_word(before, F.count("*")),
+        common["pair"].to_numpy(np.int64),
+        common["n"].to_numpy(float),
+    )
 
 
 def surroundings(docs: DataFrame, ids, text: str) -> np.ndarray:
@@ -294,7 +314,7 @@ def score_toxicity(
         )
     ids = spark.sparkContext.broadcast(_vocabulary(sample.filter("NOT apart")))
     model = KneserNey.of(
-        ids.value, _class_pairs(sample, ids, 1), _class_pairs(sample, ids, 0),
+        ids.value, _class_counts(sample, ids, 1), _class_counts(sample, ids, 0),
         surroundings(docs, ids, text),
     )
     shared = spark.sparkContext.broadcast(model)
