@@ -38,17 +38,23 @@ def at_most(k: int, n: int, p: float) -> float:
     """P(X <= k) for X binomial with n trials of probability p."""
     if k >= n:
         return 1.0
-    log = (
-        math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
-        + k * math.log(p) + (n - k) * math.log1p(-p)
+    # Sum the tail that lies on k's side of the mean, from its largest term on.
+    below = k < n * p
+    j = k if below else k + 1
+    term = math.exp(
+        math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1)
+        + j * math.log(p) + (n - j) * math.log1p(-p)
     )
-    total, term = 0.0, math.exp(log)
-    for j in range(k, -1, -1):
+    total = 0.0
+    while 0 <= j <= n and term > total * 1e-17:
         total += term
-        if j < n * p and term < total * 1e-17:
-            break
-        term *= j * (1 - p) / ((n - j + 1) * p)
-    return min(1.0, total)
+        if below:
+            term *= j * (1 - p) / ((n - j + 1) * p)
+            j -= 1
+        else:
+            term *= (n - j) * p / ((j + 1) * (1 - p))
+            j += 1
+    return min(1.0, total if below else 1 - total)
 
 
 def upper_bound(k: int, n: int, error: float) -> float:
