@@ -136,7 +136,7 @@ def range_join(
     whose label or vector is null, whose vector is zero, empty or holds null or non-finite numbers,
     or whose key is null, link with nothing; so do vectors of different lengths. ``component_id`` is
     the smallest key that can be reached by links, ``kept`` whether it is the row's own. Repeated
-    rows are vectors of their own. An empty table gives no rows; other columns are not read.
+    rows are vectors of their own; a key on different vectors does not link them. An empty table gives no rows; other columns are not read.
     """
     spark = vectors.sparkSession
     doubles = F.transform(F.col("vector"), lambda x: x.cast("double"))
