@@ -45,15 +45,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def spread(scan: DataFrame, identifier: str) -> DataFrame:
-    """Give a scan of few large files a partition per core; others stay as they are.
+    """Give a scan that is one partition a partition per core; others stay as they are.
 
-    For plain scans only: asking for the number of partitions would run the
-    shuffles of anything else.
+    A single partition is a file that cannot be split further: one row group, or
+    quoted texts over several lines. For plain scans only: asking for the number
+    of partitions would run the shuffles of anything else.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
+    if scan.rdd.getNumPartitions() > 1:
         return scan
-    return scan.repartition(cores, identifier)
+    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism, identifier)
 
 
 def settled(df: DataFrame, max_rows: int = DIMENSION_ROWS) -> tuple[DataFrame, bool]:

@@ -12,6 +12,8 @@ from lexiform.functions.text import tokenize_whitespace
 
 # A word-vector table of at most this many numbers is broadcast.
 BROADCAST_NUMBERS = 20_000_000
+# Parts of the data that word vectors are trained on side by side.
+TRAINING_PARTITIONS = 8
 
 
 def word2vec_fit(
@@ -22,10 +24,14 @@ def word2vec_fit(
     min_count: int = 1,
     epochs: int = 10,
     alpha: float = 0.025,
-    partitions: int | None = None,
+    partitions: int = TRAINING_PARTITIONS,
     seed: int = 42,
 ) -> Word2VecModel:
-    """Skip-gram word vectors of lower-case white-space tokens."""
+    """Skip-gram word vectors of lower-case white-space tokens.
+
+    The trainer averages what ``partitions`` parts of the data learn apart, so
+    the number is part of the model and does not follow the cluster.
+    """
     bags = df.select(tokenize_whitespace(text).alias("tokens"))
     trainer = Word2Vec(
         vectorSize=vector_size,
@@ -33,7 +39,7 @@ def word2vec_fit(
         minCount=min_count,
         maxIter=epochs,
         stepSize=alpha,
-        numPartitions=partitions or max(1, df.sparkSession.sparkContext.defaultParallelism),
+        numPartitions=partitions,
         seed=seed,
         inputCol="tokens",
         outputCol="embedding",

@@ -35,6 +35,8 @@ def with_copies(df: DataFrame, weight: str, identifier: str) -> DataFrame:
     scaled = F.col(weight) / F.lit(smallest)
     uniform = F.pmod(F.xxhash64(F.col(identifier)), F.lit(1_000_000)) / F.lit(1_000_000.0)
     copies = F.floor(scaled) + (uniform < scaled - F.floor(scaled)).cast("int")
-    return df.withColumn(
+    many = df.withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), F.greatest(copies, F.lit(1)).cast("int")))
-    ).drop("_copy")
+    )
+    # The copies of a heavy row would otherwise stay in its partition.
+    return many.repartition(F.col(identifier), F.col("_copy")).drop("_copy")

@@ -39,6 +39,7 @@ from lexiform.functions.text import (
 from lexiform.functions.vectors import as_array, bound
 from lexiform.operators.columns import assemble_features, chosen_columns
 from lexiform.operators.embed import embed_text, embed_text_batched
+from lexiform.operators.pooling import TRAINING_PARTITIONS
 from lexiform.operators.scale import feature_moments, standardized
 from lexiform.operators.vectorize import term_statistics, vocabulary, vocabulary_lists
 
@@ -97,10 +98,12 @@ class DropColumns(Transformer, _Saved):
 
 @F.pandas_udf(VectorUDT())
 def _dampened(vectors: pd.DataFrame) -> pd.DataFrame:
-    def dampen(counts):
-        return np.where(counts > 0, 1.0 + np.log(np.maximum(counts, 1e-300)), 0.0)
-
-    return vectors.assign(values=vectors["values"].map(dampen))
+    if not len(vectors):
+        return vectors
+    counts = np.concatenate(vectors["values"].tolist())
+    done = np.where(counts > 0, 1.0 + np.log(np.maximum(counts, 1e-300)), 0.0)
+    ends = np.cumsum([len(v) for v in vectors["values"]])
+    return vectors.assign(values=np.split(done, ends[:-1]))
 
 
 class SublinearCounts(Transformer, HasInputCol, HasOutputCol, _Saved):
@@ -248,7 +251,8 @@ class WordVectors(_Extractor):
 
     @keyword_only
     def __init__(self, include=("text",), exclude=(), outputCol="features", vectorSize=100,
-                 window=5, minCount=1, epochs=10, alpha=0.025, partitions=0, seed=42):
+                 window=5, minCount=1, epochs=10, alpha=0.025,
+                 partitions=TRAINING_PARTITIONS, seed=42):
         super().__init__()
         self._set(
             include=list(include), exclude=list(exclude), outputCol=outputCol,
@@ -259,11 +263,10 @@ class WordVectors(_Extractor):
     def _fit(self, dataset):
         get = self.getOrDefault
         first = [TextColumn(include=get("include"), exclude=get("exclude")), WhitespaceTokens()]
-        parallel = dataset.sparkSession.sparkContext.defaultParallelism
         trainer = Word2Vec(
             vectorSize=get("vectorSize"), windowSize=get("window"), minCount=get("minCount"),
             maxIter=get("epochs"), stepSize=get("alpha"), seed=get("seed"),
-            numPartitions=get("partitions") or parallel, inputCol=TOKENS, outputCol=POOLED,
+            numPartitions=get("partitions"), inputCol=TOKENS, outputCol=POOLED,
         )
         prepared = PipelineModel(first).transform(dataset).select(TOKENS)
         model = trainer.fit(prepared)

@@ -40,6 +40,29 @@ def test_delimited_rejects_bad_labels_columns_and_paths(spark, tmp_path):
         sources.load(spark, "carrier_pigeon")
 
 
+@pytest.mark.parametrize(
+    "second",
+    [
+        "\treturn\tcustomer_review\n9\t7\ttext\n",  # columns in another order
+        "\tcustomer_review\treturn\n9\ttext\t0\tmore\n",  # a field too many
+        "\tcustomer_review\treturn\n9\ttext\n",  # a field too few
+    ],
+)
+def test_delimited_rejects_malformed_files(spark, tmp_path, second):
+    (tmp_path / "a.tsv").write_text("\tcustomer_review\treturn\n0\tfirst\t1\n")
+    (tmp_path / "b.tsv").write_text(second)
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED|header"):
+        sources.load(spark, "csv_file", path=f"file:{tmp_path}").collect()
+
+
+def test_delimited_rejects_repeated_ids(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.tsv").write_text("\tcustomer_review\treturn\n0\tx\t1\n1\ty\t0\n")
+    with pytest.raises(ValueError, match="more than once"):
+        sources.load(spark, "csv_file", path=f"file:{tmp_path}")
+    assert sources.load(spark, "csv_file", path=f"file:{tmp_path}", check_ids=False).count() == 4
+
+
 def test_table_source_and_standardize(spark, tmp_path, reviews):
     path = f"{tmp_path}/reviews"
     reviews.write.parquet(path)
