@@ -7,10 +7,11 @@ with the edit distance, moved passages included. Texts that agree in a sketch sh
 
 Buckets propose links, alignment decides: texts are near duplicates if at most a fifth as many word
 edits as the longer has words turn one into the other. Exact copies are one text. In each bucket all
-texts are first compared with a leader, then with a second one; what is still apart in a bucket then
-meets pair by pair in blocks of bounded size, where a lower bound of the edit distance (of word
-counts) leaves only plausible pairs to align. Every proposed link between texts not yet connected is
-decided, and no bucket is capped.
+texts are first compared with a leader. Where a bucket still holds texts that are not connected, they
+meet pair by pair in blocks of bounded size: a lower bound of the edit distance (of word counts)
+leaves plausible pairs, and of these all that the block has not connected yet are aligned, the most
+similar first. Every proposed link between texts not yet connected is decided, no bucket is capped,
+and a block returns a forest of links, not its pairs.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ SIMILARITY = 0.8
 BAG = 256  # buckets of the word counts that bound the edit distance
 BLOCK = 256  # texts of a block of what is left in a bucket
 DIAGONALS = 64  # edits up to which single diagonals are followed
+RESUME = 12  # words ahead in which a simple alignment looks for its next run
 
 
 def words_of(text: str) -> list[str]:
@@ -128,12 +130,36 @@ def within(a: np.ndarray, b: np.ndarray, allowed: int) -> bool:
         a, b = a[: len(a) - end], b[: len(b) - end]
     if not len(a) or not len(b):
         return max(len(a), len(b)) <= allowed
+    if _greedy(a, b, allowed):
+        return True
     found = _by_diagonals(a, b, min(allowed, DIAGONALS))
     if found or allowed <= DIAGONALS:
         return found
     return _by_band(a, b, allowed)
 
 
+def _greedy(a: np.ndarray, b: np.ndarray, allowed: int) -> bool:
+    """Whether one simple alignment needs few enough edits: equal runs, joined by the nearest place
+    where three words agree again. Finds most near texts; says nothing of others."""
+    i = j = edits = 0
+    while i < len(a) and j < len(b) and edits <= allowed:
+        step = min(len(a) - i, len(b) - j, 512)
+        differ = a[i : i + step] != b[j : j + step]
+        run = int(differ.argmax())
+        if not differ[run]:
+            i, j = i + step, j + step
+            continue
+        i, j = i + run, j + run
+        same = a[i : i + RESUME, None] == b[None, j : j + RESUME]
+        x, y = np.nonzero(same[:-2, :-2] & same[1:-1, 1:-1] & same[2:, 2:])
+        if not len(x):
+            break
+        best = int(np.argmin(np.maximum(x, y) * RESUME + x + y))
+        i, j = i + int(x[best]), j + int(y[best])
+        edits += max(int(x[best]), int(y[best]))
+    return edits + max(len(a) - i, len(b) - j) <= allowed
+
+
 def _by_diagonals(a: np.ndarray, b: np.ndarray, allowed: int) -> bool:
     """How far each diagonal of the band is reached with 0, 1, ... edits."""
     n, m = len(a), len(b)
@@ -306,7 +332,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
 
 def _rest(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Plausible pairs of texts that share a bucket but no component, from blocks of each bucket."""
+    """Links between texts that share a bucket but no component, from blocks of each bucket."""
     sizes = members.groupBy("key").agg(
         F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
     )
@@ -321,29 +347,61 @@ def _rest(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
         F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
         (F.col("own") <= F.col("other")).alias("first"),
     )
-    rows = pairs.join(texts.select("node", "bag", F.octet_length("words").alias("size")), "node")
+    rows = pairs.join(texts, "node")
 
     def meet(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         same = key[1] == key[2]
         left = group if same else group[group["first"]]
         right = group if same else group[~group["first"]]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-        bag = [
-            np.frombuffer(b"".join(g["bag"]), "<u4").reshape(-1, BAG).astype(np.int64)
-            for g in (left, right)
-        ]
-        n = [g["size"].to_numpy(np.int64) // 4 for g in (left, right)]
-        nodes = [g["node"].to_numpy(np.int64) for g in (left, right)]
-        found = plausible(*bag, *n, similarity)
-        found &= left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :]
-        i, j = np.nonzero(found)
-        a, b = nodes[0][i], nodes[1][j]
-        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates()
+        links: list[tuple[int, int]] = []
+        if len(left) and len(right):
+            sides = [
+                (
+                    np.frombuffer(b"".join(g["bag"]), "<u4").reshape(-1, BAG).astype(np.int64),
+                    [np.frombuffer(w, "<u4") for w in g["words"]],
+                    g["node"].tolist(),
+                    g["component"].tolist(),
+                )
+                for g in (left, right)
+            ]
+            links = _forest(*sides, similarity)
+        return pd.DataFrame(
+            {"a": [max(p) for p in links], "b": [min(p) for p in links]}, dtype="int64"
+        )
 
     return rows.groupBy("key", "x", "y").applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
+def _forest(left: tuple, right: tuple, similarity: float) -> list[tuple[int, int]]:
+    """Links that connect what the texts of two blocks connect; each has bags, words, nodes and
+    components. Plausible pairs are aligned by ascending bag distance unless connected already."""
+    (bags_a, words_a, nodes_a, parts_a), (bags_b, words_b, nodes_b, parts_b) = left, right
+    n_a, n_b = (np.array([len(w) for w in ws]) for ws in (words_a, words_b))
+    found = plausible(bags_a, bags_b, n_a, n_b, similarity)
+    found &= np.array(parts_a)[:, None] != np.array(parts_b)[None, :]
+    i, j = np.nonzero(found)
+    distance = np.concatenate(
+        [np.abs(bags_a[i[k : k + 4096]] - bags_b[j[k : k + 4096]]).sum(1) for k in range(0, len(i), 4096)]
+        or [np.zeros(0)]
+    )
+    parent = {p: p for p in (*parts_a, *parts_b)}
+
+    def root(part: int) -> int:
+        while parent[part] != part:
+            parent[part] = parent[parent[part]]
+            part = parent[part]
+        return part
+
+    links = []
+    for k in np.argsort(distance, kind="stable").tolist():
+        a, b = int(i[k]), int(j[k])
+        x, y = root(parts_a[a]), root(parts_b[b])
+        if x != y and near(words_a[a], words_b[b], similarity):
+            parent[max(x, y)] = min(x, y)
+            links.append((nodes_a[a], nodes_b[b]))
+    return links
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -380,32 +438,16 @@ def near_duplicates(
     texts = written(_texts(known, wanted), "words")
 
     nodes = members.select("node").distinct()
-    assigned = nodes.withColumn("component", F.col("node"))
-    links = None
-    for turn in (1, 2):
-        grouped = members.join(assigned, "node") if turn > 1 else members.withColumn(
-            "component", F.col("node")
-        )
-        order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")
-        leaders = (
-            grouped.groupBy("key")
-            .agg(
-                F.min(order).alias("leader"), F.min("component").alias("low"),
-                F.max("component").alias("high"),
-            )
-            .filter("low <> high")
-            .select("key", F.col("leader.node").alias("b"), F.col("leader.component").alias("with"))
-        )
-        pairs = (
-            grouped.join(leaders, "key")
-            .filter("component <> with AND node <> b")
-            .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
-            .distinct()
-        )
-        fresh = written(_verified(pairs, texts, similarity), "links")
-        links = fresh if links is None else links.unionByName(fresh)
-        assigned = _assigned(nodes, links, written)
-    rest = _verified(_rest(members.join(assigned, "node"), texts, similarity), texts, similarity)
+    leaders = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("node"), "node")).alias("leader"))
+    pairs = (
+        members.join(leaders.select("key", F.col("leader.node").alias("b")), "key")
+        .filter("node <> b")
+        .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
+        .distinct()
+    )
+    links = written(_verified(pairs, texts, similarity), "links")
+    assigned = _assigned(nodes, links, written)
+    rest = _rest(members.join(assigned, "node"), texts, similarity)
     links = links.unionByName(written(rest, "links"))
     assigned = _assigned(nodes, links, written)
 
