@@ -656,6 +656,26 @@ def gbt_classifier(spark, sf):
     )
 
 
+@query
+def gbt_multiclass(spark, sf):
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding", F.col("label").alias("target"))
+    result = runs.classification_run(
+        rows, "column", "gbt_classifier", {"column": "embedding"},
+        {"n_estimators": 2, "max_depth": 3}, identifier="vec_id",
+    )
+    return checked(result.predictions, "vec_id", "target")
+
+
+@query
+def mlp_terms(spark, sf):
+    return scored(
+        runs.classification_run(
+            labelled(spark, sf), "tfidf_vectorizer", "neural_network_simple",
+            {"max_features": 5000}, {"hidden_size": 32, "epochs": 10},
+        )
+    )
+
+
 @query
 def gbt_regressor(spark, sf):
     rows = spread(table(spark, sf, "lineitem"), "l_orderkey")

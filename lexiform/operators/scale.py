@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -25,11 +27,19 @@ def feature_moments(df: DataFrame, column: str = "features") -> tuple[list[float
 
 
 def standardized(array: Column, mean: list[float], scale: list[float]) -> Column:
-    """The array with each dimension centred and scaled."""
-    centred = F.zip_with(
-        array, F.array(*[F.lit(m) for m in mean]), lambda x, m: x - m
-    )
-    return F.zip_with(centred, F.array(*[F.lit(s) for s in scale]), lambda x, s: x / s)
+    """The array with each dimension centred and scaled, a batch of rows at a time."""
+    centre, spread = np.array(mean), np.array(scale)
+
+    @F.pandas_udf("array<double>")
+    def scaled(rows: pd.Series) -> pd.Series:
+        present = rows.notna().to_numpy()
+        made = pd.Series([None] * len(rows), dtype=object)
+        if present.any():
+            block = (np.stack(rows[present].to_numpy()) - centre) / spread
+            made[present] = pd.Series(list(block), index=made.index[present])
+        return made
+
+    return scaled(array)
 
 
 def standardize_features(

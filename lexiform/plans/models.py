@@ -12,7 +12,6 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    OneVsRest,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -34,7 +33,7 @@ from lexiform.functions.vectors import as_array
 from lexiform.operators.knn import k_nearest, knn_predict, knn_proba
 from lexiform.operators.split import stratified_split
 from lexiform.operators.weights import with_copies
-from lexiform.plans.stages import DropColumns, PopulationScaler
+from lexiform.plans.stages import DropColumns, OneAgainstRest, PopulationScaler
 
 
 def _param(name: str, kind=None) -> Param:
@@ -97,14 +96,23 @@ class BoostedTreesTrainer(_Trainer):
             maxIter=get("n_estimators"), maxDepth=get("max_depth"),
             stepSize=get("learning_rate"), seed=get("seed"),
         )
-        if get("classes") > 2:
-            several = OneVsRest(classifier=trees)
-            if self._weight():
-                several.setWeightCol(self._weight())
-            return several.fit(dataset)
         if self._weight():
             trees.setWeightCol(self._weight())
-        return trees.fit(dataset)
+        if get("classes") <= 2:
+            return trees.fit(dataset)
+        stages = []
+        for code in range(get("classes")):
+            one = dataset.withColumn("_one", (F.col("label") == code).cast("double"))
+            against = trees.copy().setLabelCol("_one").setPredictionCol(f"_predictionCol{code}")
+            against.setRawPredictionCol(f"_rawPredictionCol{code}")
+            against.setProbabilityCol(f"_probabilityCol{code}")
+            stages.append(against.fit(one))
+        chances = [f"_probabilityCol{code}" for code in range(get("classes"))]
+        working = [f"_{c}{code}" for c in ("predictionCol", "rawPredictionCol", "probabilityCol")
+                   for code in range(get("classes"))]
+        return PipelineModel(
+            [*stages, OneAgainstRest(columns=chances), DropColumns(columns=working)]
+        )
 
 
 class NetworkTrainer(_Trainer):
@@ -112,7 +120,9 @@ class NetworkTrainer(_Trainer):
 
     ``patience`` above 0 stops early: training goes on in blocks of iterations
     from the last weights, and the block with the lowest loss on a stratified
-    validation share wins. Row weights become copies of rows.
+    validation share wins. Row weights become copies of rows. A ``learning_rate``
+    above 0 trains by gradient descent with that step, otherwise l-bfgs finds
+    its own.
     """
 
     hidden = _param("hidden", TypeConverters.toListInt)
@@ -126,7 +136,7 @@ class NetworkTrainer(_Trainer):
     identifier = _param("identifier", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, hidden=(128, 128, 64), epochs=100, block=10, learning_rate=0.03,
+    def __init__(self, hidden=(128, 128, 64), epochs=100, block=10, learning_rate=0.0,
                  validation=0.2, patience=0, seed=42, classes=2, identifier="doc_id",
                  weightCol=""):
         super().__init__()
@@ -140,13 +150,23 @@ class NetworkTrainer(_Trainer):
         scaler = PopulationScaler(inputCol="features", outputCol="_scaled").fit(dataset)
         extra = [self._weight()] if self._weight() else []
         rows = scaler.transform(dataset).select(key, "_scaled", "label", *extra).persist()
+        try:
+            best = self._trained(rows, key)
+        finally:
+            rows.unpersist()
+        return PipelineModel([scaler, best, DropColumns(columns=["_scaled"])])
+
+    def _trained(self, rows, key):
+        get = self.getOrDefault
         width = rows.select(F.size(as_array(rows, "_scaled"))).first()[0]
 
         def trainer(iterations, weights=None):
             network = MultilayerPerceptronClassifier(
                 layers=[width, *get("hidden"), get("classes")], maxIter=iterations,
-                stepSize=get("learning_rate"), seed=get("seed"), featuresCol="_scaled",
+                seed=get("seed"), featuresCol="_scaled",
             )
+            if get("learning_rate") > 0:
+                network.setSolver("gd").setStepSize(get("learning_rate"))
             return network.setInitialWeights(weights) if weights is not None else network
 
         def weighed(frame):
@@ -157,20 +177,20 @@ class NetworkTrainer(_Trainer):
             train = weighed(marked.filter("split = 'train'")).persist()
             held_out = marked.filter("split = 'test'").persist()
             best, lowest, weights, waited, done = None, None, None, 0, 0
-            while done < get("epochs") and waited < get("patience"):
-                model = trainer(min(get("block"), get("epochs") - done), weights).fit(train)
-                weights, done = model.weights, done + get("block")
-                loss = self._loss(model, held_out)
-                if lowest is None or loss < lowest:
-                    best, lowest, waited = model, loss, 0
-                else:
-                    waited += get("block")
-            train.unpersist()
-            held_out.unpersist()
-        else:
-            best = trainer(get("epochs")).fit(weighed(rows))
-        rows.unpersist()
-        return PipelineModel([scaler, best, DropColumns(columns=["_scaled"])])
+            try:
+                while done < get("epochs") and waited < get("patience"):
+                    model = trainer(min(get("block"), get("epochs") - done), weights).fit(train)
+                    weights, done = model.weights, done + get("block")
+                    loss = self._loss(model, held_out)
+                    if lowest is None or loss < lowest:
+                        best, lowest, waited = model, loss, 0
+                    else:
+                        waited += get("block")
+            finally:
+                train.unpersist()
+                held_out.unpersist()
+            return best
+        return trainer(get("epochs")).fit(weighed(rows))
 
     def _loss(self, model, rows):
         chosen = F.get(vector_to_array("probability"), F.col("label").cast("int"))
@@ -317,10 +337,8 @@ def model_info(kind: str, model, classes: list) -> dict:
         matrix = core.coefficientMatrix
         size, width = matrix.numRows * (matrix.numCols + 1), core.numFeatures
     elif hasattr(core, "totalNumNodes"):
-        size, width = core.totalNumNodes, core.numFeatures
-    elif hasattr(core, "models"):
-        size = sum(getattr(m, "totalNumNodes", 0) for m in core.models)
-        width = core.models[0].numFeatures
+        size = sum(getattr(s, "totalNumNodes", 0) for s in getattr(model, "stages", [core]))
+        width = core.numFeatures
     else:
         size, width = len(core.weights), core.numFeatures
     return {

@@ -341,15 +341,26 @@ class TextEncoderModel(Model, HasOutputCol, _Saved):
 
 
 class PopulationScaler(Estimator, HasInputCol, HasOutputCol, _Saved):
-    """Centre and scale by the population moments of the training frame."""
+    """Centre and scale by the population moments of the training frame.
+
+    Features of more than ``denseWidth`` dimensions are scaled but not centred,
+    so that sparse rows stay sparse.
+    """
+
+    denseWidth = Param(Params._dummy(), "denseWidth", "widest centred rows", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, inputCol="features", outputCol="scaled"):
+    def __init__(self, inputCol="features", outputCol="scaled", denseWidth=2048):
         super().__init__()
-        self._set(inputCol=inputCol, outputCol=outputCol)
+        self._set(inputCol=inputCol, outputCol=outputCol, denseWidth=denseWidth)
 
     def _fit(self, dataset):
         mean, scale = feature_moments(dataset, self.getInputCol())
+        if len(mean) > self.getOrDefault("denseWidth"):
+            return ElementwiseProduct(
+                scalingVec=Vectors.dense([1.0 / s for s in scale]),
+                inputCol=self.getInputCol(), outputCol=self.getOutputCol(),
+            )
         return PopulationScalerModel(
             mean=mean, scale=scale, inputCol=self.getInputCol(), outputCol=self.getOutputCol()
         )
@@ -372,6 +383,26 @@ class PopulationScalerModel(Model, HasInputCol, HasOutputCol, _Saved):
         return dataset.withColumn(self.getOutputCol(), array_to_vector(done))
 
 
+class OneAgainstRest(Transformer, _Saved):
+    """Probability and prediction from one two-class probability column per class."""
+
+    columns = Param(Params._dummy(), "columns", "probability columns", TypeConverters.toListString)
+
+    @keyword_only
+    def __init__(self, columns=()):
+        super().__init__()
+        self._set(columns=list(columns))
+
+    def _transform(self, dataset):
+        chances = F.array(*[F.get(vector_to_array(c), 1) for c in self.getOrDefault("columns")])
+        total = F.aggregate(chances, F.lit(0.0), lambda a, x: a + x)
+        shares = bound(total, lambda t: F.transform(chances, lambda x: x / t))
+        likeliest = F.array_position(chances, F.array_max(chances)) - 1
+        return dataset.withColumns(
+            {"probability": array_to_vector(shares), "prediction": likeliest.cast("double")}
+        )
+
+
 def sequence_of(stages) -> Pipeline:
     """An ML pipeline of at least one stage."""
     if not stages:
