@@ -35,8 +35,8 @@ from lexiform.plans.stages import (
 
 VERSION = "1"
 
-# Trainers pass over their rows many times; a task should hold at least so many.
-ROWS_PER_TASK = 5_000
+# Trainers pass over their rows many times; a task should hold at least so many bytes of them.
+TASK_BYTES = 32 << 20
 
 
 def make_extractor(kind: str, **params):
@@ -143,6 +143,7 @@ def classification_run(
     save_path: str | None = None,
     statistics: tuple[DataFrame, int] | None = None,
     cache_split: bool = True,
+    task_bytes: int | None = TASK_BYTES,
 ) -> RunResult:
     """Split, extract features, fit, predict the test side and score it.
 
@@ -152,8 +153,27 @@ def classification_run(
     read once for the classes, once for the features and once to apply them.
     The split is cached for that, on disk where memory ends; ``cache_split=False``
     reads the source again instead, which is cheaper if it is a plain scan.
+    Cached training rows are gathered into partitions of ``task_bytes``; None
+    leaves their partitions as they are. The predictions stay cached; release
+    them with ``result.predictions.unpersist()``.
     """
     started = time.time()
+    kept: list[DataFrame] = []
+    try:
+        return _run(
+            data, extractor, model, extractor_params, model_params, use_class_weights, test_size,
+            seed, identifier, names, save_path, statistics, cache_split, task_bytes, started, kept,
+        )
+    finally:
+        for frame in kept:
+            frame.unpersist()
+
+
+def _run(
+    data, extractor, model, extractor_params, model_params, use_class_weights, test_size, seed,
+    identifier, names, save_path, statistics, cache_split, task_bytes, started, kept,
+) -> RunResult:
+    """The steps of classification_run; ``kept`` collects the frames to be released."""
     if isinstance(data, tuple):
         train, test = data
     else:
@@ -163,6 +183,7 @@ def classification_run(
     own_split = cache_split and not isinstance(data, tuple)
     if own_split:
         train, test = train.persist(), test.persist()
+        kept += [train, test]
     codes, _ = settled(class_weights(train))
     rank = F.row_number().over(Window.orderBy("target")) - 1
     codes = codes.withColumn("label", rank.cast("int"))
@@ -185,8 +206,13 @@ def classification_run(
     columns = [identifier, "features", "label", *([weight] if weight else [])]
     prepared = fitted_features.transform(training).select(*columns).persist()
     trainer = make_model(model, len(rows), weight, identifier, **(model_params or {}))
-    tasks = math.ceil(prepared.count() / ROWS_PER_TASK)
-    fitted_model = trainer.fit(prepared.coalesce(max(1, tasks)))
+    kept.append(prepared)
+    rows_to_fit = prepared
+    if task_bytes:
+        prepared.count()  # the cached size is known afterwards
+        held = prepared._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        rows_to_fit = prepared.coalesce(max(1, math.ceil(held / task_bytes)))
+    fitted_model = trainer.fit(rows_to_fit)
     training_time = time.time() - started
     fitted = FittedRun(
         PipelineModel([fitted_features, fitted_model]),
@@ -201,9 +227,14 @@ def classification_run(
     )
     began = time.time()
     predictions = fitted.predict(test)
-    kept = [c for c in predictions.columns if c != "text"]
-    found = predictions.select(*kept).persist()
-    scores = f1_scores(found).first().asDict()
+    found = predictions.select(*[c for c in predictions.columns if c != "text"]).persist()
+    try:
+        scores = f1_scores(found).first().asDict()
+        if save_path:
+            save_run(fitted, save_path)
+    except BaseException:
+        found.unpersist()
+        raise
     prediction_time = time.time() - began
     scores.update(
         n_train=n_train,
@@ -213,12 +244,6 @@ def classification_run(
         model_size=fitted.settings["model_info"]["model_size"],
         target_names=json.dumps([row["target_name"] for row in rows]),
     )
-    if save_path:
-        save_run(fitted, save_path)
-    prepared.unpersist()
-    if own_split:
-        train.unpersist()
-        test.unpersist()
     return RunResult(fitted, found, scores)
 
 
@@ -312,7 +337,7 @@ def experiment_suite(
             extractor, model, bool(config.get("use_class_weights", False)),
             _strings(config.get("extractor_params")), _strings(config.get("model_params")),
         )
-        head = (number, config.get("description", "No description"), configuration)
+        head = (number, config.get("description", f"{extractor}, {model}"), configuration)
         try:
             if config.get("source"):
                 rows = sources.load(spark, config["source"], **config.get("loader_params", {}))
@@ -340,6 +365,7 @@ def experiment_suite(
                 scores["accuracy"], scores["f1_macro"], scores["f1_weighted"],
                 list(matrix.values()), report,
             )
+            result.predictions.unpersist()
             settings = result.fitted.settings
             tail = (
                 json.dumps(settings["feature_info"]), json.dumps(settings["model_info"]),
@@ -349,9 +375,11 @@ def experiment_suite(
             tail = (None, None, None, time.time() - started, "failed", str(problem))
         return (*head, *tail, datetime.now().isoformat())
 
-    records = in_threads(spark, run, list(enumerate(configs, 1)), parallel)
-    for part in shared or ():
-        part.unpersist()
+    try:
+        records = in_threads(spark, run, list(enumerate(configs, 1)), parallel)
+    finally:
+        for part in shared or ():
+            part.unpersist()
     return spark.createDataFrame(records, EXPERIMENT_SCHEMA)
 
 
