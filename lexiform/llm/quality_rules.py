@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lexiform.cluster import checkpointed, join_dimension
 from lexiform.llm.text_stats import measure
 
-RISK = 0.10  # good documents of a stratum that may be lost, all rules together
+RISK = 0.05  # good documents of a stratum that may be lost, all rules together
 ERROR = 0.05  # chance that some stratum loses more
 MAX_STRATA = 10_000  # more distinct strata are refused
 NO_CUTOFF = 1 << 40
@@ -28,8 +28,8 @@ NO_CUTOFF = 1 << 40
 RULES: dict[str, tuple[str, str, list[int]]] = {
     "symbols": ("n_symbols", "n_words", [2000, 1500, 1000, 700, 500, 400, 300, 250, 200]),
     "capitals": ("n_upper", "n_letters", [950, 900, 850, 800, 700, 600, 500]),
-    "dup_lines": ("n_dup_lines", "n_lines", [900, 800, 700, 600, 500, 400, 300]),
-    "repeats": ("n_repeat_words", "n_words", [280, 250, 220, 200, 180, 150]),
+    "dup_lines": ("n_dup_lines", "n_lines", [900, 800, 700, 600, 500]),
+    "repeats": ("n_repeat_words", "n_words", [290, 280, 270, 260, 250]),
     "long_words": ("word_chars", "n_words", [40000, 30000, 25000, 20000, 16000]),
 }
 
