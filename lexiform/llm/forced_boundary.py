@@ -38,9 +38,7 @@ OTHER_WHITE = re.compile(
 # Letters that stay letters to their end when a vocabulary composes and lower-cases its texts.
 STEADY = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 MARKS = ".,;:!?*#$%&|"
-REMEMBERED = 200_000  # words that a worker keeps, and as many fragments
-# Texts without these and other white space are split by plain replacement.
-IRREGULAR = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\0")
+REMEMBERED = 1_000_000  # fragments that a worker keeps, in about 230 bytes each
 REMEMBERED_CHARS = 48  # longer fragments are not kept
 VOCABULARY_BYTES = 64_000_000  # a larger vocabulary file is not sent to the tasks
 
@@ -95,53 +93,29 @@ class FragmentCodec:
             marks = re.escape(marks)
             letters = rf"[^\W\d_]*[{STEADY}](?=[\s{marks}]|\Z)"
             self.fast = re.compile(rf"\s*{letters}|\s*\S+|\s+")
-        self.known: dict[str, bytes] = {}  # words, as a rule with the white space before them
-        self.parts: dict[str, bytes] = {}  # their fragments
-
-    def words(self, text: str) -> list[str]:
-        """The pieces between cuts before white space; joined they are the text."""
-        if self.plain and (text.isascii() or not OTHER_WHITE.search(text)):
-            if not any(run in text for run in IRREGULAR):
-                marked = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-                return marked if marked[0] else marked[1:]
-            if not OTHER_WHITE.search(text):
-                return re.findall(r"\s*\S+|\s+", text)
-        return [f for f in self.cuts.split(text) if f]
+        self.known: dict[str, bytes] = {}
 
-    def fragments(self, word: str) -> list[str]:
-        """The pieces of one of ``words`` between all forced boundaries."""
-        return self.fast.findall(word) if not OTHER_WHITE.search(word) else [word]
+    def fragments(self, text: str) -> list[str]:
+        """The pieces between forced boundaries; joined they are the text."""
+        if self.plain and not OTHER_WHITE.search(text):
+            return self.fast.findall(text)
+        return [f for f in self.cuts.split(text) if f]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        for kept in (self.known, self.parts):
-            if len(kept) > REMEMBERED:
-                kept.clear()
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
         known = self.known
-        split = [self.words(t) for t in texts]
-        found = [list(map(known.get, words)) for words in split]
-        short = [i for i, ids in enumerate(found) if None in ids]
-        if not short:
-            return [b"".join(ids) for ids in found]
-        missing = {w for i in short for w, ids in zip(split[i], found[i]) if ids is None}
-        self._learn(missing)
-        for i in short:
-            found[i] = [known[w] for w in split[i]]
-        for word in missing:
-            if len(word) > REMEMBERED_CHARS:
-                del known[word]
-        return [b"".join(ids) for ids in found]
-
-    def _learn(self, words: set[str]) -> None:
-        parts = {word: self.fragments(word) for word in words}
-        fresh = list(set().union(*parts.values()) - self.parts.keys())
-        coded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        self.parts.update((f, array("I", c.ids).tobytes()) for f, c in zip(fresh, coded))
-        for word, pieces in parts.items():
-            self.known[word] = b"".join([self.parts[f] for f in pieces])
-        for f in fresh:
+        split = [self.fragments(t) for t in texts]
+        missing = list(set().union(*split).difference(known)) if split else []
+        coded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+        known.update((f, array("I", c.ids).tobytes()) for f, c in zip(missing, coded))
+        find = known.__getitem__
+        made = [b"".join(map(find, fragments)) for fragments in split]
+        for f in missing:
             if len(f) > REMEMBERED_CHARS:
-                del self.parts[f]
+                del known[f]
+        return made
 
     def decode(self, ids: bytes) -> str:
         """The text of ids, special tokens kept, for a vocabulary without a decoder."""

@@ -38,7 +38,7 @@ def test_codec_equals_the_library(path):
     want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     for _ in range(2):  # the second time from memory
         assert [np.frombuffer(i, "<u4").tolist() for i in codec.encode(texts)] == want
-    assert all("".join(codec.words(t)) == t for t in texts)
+    assert all("".join(codec.fragments(t)) == t for t in texts)
 
 
 def test_forgetting_changes_nothing(monkeypatch):
