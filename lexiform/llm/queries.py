@@ -121,7 +121,78 @@ def escaped(column: str) -> str:
     return f"(length({column}) + {backslashes} + {' + '.join(gone)})"
 
 
+def rules_sql() -> str:
+    """Operator 1: its counts, and the ladders tested by sums of binomial probabilities."""
+    rules = quality_rules.RULES
+    ladders = ", ".join(
+        f"('{rule}', {step}, {cutoff})"
+        for rule, (_, _, ladder) in rules.items()
+        for step, cutoff in enumerate(ladder)
+    )
+    measures = " UNION ALL ".join(
+        f"SELECT doc_id, '{rule}' AS rule, {a} AS num, {b} AS den FROM counts"
+        for rule, (a, b, _) in rules.items()
+    )
+    p, level = quality_rules.RISK / len(rules), quality_rules.ERROR / len(rules)
+    white = r"\x20\x09-\x0D"
+    return rf"""
+    WITH texts AS (
+        SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
+    worded AS (SELECT *, regexp_extract_all(text, '[^{white}]+') AS w FROM texts),
+    windows AS (
+        SELECT doc_id, p, array_to_string(w[p + 1:p + 8], ' ') AS words
+        FROM (SELECT doc_id, w, unnest(range(0, len(w) - 7)) AS p FROM worded WHERE len(w) >= 8) t),
+    twice AS (
+        SELECT doc_id, unnest(range(p, p + 8)) AS place
+        FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, words) AS n FROM windows) t
+        WHERE n > 1),
+    repeats AS (SELECT doc_id, count(DISTINCT place) AS n_repeat_words FROM twice GROUP BY doc_id),
+    lines AS (
+        SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts) t
+        WHERE regexp_matches(line, '[^{white}]') GROUP BY doc_id),
+    counts AS (
+        SELECT doc_id, stratum, len(w) AS n_words,
+            length(regexp_replace(text, '[{white}]', '', 'g')) AS word_chars,
+            length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+            coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
+            coalesce(n_repeat_words, 0) AS n_repeat_words,
+            length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_upper,
+            length(text) - length(regexp_replace(text, '[A-Za-z]', '', 'g')) AS n_letters
+        FROM worded LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+    good AS (
+        SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
+    measured AS ({measures}),
+    holdout AS (
+        SELECT stratum, rule, num, den FROM measured JOIN counts USING (doc_id)
+        WHERE doc_id IN (SELECT doc_id FROM good)),
+    ladders(rule, step, cutoff) AS (VALUES {ladders}),
+    tested AS (
+        SELECT stratum, rule, step, cutoff, count(*) AS n,
+            count(*) FILTER (WHERE den > 0 AND 1000 * num >= cutoff * den) AS k
+        FROM holdout JOIN ladders USING (rule) GROUP BY ALL),
+    passed AS (
+        SELECT stratum, rule, cutoff, bool_and(
+            list_sum(list_transform(range(0, k + 1), lambda j: exp(
+                lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+                + j * ln({p!r}::DOUBLE) + (n - j) * ln(1 - {p!r}::DOUBLE))))
+            <= {level!r}::DOUBLE / (SELECT count(DISTINCT stratum) FROM holdout)
+            ) OVER (PARTITION BY stratum, rule ORDER BY step) AS ok
+        FROM tested),
+    cutoffs AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM passed WHERE ok GROUP BY ALL),
+    violated AS (
+        SELECT DISTINCT doc_id
+        FROM measured JOIN counts USING (doc_id) JOIN cutoffs USING (stratum, rule)
+        WHERE den > 0 AND 1000 * num >= cutoff * den)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+        n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
+            AND doc_id NOT IN (SELECT doc_id FROM violated) AS kept
+    FROM counts"""
+
+
 ORACLES: dict[str, str] = {
+    "op1_risk_controlled_rules": rules_sql(),
     "op4_metric_range_join": """
         WITH RECURSIVE v AS (
             SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e
