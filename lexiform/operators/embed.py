@@ -28,22 +28,22 @@ def hashing_encoder(size: int = 64) -> Encoder:
     """
 
     words = re.compile(r"\w{2,}")
-    slots: dict[str, tuple[int, float]] = {}
+    slots: dict[str, int] = {}
 
-    def slot(word: str) -> tuple[int, float]:
+    def slot(word: str) -> int:
+        """Twice the dimension of a word, plus one if its sign is positive."""
         digest = hashlib.md5(word.encode()).hexdigest()
-        return int(digest[:8], 16) % size, 1.0 if int(digest[8], 16) % 2 else -1.0
+        return int(digest[:8], 16) % size * 2 + int(digest[8], 16) % 2
 
     def encode(texts: Sequence[str]) -> np.ndarray:
         if len(slots) > REMEMBERED_WORDS:
             slots.clear()
+        found = [words.findall(text.lower()) for text in texts]
+        slots.update((w, slot(w)) for w in set().union(*found).difference(slots))
+        codes = np.array([slots[w] for ws in found for w in ws], dtype=np.int64)
+        rows = np.repeat(np.arange(len(texts)), [len(ws) for ws in found])
         vectors = np.zeros((len(texts), size))
-        for row, text in enumerate(texts):
-            for word in words.findall(text.lower()):
-                if word not in slots:
-                    slots[word] = slot(word)
-                index, sign = slots[word]
-                vectors[row, index] += sign
+        np.add.at(vectors, (rows, codes // 2), np.where(codes % 2, 1.0, -1.0))
         norms = np.linalg.norm(vectors, axis=1, keepdims=True)
         return np.divide(vectors, norms, out=vectors, where=norms > 0)
 

@@ -120,9 +120,8 @@ def k_nearest(
     )
     id_type = queries.schema[identifier].dataType.simpleString()
     schema = f"query_id {id_type}, neighbour_id {id_type}, label int, distance double"
-    first = asked.select(F.size("v")).first()
-    most = max(1, BROADCAST_NUMBERS // max(1, first[0] if first else 1))
-    n_queries = asked.count()
+    n_queries, widest = asked.agg(F.count("*"), F.max(F.size("v"))).first()
+    most = max(1, BROADCAST_NUMBERS // max(1, widest or 1))
     if n_queries <= most:
         taken = asked.toPandas()
         given = asked.sparkSession.sparkContext.broadcast(
