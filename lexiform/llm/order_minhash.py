@@ -10,7 +10,7 @@ edits as the longer has words turn one into the other. Exact copies are one text
 texts are first compared with a leader. Where a bucket still holds texts that are not connected, they
 meet pair by pair in blocks of bounded size: a lower bound of the edit distance (of word counts)
 leaves plausible pairs, and of these all that the block has not connected yet are aligned, the most
-similar first. Every proposed link between texts not yet connected is decided, no bucket is capped,
+similar first, each in the bucket of the first sketch that they agree in. Every proposed link between texts not yet connected is decided, no bucket is capped,
 and a block returns a forest of links, not its pairs.
 """
 
@@ -226,17 +226,33 @@ def bags(hashes: np.ndarray) -> np.ndarray:
     return np.bincount((hashes % BAG).astype(np.int64), minlength=BAG).astype("<u4")
 
 
-def plausible(a: np.ndarray, b: np.ndarray, n_a, n_b, similarity: float = SIMILARITY) -> np.ndarray:
-    """Matrix of pairs of bags whose texts may be near; texts that are near always pass."""
-    allowed = np.floor(np.maximum(n_a[:, None], n_b[None, :]) * (1 - similarity) + 1e-9)
-    out = np.abs(n_a[:, None] - n_b[None, :]) <= allowed
-    for i in np.flatnonzero(out.any(1)):
-        some = np.flatnonzero(out[i])
-        differences = b[some] - a[i]
-        more = np.where(differences > 0, differences, 0).sum(1)
-        less = more - differences.sum(1)
-        out[i, some] = np.maximum(more, less) <= allowed[i, some]
-    return out
+def plausible(a: dict, b: dict, key: int | None, similarity: float = SIMILARITY):
+    """Pairs (i, j) of two blocks that may be near, and their bag distances; near pairs always pass.
+
+    Left out are pairs of one component, pairs that a bucket of an earlier sketch decides, and pairs
+    whose word counts need too many edits. ``key`` is the block's bucket; None takes every pair.
+    """
+    n_a, n_b = a["n"][:, None], b["n"][None, :]
+    allowed = np.floor(np.maximum(n_a, n_b) * (1 - similarity) + 1e-9)
+    i, j = np.nonzero((a["part"][:, None] != b["part"][None, :]) & (np.abs(n_a - n_b) <= allowed))
+    found_i, found_j, distances = [], [], []
+    for at in range(0, len(i), 4096):
+        x, y = i[at : at + 4096], j[at : at + 4096]
+        if key is not None:
+            agree = a["keys"][x] == b["keys"][y]
+            first = a["keys"][x, agree.argmax(1)] == key
+            x, y = x[first], y[first]
+        gaps = a["bags"][x] - b["bags"][y]
+        size = np.abs(gaps).sum(1)
+        needed = (size + np.abs(gaps.sum(1))) // 2  # the larger of what is missing and what is extra
+        fine = needed <= allowed[x, y]
+        found_i.append(x[fine])
+        found_j.append(y[fine])
+        distances.append(size[fine])
+    if not found_i:
+        nothing = np.zeros(0, np.int64)
+        return nothing, nothing, nothing
+    return np.concatenate(found_i), np.concatenate(found_j), np.concatenate(distances)
 
 
 def _digest(words: list[str]) -> str:
@@ -273,7 +289,7 @@ def _sketched(rows: DataFrame) -> DataFrame:
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, words, bag) of the wanted texts: 32-bit word hashes and word counts."""
+    """(node, words, bag, keys) of the wanted texts: 32-bit word hashes, word counts, sketches."""
     digested = StructType(
         [
             rows.schema["doc_id"],
@@ -305,7 +321,7 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         .mapInArrow(run, digested)
         .join(wanted.withColumnRenamed("rep", "doc_id"), ["doc_id", "digest"])
         .dropDuplicates(["node"])
-        .select("node", "words", "bag")
+        .select("node", "words", "bag", "keys")
     )
 
 
@@ -356,15 +372,17 @@ def _rest(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
         links: list[tuple[int, int]] = []
         if len(left) and len(right):
             sides = [
-                (
-                    np.frombuffer(b"".join(g["bag"]), "<u4").reshape(-1, BAG).astype(np.int64),
-                    [np.frombuffer(w, "<u4") for w in g["words"]],
-                    g["node"].tolist(),
-                    g["component"].tolist(),
-                )
+                {
+                    "bags": np.frombuffer(b"".join(g["bag"]), "<u4").reshape(-1, BAG).astype(np.int64),
+                    "words": [np.frombuffer(w, "<u4") for w in g["words"]],
+                    "n": np.array([len(w) // 4 for w in g["words"]]),
+                    "nodes": g["node"].tolist(),
+                    "part": g["component"].to_numpy(np.int64),
+                    "keys": np.stack(g["keys"].tolist()),
+                }
                 for g in (left, right)
             ]
-            links = _forest(*sides, similarity)
+            links = _forest(*sides, key[0], similarity)
         return pd.DataFrame(
             {"a": [max(p) for p in links], "b": [min(p) for p in links]}, dtype="int64"
         )
@@ -372,18 +390,11 @@ def _rest(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return rows.groupBy("key", "x", "y").applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
-def _forest(left: tuple, right: tuple, similarity: float) -> list[tuple[int, int]]:
-    """Links that connect what the texts of two blocks connect; each has bags, words, nodes and
-    components. Plausible pairs are aligned by ascending bag distance unless connected already."""
-    (bags_a, words_a, nodes_a, parts_a), (bags_b, words_b, nodes_b, parts_b) = left, right
-    n_a, n_b = (np.array([len(w) for w in ws]) for ws in (words_a, words_b))
-    found = plausible(bags_a, bags_b, n_a, n_b, similarity)
-    found &= np.array(parts_a)[:, None] != np.array(parts_b)[None, :]
-    i, j = np.nonzero(found)
-    distance = np.concatenate(
-        [np.abs(bags_a[i[k : k + 4096]] - bags_b[j[k : k + 4096]]).sum(1) for k in range(0, len(i), 4096)]
-        or [np.zeros(0)]
-    )
+def _forest(left: dict, right: dict, key: int, similarity: float) -> list[tuple[int, int]]:
+    """Links that connect what the texts of two blocks connect: plausible pairs are aligned by
+    ascending bag distance unless they are connected already."""
+    i, j, distance = plausible(left, right, key, similarity)
+    parts_a, parts_b = left["part"].tolist(), right["part"].tolist()
     parent = {p: p for p in (*parts_a, *parts_b)}
 
     def root(part: int) -> int:
@@ -396,9 +407,9 @@ def _forest(left: tuple, right: tuple, similarity: float) -> list[tuple[int, int
     for k in np.argsort(distance, kind="stable").tolist():
         a, b = int(i[k]), int(j[k])
         x, y = root(parts_a[a]), root(parts_b[b])
-        if x != y and near(words_a[a], words_b[b], similarity):
+        if x != y and near(left["words"][a], right["words"][b], similarity):
             parent[max(x, y)] = min(x, y)
-            links.append((nodes_a[a], nodes_b[b]))
+            links.append((left["nodes"][a], right["nodes"][b]))
     return links
 
 
@@ -434,7 +445,9 @@ def near_duplicates(
     buckets = texts_of.filter("n > 0").select("node", F.explode("keys").alias("key"))
     shared = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     members = written(buckets.join(shared, "key").distinct(), "members")
-    wanted = members.select("node").distinct().join(texts_of, "node").select("node", "rep", "digest")
+    wanted = members.select("node").distinct().join(texts_of, "node").select(
+        "node", "rep", "digest", "keys"
+    )
     texts = written(_texts(known, wanted), "words")
 
     nodes = members.select("node").distinct()
