@@ -124,6 +124,35 @@ def test_rank_without_a_class(spark):
     assert pairwise_rank.rank(docs.limit(0), labels).count() == 0
 
 
+def test_rank_threshold_is_a_quantile_of_all_labels(spark, monkeypatch):
+    """A smaller sample of unbalanced classes that overlap leaves the share below the threshold."""
+    rng = np.random.default_rng(3)
+    texts = [
+        " ".join(f"w{rng.integers(900)}" + "%" * int(rng.random() < level) for _ in range(40))
+        for level in (rng.normal(0.5 if i % 10 == 0 else 0.3, 0.1) for i in range(600))
+    ]
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame(
+        [(i, int(i % 10 > 0)) for i in range(600)], "doc_id bigint, quality int"
+    )
+    monkeypatch.setattr(pairwise_rank, "MAX_LABELLED", 40)
+    monkeypatch.setattr(pairwise_rank, "HELD", 5, raising=False)
+    made = pairwise_rank.rank(docs, labels).filter("NOT held_out").collect()
+    bad = sum(r["doc_id"] % 10 == 0 for r in made)
+    assert sum(r["predicted"] == 0 for r in made) == bad
+
+
+def test_between_takes_the_middle_of_two_positions(spark, monkeypatch):
+    monkeypatch.setattr(pairwise_rank, "HELD", 3)
+    monkeypatch.setattr(pairwise_rank, "BINS", 4)
+    values = [0.5, 0.5, 0.5, 0.5, -2.0, 1.0, 7.0, 7.5, 7.25, 900.0, 0.0]
+    scores = spark.createDataFrame([(v,) for v in values], "raw double")
+    order = sorted(values)
+    for rank in range(1, len(order)):
+        assert pairwise_rank.between(scores, rank) == (order[rank - 1] + order[rank]) / 2
+    assert pairwise_rank.between(scores, len(order)) == 900.0
+
+
 def test_bradley_terry_weights_are_the_minimum():
     rng = np.random.default_rng(0)
     rows = rng.normal(size=(200, 3)) + [1.0, 0.0, -0.5]
