@@ -10,6 +10,11 @@ A document is compared by length-normalised log-likelihoods: over the whole text
 toxic window of a few words and over its most toxic word, as a long text dilutes a short insult. A
 ratio that rests on few sightings counts less. A logistic model over the three, fitted on labelled
 documents that were not counted, turns them into a probability.
+
+The model holds every word and word pair of the two samples. Others need no entry: a word or pair that
+neither class has seen rests on no sightings, so its own ratio is 0 and it backs off entirely. Of the
+corpus every word and pair counts; the counts stay a table, of which the words of the samples and the
+total of all others are read.
 """
 
 from __future__ import annotations
@@ -30,9 +35,6 @@ from lexiform.llm.batches import chunks_of_text, record_batch, remainder
 from lexiform.llm.pairwise_rank import logistic
 
 SAMPLE = 8_000  # ordinary documents that the fit takes, by hash; half as many toxic ones
-MAX_WORDS = 1 << 16  # words of the models, by documents; others count as one unknown word
-MAX_PAIRS = 1 << 18  # word pairs of a class model, by count; others are smoothed
-LEAST_PAIR = 3  # sightings of such a pair
 DISCOUNT = 0.75
 WINDOW = 3
 SIGHTINGS = 5  # surroundings in which a word was seen when its ratio counts half
@@ -43,6 +45,8 @@ PAIRS_IN_TASK = 4_000_000  # distinct pairs that a task holds before it emits th
 WORD = re.compile(r"[^\W_]+")
 
 UNKNOWN, START = 0, 1  # words are numbered from 2
+BASE = 1 << 31  # more than there are numbers
+HASHED = 1 << 62  # least identifier of a word without a number
 
 
 def trust(sightings: np.ndarray, half: int = SIGHTINGS) -> np.ndarray:
@@ -71,14 +75,25 @@ def numbered(texts: list[str], ids: dict[str, int]) -> tuple[np.ndarray, np.ndar
 
 def pair_keys(numbers: np.ndarray) -> np.ndarray:
     """(word before, word) as one integer for every position but the STARTs."""
-    keys = numbers[:-1] * MAX_WORDS * 2 + numbers[1:]
+    keys = numbers[:-1] * BASE + numbers[1:]
     return keys[numbers[1:] != START]
 
 
+def identified(texts: list[str], ids: dict[str, int]) -> np.ndarray:
+    """Like numbered, but a word without a number is known by a hash of its own."""
+    numbers, _ = numbered(texts, ids)
+    missing = np.flatnonzero(numbers == UNKNOWN)
+    if len(missing):
+        words = np.array([w for t in texts for w in words_of(t) if w not in ids], dtype=object)
+        hashes = pd.util.hash_array(words, categorize=True) >> np.uint64(2)
+        numbers[missing] = hashes.astype(np.int64) + HASHED
+    return numbers
+
+
 @dataclass
 class ClassCounts:
     """What one class has seen: by word the different words in front of it, by word in front its
-    followers and their kinds, and its commonest pairs."""
+    followers and their kinds, and its pairs."""
 
     contexts: np.ndarray
     after: np.ndarray
@@ -101,9 +116,13 @@ class KneserNey:
     def of(
         cls, ids: dict[str, int], toxic: ClassCounts, ordinary: ClassCounts, surroundings: np.ndarray
     ) -> KneserNey:
-        shared = (surroundings + 0.5) / (surroundings + 0.5).sum()
+        # Words without a number are unknown to both classes; they only share the total.
+        shared = surroundings + 0.5
+        others = shared[UNKNOWN] = surroundings[UNKNOWN] + 0.5 * max(surroundings[START], 1)
+        shared[START] = 0.5
+        shared = shared / (shared[START + 1 :].sum() + others)
         union = np.union1d(toxic.pairs, ordinary.pairs)
-        before, word = union // (MAX_WORDS * 2), union % (MAX_WORDS * 2)
+        before, word = union // BASE, union % BASE
         logs, backoffs, words = [], [], []
         seen_words, seen_pairs = np.zeros(len(shared)), np.zeros(len(union))
         for c in (toxic, ordinary):
@@ -133,7 +152,7 @@ class KneserNey:
         before, word = numbers[:-1], numbers[1:]
         values = self.before_ratio[before].astype(float) + self.word_ratio[word]
         if len(self.pairs) and len(word):
-            keys = before * MAX_WORDS * 2 + word
+            keys = before * BASE + word
             at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
             values = np.where(self.pairs[at] == keys, self.pair_ratio[at], values)
         ratio[1:-1] = values
@@ -153,30 +172,44 @@ class KneserNey:
 
 
 def _sample(docs, labels, key, text, label, held_out, of):
-    """Labelled documents of both classes, one per different text, in a shared folder."""
+    """Labelled documents of both classes in a shared folder, and how many of each class there are.
+
+    Only documents of ``docs`` count, and of equal texts of a class one.
+    """
     known = (
         labels.filter(F.col(label).isNotNull() & (remainder(key, of) != held_out))
-        .groupBy(F.col(key))
-        .agg(F.max(label).alias("_label"))
+        .groupBy(F.col(key).alias("_id"))
+        .agg(F.max(label).alias("toxic"))
     )
-    totals = {int(r[0]): int(r[1]) for r in known.groupBy("_label").count().collect()}
+    texts = docs.select(
+        docs[key].alias("_id"), docs[text].alias("text"), F.md5(docs[text].cast("binary")).alias("_same")
+    ).filter("text IS NOT NULL AND _id IS NOT NULL")
+    spark, folder = docs.sparkSession, fresh_path(docs.sparkSession, "toxic-labels")
+    (
+        texts.select("_id", "_same")
+        .join(known, "_id")
+        .groupBy("toxic", "_same")
+        .agg(F.min(F.struct(F.xxhash64("_id"), "_id")).alias("first"))
+        .select("first._id", "_same", "toxic")
+        .write.parquet(folder)
+    )
+    different = spark.read.parquet(folder)
+    totals = {int(r[0]): int(r[1]) for r in different.groupBy("toxic").count().collect()}
     size = min(SAMPLE // 2, max(totals.get(1, 0), 50))
     chosen = []
     for value in (0, 1):
         chosen += (
-            known.filter(F.col("_label") == value)
-            .orderBy(F.xxhash64(key), key)
+            different.filter(F.col("toxic") == value)
+            .orderBy(F.xxhash64("_id"), "_id", "_same")
             .limit(size if value else 2 * size)
             .collect()
         )
-    spark = docs.sparkSession
     wanted = spark.createDataFrame(
-        [(r[0], int(r[1])) for r in chosen], f"_id {docs.schema[key].dataType.simpleString()}, toxic int"
+        [(r["_id"], r["_same"], int(r["toxic"])) for r in chosen],
+        f"_id {docs.schema[key].dataType.simpleString()}, _same string, toxic int",
     )
     rows = (
-        docs.select(docs[key].alias("_id"), docs[text].alias("text"))
-        .join(F.broadcast(wanted), "_id")  # at most 1.5 * SAMPLE ids
-        .filter("text IS NOT NULL")
+        texts.join(F.broadcast(wanted), ["_id", "_same"])  # at most 1.5 * SAMPLE ids
         .dropDuplicates(["text", "toxic"])
         .select("text", "toxic", (F.pmod(F.xxhash64("_id"), F.lit(4)) == 0).alias("apart"))
     )
@@ -186,24 +219,15 @@ def _sample(docs, labels, key, text, label, held_out, of):
 
 
 def _vocabulary(sample: DataFrame) -> dict[str, int]:
-    """Words that two documents of the sample hold, by number of documents."""
+    """All words of the sample, numbered in their order."""
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in chunks_of_text(batches):
-            words = [w for t in texts for w in set(words_of(t))]
+            words = list({w for t in texts for w in words_of(t)})
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], names=["word"])
 
-    rows = (
-        sample.select("text")
-        .mapInArrow(distinct, "word string")
-        .groupBy("word")
-        .count()
-        .filter("count >= 2")
-        .orderBy(F.desc("count"), "word")
-        .limit(MAX_WORDS)
-        .collect()
-    )
-    return {r[0]: i + 2 for i, r in enumerate(rows)}
+    words = sample.select("text").mapInArrow(distinct, "word string").distinct().toArrow()["word"]
+    return {w: i + 2 for i, w in enumerate(sorted(words.to_pylist()))}
 
 
 def _class_counts(sample: DataFrame, ids, toxic: int) -> ClassCounts:
@@ -225,62 +249,83 @@ def _class_counts(sample: DataFrame, ids, toxic: int) -> ClassCounts:
         .write.parquet(folder)
     )
     pairs = spark.read.schema(schema).parquet(folder)
-    before = F.floor(F.col("pair") / (MAX_WORDS * 2)).cast("bigint")
+    before = F.shiftright("pair", 31)
 
     def by_word(word, value) -> np.ndarray:
         out = np.zeros(len(ids.value) + 2)
-        rows = pairs.groupBy(word.alias("word")).agg(value.alias("value")).toPandas()
-        out[rows["word"].to_numpy(np.int64)] = rows["value"]
+        rows = pairs.groupBy(word.alias("word")).agg(value.alias("value")).toArrow()
+        out[rows["word"].to_numpy()] = rows["value"].to_numpy()
         return out
 
-    common = (
-        pairs.filter(F.col("n") >= LEAST_PAIR)
-        .orderBy(F.desc("n"), "pair")
-        .limit(MAX_PAIRS)
-        .toPandas()
-        .sort_values("pair")
-    )
+    every = pairs.toArrow()
+    order = np.argsort(every["pair"].to_numpy())
     return ClassCounts(
-        by_word(F.col("pair") % (MAX_WORDS * 2), F.count("*")),
+        by_word(F.col("pair") % BASE, F.count("*")),
         by_word(before, F.sum("n")),
         by_word(before, F.count("*")),
-        common["pair"].to_numpy(np.int64),
-        common["n"].to_numpy(float),
+        every["pair"].to_numpy()[order],
+        every["n"].to_numpy()[order].astype(float),
     )
 
 
 def surroundings(docs: DataFrame, ids, text: str) -> np.ndarray:
-    """For every word of the models, the number of different words in front of it in all documents.
+    """For every word of the models, the number of different words in front of it in all documents;
+    at UNKNOWN the sum of these numbers over all other words and at START how many those are.
 
     Tasks emit distinct pairs, which are made distinct over the corpus and then counted by word;
-    what is gathered grows with the corpus, what reaches the driver is one number per word.
+    what is gathered grows with the corpus, what reaches the driver is one number per word of the
+    models.
     """
-    schema = StructType([StructField("pair", LongType())])
+    schema = StructType([StructField("before", LongType()), StructField("word", LongType())])
+
+    def different(pairs: list[np.ndarray]) -> np.ndarray:
+        rows = np.concatenate(pairs, axis=1)
+        mixed = rows[0].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) + rows[1].view(np.uint64)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        return rows[:, ~pd.Series(mixed).duplicated().to_numpy()]
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, waiting, size = np.zeros(0, np.int64), [], 0
+        held, waiting, size = np.zeros((2, 0), np.int64), [], 0
+
+        def emitted(pairs: np.ndarray) -> pa.RecordBatch:
+            """Sorted; two numbers are one integer with no word before, which takes half the room."""
+            before, word = pairs
+            both = (before < HASHED) & (word < HASHED)
+            word = np.where(both, np.where(both, before, 0) * BASE + word, word)
+            order = np.argsort(word)
+            before = pa.array(before[order], mask=both[order])
+            return record_batch(schema, {"before": before, "word": word[order]})
+
         for _, texts in chunks_of_text(batches, "text"):
-            keys = pd.unique(pair_keys(numbered(texts, ids.value)[0]))
-            waiting.append(keys)
-            size += len(keys)
+            words = identified(texts, ids.value)
+            pairs = np.stack([words[:-1], words[1:]])
+            waiting.append(different([pairs[:, words[1:] != START]]))
+            size += waiting[-1].shape[1]
             if size > PAIRS_IN_TASK // 2:
-                held, waiting, size = np.unique(np.concatenate([held, *waiting])), [], 0
-                if len(held) > PAIRS_IN_TASK:
-                    yield record_batch(schema, {"pair": held})
-                    held = np.zeros(0, np.int64)
-        yield record_batch(schema, {"pair": np.unique(np.concatenate([held, *waiting]))})
-
-    rows = (
+                held, waiting, size = different([held, *waiting]), [], 0
+                if held.shape[1] > PAIRS_IN_TASK:
+                    yield emitted(held)
+                    held = np.zeros((2, 0), np.int64)
+        yield emitted(different([held, *waiting]))
+
+    word = F.when(F.col("before").isNull(), F.col("word") % BASE).otherwise(F.col("word"))
+    by_word = (
         docs.select(docs[text].alias("text"))
         .mapInArrow(distinct, schema)
         .distinct()
-        .groupBy((F.col("pair") % (MAX_WORDS * 2)).alias("word"))
-        .count()
-        .collect()
+        .groupBy(word.alias("word"))
+        .agg(F.count("*").alias("n"))
+    )
+    rows = (
+        by_word.groupBy(F.when(F.col("word") < HASHED, F.col("word")).otherwise(UNKNOWN).alias("word"))
+        .agg(F.sum("n").alias("n"), F.count("*").alias("words"))
+        .toArrow()
     )
     counts = np.zeros(len(ids.value) + 2)
-    for word, n in rows:
-        counts[word] = n
+    word = rows["word"].to_numpy()
+    counts[word] = rows["n"].to_numpy()
+    counts[START] = rows["words"].to_numpy()[word == UNKNOWN].sum()
     return counts
 
 
@@ -297,15 +342,17 @@ def score_toxicity(
 
     Documents whose crc32(key) modulo ``of`` is ``held_out`` give no labels; their texts count
     towards the shared continuation counts, as those of all documents do. A document with several
-    labels counts with its highest; null labels and keys take no part. If a class has no document,
-    every score is the share of label 1, 0 without labels. A null text is empty and scores by ratios
-    of 0. Texts are scored whole. Repeated rows are scored each.
+    labels counts with its highest; null labels and keys take no part, nor do labels of documents that are not in ``docs`` or have
+    no text; of equal texts of a class one counts. If a class has no document, or the part of the
+    sample that is counted or the part that is fitted lacks one, every score is the share of label 1,
+    0 without labels. A null text is empty and scores by ratios of 0. Texts are scored whole. Repeated rows are scored each.
     """
     spark = docs.sparkSession
     apart = F.coalesce(remainder(key, of) == held_out, F.lit(False))
     sample, totals = _sample(docs, labels, key, text, label, held_out, of)
     share = totals.get(1, 0) / max(1, sum(totals.values()))
-    if not totals.get(0) or not totals.get(1):
+    parts = sample.select("toxic", "apart").distinct().count()
+    if parts < 4:
         score = F.lit(float(share))
         return docs.select(
             docs[key].alias(key), apart.alias("held_out"), score.alias("score"),
@@ -339,10 +386,8 @@ def score_toxicity(
 
 
 def _calibration(fitted: pd.DataFrame, totals: dict[int, int]) -> list[float]:
-    """Intercept and non-negative weights of the ratios."""
+    """Intercept and non-negative weights of the ratios; both classes have rows."""
     toxic = fitted["toxic"].to_numpy()
-    if len(set(toxic.tolist())) < 2:
-        return [0.0] + [1.0] * len(RATIOS)
     by_class = np.array([totals.get(c, 0) / max(1, (toxic == c).sum()) for c in (0, 1)])
     weights, signs = by_class[toxic], np.where(toxic == 1, 1.0, -1.0)
     columns = list(RATIOS)
@@ -357,7 +402,7 @@ def _calibration(fitted: pd.DataFrame, totals: dict[int, int]) -> list[float]:
             intercept = float(w[0] - slopes @ centre)
             return [intercept, *(float(found.get(r, 0.0)) for r in RATIOS)]
         columns = [c for c, x in zip(columns, slopes) if x > 0]
-    return [0.0] + [1.0] * len(RATIOS)
+    return [float(np.log(totals[1] / totals[0]))] + [0.0] * len(RATIOS)  # the share of label 1
 
 
 def _ratios(rows: DataFrame, model) -> DataFrame:

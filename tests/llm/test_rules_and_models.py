@@ -196,6 +196,43 @@ def test_toxicity_without_a_class(spark):
     assert toxicity.score_toxicity(docs.limit(0), labels).count() == 0
 
 
+def test_toxicity_of_a_shard_of_the_labelled_corpus(spark, monkeypatch):
+    """Labels of documents elsewhere and copies take no places of the sample."""
+    docs, labels, toxic = toxic_data(spark)
+    monkeypatch.setattr(toxicity, "SAMPLE", 400)
+    alone = toxicity.score_toxicity(docs, labels).orderBy("doc_id").collect()
+    others = spark.range(10_000, 60_000).selectExpr("id AS doc_id", "int(id % 2) AS toxic")
+    copies = docs.filter("doc_id = 0").crossJoin(spark.range(500).withColumnRenamed("id", "i"))
+    copies = copies.withColumn("doc_id", F.col("i") + 5_000).drop("i")
+    marked = copies.selectExpr("doc_id", "1 AS toxic")
+    made = toxicity.score_toxicity(
+        docs.unionByName(copies), labels.unionByName(others).unionByName(marked)
+    )
+    made = {r["doc_id"]: r for r in made.collect()}
+    right = [made[i]["predicted"] == toxic[i] for i in range(len(toxic))]
+    assert np.mean(right) > 0.95
+    plain = [r["score"] for r in alone if r["doc_id"] in (1, 2, 3, 5)]
+    assert np.allclose([made[i]["score"] for i in (1, 2, 3, 5)], plain, atol=0.1)
+    # Not one labelled document is here: no label counts.
+    far = toxicity.score_toxicity(docs, others)
+    assert {(r["score"], r["predicted"]) for r in far.collect()} == {(0.0, 0)}
+
+
+def test_toxicity_keeps_every_word_and_pair_of_the_samples(spark):
+    rows = [(f"w{i} rare{i}", i % 2, False) for i in range(50)]
+    sample = spark.createDataFrame(rows, "text string, toxic int, apart boolean")
+    ids = spark.sparkContext.broadcast(toxicity._vocabulary(sample))
+    assert len(ids.value) == 100
+    assert [len(toxicity._class_counts(sample, ids, c).pairs) for c in (0, 1)] == [50, 50]
+
+
+def test_surroundings_count_words_without_a_number(spark):
+    docs = documents(spark, ["x a", "y a", "x z", "a z"])
+    ids = spark.sparkContext.broadcast({"a": 2})
+    # a: x, y, start; of the others x: start, y: start, z: x, a
+    assert toxicity.surroundings(docs, ids, "text").tolist() == [4, 3, 3]
+
+
 def test_surroundings_count_different_words_in_front(spark):
     docs = documents(spark, ["a b", "c b a b", "a b", None, "b"])
     ids = spark.sparkContext.broadcast({"a": 2, "b": 3, "c": 4})
