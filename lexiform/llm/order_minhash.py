@@ -1,6 +1,8 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
-Five-word k-mers are labelled with their occurrence, so that repetitions count. Each of several
+Three-word k-mers are labelled with their occurrence, so that repetitions count: even if every fifth
+word differs, two fifths of them are left. In short texts, where few would be, single words are
+sketched as well. Each of several
 sketches takes the few k-mers of smallest hash and keeps them in the order of the text: two texts
 agree in a sketch only if they share these k-mers in the same order, so the chance to agree falls
 with the edit distance, moved passages included. Texts that agree in a sketch share a bucket.
@@ -38,8 +40,10 @@ from lexiform.cluster import fresh_path
 from lexiform.llm.batches import chunks_of_text, record_batch
 from lexiform.llm.components import components
 
-K = 5  # words of a k-mer
-SKETCHES = 32
+K = 3  # words of a k-mer
+SKETCHES = 80
+SHORT = 50  # words of texts that also have sketches of single words
+SHORT_SKETCHES = 24
 KEPT = 2  # k-mers of a sketch
 SIMILARITY = 0.8
 BAG = 256  # buckets of the word counts that bound the edit distance
@@ -67,11 +71,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def sketches(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """SKETCHES bucket keys per text; those without words get 0 and are to be left out."""
+def bucket_keys(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All keys of each text, those of single words last; 0 where a text has none."""
+    out = np.zeros((len(lengths), SKETCHES + SHORT_SKETCHES), np.int64)
+    out[:, :SKETCHES] = sketches(hashes, lengths)
+    short = lengths <= SHORT
+    words = hashes[np.repeat(short, lengths)]
+    out[short, SKETCHES:] = sketches(words, lengths[short], 1, SHORT_SKETCHES)
+    return out
+
+
+def sketches(
+    hashes: np.ndarray, lengths: np.ndarray, k: int = K, count: int = SKETCHES
+) -> np.ndarray:
+    """``count`` bucket keys per text; those without words get 0 and are to be left out."""
     n_texts = len(lengths)
-    out = np.zeros((n_texts, SKETCHES), np.int64)
-    sizes = np.where(lengths >= K, lengths - K + 1, (lengths > 0).astype(np.int64))
+    out = np.zeros((n_texts, count), np.int64)
+    sizes = np.where(lengths >= k, lengths - k + 1, (lengths > 0).astype(np.int64))
     some = np.flatnonzero(sizes)
     if not len(some):
         return out
@@ -79,9 +95,9 @@ def sketches(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     owner = np.repeat(np.arange(n_texts), sizes)
     at = np.arange(len(owner)) - firsts[owner] + starts[owner]
-    padded = np.concatenate([hashes, np.zeros(K, np.uint64)])
+    padded = np.concatenate([hashes, np.zeros(k, np.uint64)])
     kmers = np.zeros(len(owner), np.uint64)
-    for i in range(K):
+    for i in range(k):
         inside = np.uint64(1) * (i < lengths[owner])
         kmers = mixed(kmers * np.uint64(31) + padded[at + i] * inside + np.uint64(i + 1))
     # The n-th occurrence of a k-mer in a text is a k-mer of its own.
@@ -94,7 +110,7 @@ def sketches(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     texts = np.repeat(np.arange(len(some)), sizes[some])
     far = np.uint64(0xFFFFFFFFFFFFFFFF)
     rng = np.random.default_rng(20)
-    for r in range(SKETCHES):
+    for r in range(count):
         odd, shift = rng.integers(1, 1 << 63, 2, dtype=np.uint64)
         ranks = (kmers ^ shift) * (odd | np.uint64(1))
         ranks ^= ranks >> np.uint64(32)
@@ -106,7 +122,7 @@ def sketches(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
             place[texts[hits][::-1]] = hits[::-1]  # the first of equals
             places.append(place)
             ranks[place] = far
-        key = np.full(len(some), mixed(np.array([r + 1], np.uint64))[0])
+        key = np.full(len(some), mixed(np.array([r + 1 + (K - k) * SKETCHES], np.uint64))[0])
         for place in np.sort(np.stack(places), axis=0):
             key = mixed(key * np.uint64(31) + kmers[place])
         out[some, r] = key.view(np.int64)
@@ -273,8 +289,8 @@ def _sketched(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks_of_text(batches):
             words = [words_of(t) for t in texts]
-            keys = sketches(*word_hashes(words))
-            offsets = np.arange(0, keys.size + 1, SKETCHES, dtype=np.int32)
+            keys = bucket_keys(*word_hashes(words))
+            offsets = np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)
             yield record_batch(
                 schema,
                 {
@@ -420,8 +436,8 @@ def near_duplicates(
 
     ``class_id`` is the smallest key of the documents connected by near-duplicate links, ``kept``
     whether it is the document's own. Words are lower-cased and split at white space. A null text is
-    empty; texts without words are copies of each other. A text of fewer than 5 words is one k-mer
-    and so finds its copies only. A document with a null key links with nothing, has no class and is
+    empty; texts without words are copies of each other. A text of fewer than 5 words is near to its
+    copies only. A document with a null key links with nothing, has no class and is
     kept. Repeated rows share a class. An empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
@@ -443,6 +459,7 @@ def near_duplicates(
         "texts",
     )
     buckets = texts_of.filter("n > 0").select("node", F.explode("keys").alias("key"))
+    buckets = buckets.filter("key <> 0")
     shared = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     members = written(buckets.join(shared, "key").distinct(), "members")
     wanted = members.select("node").distinct().join(texts_of, "node").select(

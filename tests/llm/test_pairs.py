@@ -215,6 +215,28 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch):
     assert all(r["kept"] == (r["doc_id"] == r["class_id"]) for r in made if r["doc_id"])
 
 
+def test_near_duplicates_at_the_threshold(spark):
+    """10 to 20 % of the words changed, spread by chance or evenly, in short and long texts."""
+    rng = random.Random(11)
+    texts, number = [], iter(range(10**6))
+    for n in (5, 6, 7, 9, 10, 14, 20, 33, 45, 60, 120, 400):
+        for share in (0.1, 0.15, 0.18, 0.2):
+            for spread in ("chance", "even"):
+                edits = max(1, int(n * share + 1e-9))
+                source = [f"w{next(number)}" for _ in range(n)]
+                step = n / edits
+                even = [int(i * step + step / 2) for i in range(edits)]
+                changed = list(source)
+                for i in even if spread == "even" else rng.sample(range(n), edits):
+                    changed[i] = f"c{next(number)}"
+                texts += [source, changed]
+    df = spark.createDataFrame(
+        [(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string"
+    )
+    made = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(df).collect()}
+    assert [i for i in made if made[i] != i - i % 2] == []
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert order_minhash.near_duplicates(df).count() == 0
