@@ -20,35 +20,46 @@ from lexiform.llm import order_minhash, packing, pairwise_rank, toxicity  # noqa
 from lexiform.llm.queries import BYTE_VOCABULARY, table  # noqa: E402
 
 
-def without(docs: DataFrame, decisions: DataFrame, rejected) -> DataFrame:
-    """Documents less those whose id a decision rejects; a null id is never rejected here."""
-    gone = decisions.filter(rejected).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+def numbered(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents, written, with a number of each row, and that column's name."""
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    folder = fresh_path(spark, "rows")
+    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(folder)
+    return spark.read.parquet(folder), row
+
+
+def without(rows: DataFrame, row: str, decisions: DataFrame, rejected) -> DataFrame:
+    """Rows less those that a decision on the row itself rejects, whatever their ids."""
+    return rows.join(decisions.filter(rejected).select(row), row, "left_anti").drop(row)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the pairwise quality model predicts to be good."""
-    ranked = pairwise_rank.rank(docs, table(spark, sf_dir, "labels"))
-    return without(docs, ranked, F.col("predicted") == 0)
+    rows, row = numbered(spark, docs)
+    ranked = pairwise_rank.rank(rows, table(spark, sf_dir, "labels"), row=row)
+    return without(rows, row, ranked, F.col("predicted") == 0).select(docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity models do not predict to be toxic."""
-    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"))
-    return without(docs, scored, F.col("predicted") == 1)
+    rows, row = numbered(spark, docs)
+    scored = toxicity.score_toxicity(rows, table(spark, sf_dir, "labels"), row=row)
+    return without(rows, row, scored, F.col("predicted") == 1).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, the one with the smallest id.
 
-    Rows that repeat an id are one document; one of them stays.
+    Classes are of texts, so rows that share an id only stay both. A null id is the smallest; of rows
+    with equal ids one stays.
     """
-    classes = order_minhash.near_duplicates(docs)
-    kept = without(docs, classes, ~F.col("kept"))
-    repeated = classes.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    single = kept.join(repeated, "doc_id", "left_anti").select(docs.columns)
-    one_of = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(one_of.select(docs.columns))
+    rows, row = numbered(spark, docs)
+    found = order_minhash.near_duplicates(rows, key=row).select(row, "class_id")
+    ids = rows.select(row, F.struct("doc_id", row).alias("_first"))
+    first = found.join(ids, row).groupBy("class_id").agg(F.min("_first").alias("_first"))
+    return rows.join(first.select(F.col(f"_first.{row}").alias(row)), row, "left_semi").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -156,8 +156,9 @@ def rank(
     label: str = "quality",
     held_out: int = 2,
     of: int = 4,
+    row: str | None = None,
 ) -> DataFrame:
-    """Per document: key, held_out, score, predicted.
+    """Per document: key, held_out, score, predicted; with ``row`` also that column of its row.
 
     Documents whose crc32(key) modulo ``of`` is ``held_out`` are never learnt from. A document with
     several labels counts with its lowest; null labels and keys take no part. If a class has no
@@ -165,8 +166,9 @@ def rank(
     scored like any other. Repeated rows are scored each.
     """
     columns = features()
-    measured = measure(docs, key, text).withColumn("n_letters", F.col("n_upper") + F.col("n_lower"))
-    scored = checkpointed(measured.select(key, *(c.alias(n) for n, c in columns.items())))
+    own = [row] if row else []
+    measured = measure(docs, key, text, {r: r for r in own}).withColumn("n_letters", F.col("n_upper") + F.col("n_lower"))
+    scored = checkpointed(measured.select(key, *own, *(c.alias(n) for n, c in columns.items())))
     known = (
         labels.filter(F.col(label).isNotNull() & (remainder(key, of) != held_out))
         .groupBy(F.col(key))
@@ -197,6 +199,6 @@ def rank(
     else:
         score = F.lit(totals[1] / sum(totals.values()) if sum(totals.values()) else 0.5)
     apart = F.coalesce(remainder(key, of) == held_out, F.lit(False))
-    return scored.select(key, apart.alias("held_out"), score.alias("score")).withColumn(
+    return scored.select(key, *own, apart.alias("held_out"), score.alias("score")).withColumn(
         "predicted", (F.col("score") >= THRESHOLD).cast("int")
     )

@@ -337,8 +337,9 @@ def score_toxicity(
     label: str = "toxic",
     held_out: int = 2,
     of: int = 4,
+    row: str | None = None,
 ) -> DataFrame:
-    """Per document: key, held_out, score, predicted and RATIOS.
+    """Per document: key, held_out, score, predicted and RATIOS; with ``row`` also that column.
 
     Documents whose crc32(key) modulo ``of`` is ``held_out`` give no labels; their texts count
     towards the shared continuation counts, as those of all documents do. A document with several
@@ -348,6 +349,7 @@ def score_toxicity(
     0 without labels. A null text is empty and scores by ratios of 0. Texts are scored whole. Repeated rows are scored each.
     """
     spark = docs.sparkSession
+    own = [row] if row else []
     apart = F.coalesce(remainder(key, of) == held_out, F.lit(False))
     sample, totals = _sample(docs, labels, key, text, label, held_out, of)
     share = totals.get(1, 0) / max(1, sum(totals.values()))
@@ -355,7 +357,7 @@ def score_toxicity(
     if parts < 4:
         score = F.lit(float(share))
         return docs.select(
-            docs[key].alias(key), apart.alias("held_out"), score.alias("score"),
+            docs[key].alias(key), *own, apart.alias("held_out"), score.alias("score"),
             (score >= THRESHOLD).cast("int").alias("predicted"),
             *(F.lit(0.0).alias(r) for r in RATIOS),
         )
@@ -370,7 +372,7 @@ def score_toxicity(
     fitted = _ratios(sample.filter("apart").select("toxic", "text"), shared).toPandas()
     weights = _calibration(fitted, totals)
 
-    rows = docs.select(docs[key].alias(key), docs[text].alias("text"))
+    rows = docs.select(docs[key].alias(key), *own, docs[text].alias("text"))
     z = F.lit(weights[0])
     for name, weight in zip(RATIOS, weights[1:]):
         z = z + weight * F.col(name)
@@ -378,7 +380,7 @@ def score_toxicity(
         _ratios(rows, shared)
         .withColumn("score", 1.0 / (1.0 + F.exp(-z)))
         .select(
-            key, apart.alias("held_out"), "score",
+            key, *own, apart.alias("held_out"), "score",
             (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
             *RATIOS,
         )

@@ -71,6 +71,28 @@ def test_stages_keep_columns_nulls_and_one_of_repeated_rows(spark):
     assert len(ids) == len(set(ids))
 
 
+def test_decisions_follow_the_row(spark):
+    """Rows without an id are judged by their text; a rejected row takes no other of its id along."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    ranked = pairwise_rank.rank(docs, labels).select("doc_id", "predicted")
+    bad = docs.join(ranked.filter("predicted = 0"), "doc_id").select(docs.columns).limit(3)
+    bad = bad.localCheckpoint()
+    good = docs.join(ranked.filter("predicted = 1"), "doc_id").select(docs.columns).limit(2)
+    twins = good.localCheckpoint().withColumn("doc_id", F.lit(bad.first()["doc_id"]).cast("bigint"))
+    nameless = bad.withColumn("doc_id", F.lit(None).cast("bigint"))
+    whole = docs.unionByName(nameless).unionByName(twins)
+    kept = corpus_pipeline.keep_quality(spark, whole, SF)
+    assert kept.filter("doc_id IS NULL").count() == 0
+    same = kept.filter(F.col("doc_id") == bad.first()["doc_id"]).select("text").collect()
+    assert sorted(same) == sorted(twins.select("text").collect())
+    # Copies without an id are one class; one id on different texts is two documents.
+    few = nameless.limit(1).unionByName(nameless.limit(1)).unionByName(twins)
+    left = corpus_pipeline.drop_near_duplicates(spark, few, SF)
+    assert left.filter("doc_id IS NULL").count() == 1
+    assert left.filter("doc_id IS NOT NULL").count() == twins.select("text").distinct().count() == 2
+
+
 def test_stages_of_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
