@@ -28,8 +28,8 @@ NO_CUTOFF = 1 << 40
 RULES: dict[str, tuple[str, str, list[int]]] = {
     "symbols": ("n_symbols", "n_words", [2000, 1500, 1000, 700, 500, 400, 300, 250, 200]),
     "capitals": ("n_upper", "n_letters", [950, 900, 850, 800, 700, 600, 500]),
-    "dup_lines": ("n_dup_lines", "n_lines", [900, 800, 700, 600, 500]),
-    "repeats": ("n_repeat_words", "n_words", [290, 280, 270, 260, 250]),
+    "dup_lines": ("n_dup_lines", "n_lines", [900, 800, 700, 600, 500, 400, 300]),
+    "repeats": ("n_repeat_words", "n_words", [290, 280, 270, 260, 250, 220, 200, 180, 150]),
     "long_words": ("word_chars", "n_words", [40000, 30000, 25000, 20000, 16000]),
 }
 

@@ -80,6 +80,21 @@ def test_rules_reject_junk_and_respect_the_risk(spark):
     assert not any(kept[i] for i in range(740, 772))
 
 
+def test_risk_alone_ends_the_ladders(spark):
+    """Junk with few repetitions is rejected where no good document has any."""
+    good = [" ".join(f"word{i} and{j} more{j}" for j in range(9)) for i in range(900)]
+    lines = [" ".join(f"line{i}x{j}x{k}" for k in range(8)) for i in range(1) for j in range(10)]
+    half = "\n".join(lines + lines[:1] * 5)  # 5 of 15 lines repeat
+    words = [f"v{j}" for j in range(90)]
+    again = " ".join(words[:8] + words + ["end"])  # 16 of 99 words
+    docs = documents(spark, good + [half, again]).withColumn("lang", F.lit("en"))
+    labels = spark.createDataFrame([(i, 1) for i in range(900)], "doc_id bigint, quality int")
+    made = {r["doc_id"]: r for r in quality_rules.judge(docs, labels).collect()}
+    assert all(made[i]["kept"] for i in range(900))
+    assert "dup_lines" in made[900]["violated"]
+    assert made[901]["violated"] == ["repeats"] and not made[901]["base_failed"]
+
+
 def test_rules_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int")
     made = quality_rules.judge(documents(spark, TEXTS), none).collect()
