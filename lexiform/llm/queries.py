@@ -11,6 +11,7 @@ from lexiform.cluster import fresh_path
 from lexiform.llm import (
     chat,
     forced_boundary,
+    lexical_search,
     metric_join,
     order_minhash,
     packing,
@@ -97,6 +98,14 @@ def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_hybrid_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents ranked for each benchmark item."""
+    index = lexical_search.build_index(
+        table(spark, folder, "documents"), fresh_path(spark, "lexical")
+    )
+    return lexical_search.search(index, table(spark, folder, "benchmark"), 20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_risk_controlled_rules": op1_risk_controlled_rules,
     "op2_pairwise_quality": op2_pairwise_quality,
@@ -108,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kneser_ney_toxicity": op8_kneser_ney_toxicity,
     "op9_elias_fano_tokens": op9_elias_fano_tokens,
     "op10_order_minhash": op10_order_minhash,
+    "op11_hybrid_lexical_search": op11_hybrid_lexical_search,
 }
 
 
@@ -242,4 +252,34 @@ ORACLES: dict[str, str] = {
                                FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
                CAST(3 + sum(text_chars + role_chars + 13) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op11_hybrid_lexical_search": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+        q AS (
+            SELECT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        totals AS (SELECT count(*) AS nn, sum(len(t)) AS ll FROM d WHERE len(t) > 0),
+        tf AS (
+            SELECT doc_id, term, count(*) AS tf
+            FROM (SELECT doc_id, unnest(t) AS term FROM d) x
+            WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+        w AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / (2 * count(*) + 1)))
+                AS BIGINT) AS w
+            FROM tf, totals GROUP BY term, nn),
+        m AS (
+            SELECT doc_id, 75 + CAST((25 * len(t) * nn) // ll AS BIGINT) AS m
+            FROM d, totals WHERE len(t) > 0),
+        s AS (
+            SELECT item_id, doc_id,
+                CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+            FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id)
+            GROUP BY item_id, doc_id)
+        SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+              FROM s WHERE score > 0) t
+        WHERE rank <= 20""",
 }
