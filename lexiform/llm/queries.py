@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexiform.cluster import fresh_path
 from lexiform.llm import (
@@ -16,11 +19,13 @@ from lexiform.llm import (
     order_minhash,
     packing,
     pairwise_rank,
+    periodic_runs,
     quality_rules,
     token_files,
     toxicity,
     warc,
 )
+from lexiform.llm.batches import chunks_of_text
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -106,6 +111,50 @@ def op11_hybrid_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.search(index, table(spark, folder, "benchmark"), 20)
 
 
+def repeated_words(doc_id: int, words: list[bytes]) -> list[bytes]:
+    """The words of a document, of every tenth one with a stretch that repeats up to its end."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def with_periods(documents: DataFrame) -> DataFrame:
+    """Documents of which every tenth, by the hash of its id, is made periodic from some word on."""
+
+    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in chunks_of_text(batches):
+            ids = part.column("doc_id").to_pylist()
+            made = [
+                t.encode() if i is None or zlib.crc32(str(i).encode()) % 10
+                else b" ".join(repeated_words(i, periodic_runs.words_of(t)))
+                for i, t in zip(ids, texts)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(made, pa.binary()).cast(pa.string())],
+                names=["doc_id", "text"],
+            )
+
+    return documents.select("doc_id", "text").mapInArrow(rewrite, "doc_id bigint, text string")
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The periodic runs of all documents, every tenth of them made periodic."""
+    runs = periodic_runs.periodic_runs(with_periods(table(spark, folder, "documents")))
+    length, period = F.col("strongest.length"), F.col("strongest.period")
+    return runs.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "strongest.start",
+        "strongest.length", "strongest.period",
+        F.floor(F.try_divide(1000 * length - (1000 * length) % period, period))
+        .alias("exponent_milli"),
+        F.sha2(periodic_runs.written("runs"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_risk_controlled_rules": op1_risk_controlled_rules,
     "op2_pairwise_quality": op2_pairwise_quality,
@@ -118,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_elias_fano_tokens": op9_elias_fano_tokens,
     "op10_order_minhash": op10_order_minhash,
     "op11_hybrid_lexical_search": op11_hybrid_lexical_search,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 
@@ -282,4 +332,58 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
               FROM s WHERE score > 0) t
         WHERE rank <= 20""",
+    "op13_periodic_runs": r"""
+        WITH crc AS (
+            SELECT list_transform(range(256), lambda v: list_reduce(
+                range(8), lambda c, b: xor(c >> 1, (c & 1) * 3988292384), v)) AS t),
+        d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                xor(list_reduce(
+                    list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                        lambda x: CAST(ord(x) AS BIGINT)),
+                    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]),
+                    4294967295::BIGINT), 4294967295) AS h
+            FROM documents, crc),
+        g AS (SELECT *, h // 10 AS g, len(w) AS n FROM d),
+        a AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM g),
+        p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+        texts AS (
+            SELECT doc_id, n, CASE WHEN h % 10 <> 0 OR n = 0 THEN w ELSE list_transform(
+                range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END])
+                END AS w
+            FROM p),
+        words AS (
+            SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM texts),
+        same AS (
+            SELECT x.doc_id, x.i AS i, y.i - x.i AS q
+            FROM words x JOIN words y
+                ON x.doc_id = y.doc_id AND x.word = y.word
+                AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+        stretches AS (
+            SELECT doc_id, q, min(i) AS s, max(i) + 1 + q AS e
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k
+                  FROM same) t
+            GROUP BY doc_id, q, k
+            HAVING max(i) + 1 + q - min(i) >= greatest(6, 4 * q)),
+        runs AS (
+            SELECT doc_id, s, e - s AS length, min(q) AS q FROM stretches GROUP BY doc_id, s, e),
+        best AS (
+            SELECT * FROM (SELECT *, row_number() OVER (
+                PARTITION BY doc_id ORDER BY length / q DESC, s, q) AS k FROM runs) t
+            WHERE k = 1),
+        lists AS (
+            SELECT doc_id, count(*) AS n_runs,
+                string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS lines
+            FROM runs GROUP BY doc_id),
+        dropped AS (
+            SELECT DISTINCT doc_id, unnest(range(s + q, s + length)) AS i FROM runs),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text
+            FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.length AS length,
+            best.q AS period, 1000 * best.length // best.q AS exponent_milli,
+            sha256(coalesce(lines, '')) AS runs_sha256,
+            sha256(coalesce(kept.text, '')) AS collapsed_sha256
+        FROM texts LEFT JOIN lists USING (doc_id) LEFT JOIN best USING (doc_id)
+            LEFT JOIN kept USING (doc_id)""",
 }
