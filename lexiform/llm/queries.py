@@ -14,6 +14,7 @@ from lexiform.cluster import fresh_path
 from lexiform.llm import (
     chat,
     forced_boundary,
+    kmeans_tree,
     lexical_search,
     metric_join,
     order_minhash,
@@ -111,6 +112,11 @@ def op11_hybrid_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.search(index, table(spark, folder, "benchmark"), 20)
 
 
+def op12_kmeans_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest of every twentieth embedding among all others."""
+    return kmeans_tree.nearest(table(spark, folder, "embeddings"), 20, 20)
+
+
 def repeated_words(doc_id: int, words: list[bytes]) -> list[bytes]:
     """The words of a document, of every tenth one with a stretch that repeats up to its end."""
     h, n = zlib.crc32(str(doc_id).encode()), len(words)
@@ -167,6 +173,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_elias_fano_tokens": op9_elias_fano_tokens,
     "op10_order_minhash": op10_order_minhash,
     "op11_hybrid_lexical_search": op11_hybrid_lexical_search,
+    "op12_kmeans_tree_search": op12_kmeans_tree_search,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
