@@ -559,30 +559,23 @@ def experiment_summary(spark, sf):
 
 # Models and runs
 
-EMBEDDED = {"extractor": "sentence_embeddings", "extractor_params": {"size": 64}}
 WEIGHED = {"extractor": "tfidf_vectorizer", "extractor_params": {"min_df": 2, "max_df": 0.8}}
+EMBEDDED = {"extractor": "sentence_embeddings", "extractor_params": {"size": 64}}
+# Solved so far that the digits shown do not depend on the way.
+SOLVED = {"model_params": {"tol": 1e-9}}
 
 
-def checked(df: DataFrame, *kept: str) -> DataFrame:
-    """Each prediction with what must hold of it, computed from the model's own output.
-
-    ``named``: the class code is known and its name belongs to it. ``likeliest``: it is the class of
-    the highest probability. ``sums_to_one``: the probabilities do.
-    """
-    chances = vector_to_array("probability")
-    total = F.aggregate(chances, F.lit(0.0), lambda a, x: a + x)
-    named = F.concat(F.lit("class_"), F.col("prediction").cast("string"))
+def judged(df: DataFrame, *kept: str, digits: int = 4) -> DataFrame:
+    """The predicted class, its name and the highest probability."""
+    confidence = F.array_max(vector_to_array("probability"))
     return df.select(
-        *kept,
-        (F.col("prediction_name") == named).alias("named"),
-        (F.array_position(chances, F.array_max(chances)) - 1 == F.col("prediction")).alias("likeliest"),
-        ((F.abs(total - 1) < 1e-6) & (F.array_min(chances) >= 0)).alias("sums_to_one"),
+        *kept, "prediction", "prediction_name", F.round(confidence, digits).alias("confidence")
     )
 
 
-def scored(result: runs.RunResult) -> DataFrame:
-    """The test side with its checked predictions."""
-    return checked(result.predictions, "doc_id", "target")
+def scored(result: runs.RunResult, digits: int = 4) -> DataFrame:
+    """The test side with its predictions."""
+    return judged(result.predictions, "doc_id", "target", digits=digits)
 
 
 def classification_scores(spark, sf) -> DataFrame:
@@ -591,30 +584,31 @@ def classification_scores(spark, sf) -> DataFrame:
 
 @query
 def classification_run(spark, sf):
-    """Sizes of a run's sides, and its scores against those of its predictions."""
-    result = runs.classification_run(labelled(spark, sf), use_class_weights=True, **WEIGHED)
-    right = F.avg((F.col("target") == F.col("prediction")).cast("double"))
-    again = result.predictions.agg(F.count("*").alias("n"), right.alias("accuracy"))
-    share = result.predictions.groupBy("target").count().agg(F.max("count")).first()[0]
-    return again.crossJoin(F.broadcast(result.metrics.drop("accuracy").withColumn(
-        "stated", F.lit(float(result.scores["accuracy"]))
-    ))).select(
-        F.col("n_train").cast("bigint"), F.col("n_test").cast("bigint"), F.col("n").alias("n_predicted"),
-        (F.abs(F.col("stated") - F.col("accuracy")) < 1e-9).alias("accuracy_agrees"),
-        (F.col("f1_macro").between(0.5, 1.0) & (F.col("accuracy") * F.col("n") > 0.5 * share))
-        .alias("learnt"),
+    """Sizes and scores of a run."""
+    made = runs.classification_run(
+        labelled(spark, sf), use_class_weights=True, **EMBEDDED, **SOLVED
+    ).metrics
+    names = ("accuracy", "precision_macro", "recall_macro", "f1_macro", "f1_weighted")
+    return made.select(
+        F.col("n_train").cast("bigint"), F.col("n_test").cast("bigint"),
+        *[F.round(n, 9).alias(n) for n in names],
     )
 
 
 @query
 def logreg(spark, sf):
+    return scored(runs.classification_run(labelled(spark, sf), **EMBEDDED, **SOLVED))
+
+
+@query
+def logreg_terms(spark, sf):
     return scored(runs.classification_run(labelled(spark, sf), **WEIGHED))
 
 
 @query
 def class_weighted_training(spark, sf):
     rows = labelled(spark, sf, "toxic")
-    return scored(runs.classification_run(rows, use_class_weights=True, **WEIGHED))
+    return scored(runs.classification_run(rows, use_class_weights=True, **EMBEDDED, **SOLVED))
 
 
 @query
@@ -639,11 +633,10 @@ def mlp_simple(spark, sf):
 
 @query
 def knn_classifier(spark, sf):
-    return scored(
-        runs.classification_run(
-            labelled(spark, sf), model="knn_classifier", use_class_weights=True, **EMBEDDED
-        )
+    result = runs.classification_run(
+        labelled(spark, sf), model="knn_classifier", use_class_weights=True, **EMBEDDED
     )
+    return scored(result, 6)
 
 
 @query
@@ -663,7 +656,7 @@ def gbt_multiclass(spark, sf):
         rows, "column", "gbt_classifier", {"column": "embedding"},
         {"n_estimators": 2, "max_depth": 3}, identifier="vec_id",
     )
-    return checked(result.predictions, "vec_id", "target")
+    return judged(result.predictions, "vec_id", "target")
 
 
 @query
@@ -679,19 +672,14 @@ def mlp_terms(spark, sf):
 @query
 def gbt_regressor(spark, sf):
     rows = spread(table(spark, sf, "lineitem"), "l_orderkey")
-    rows = rows.withColumnRenamed("l_extendedprice", "label")
-    made = columns.assemble_features(rows, ["l_quantity", "l_discount", "l_tax"])
-    rows = made.select("features", "label").persist()
-    trees = make_model("gbt_regressor", n_estimators=5, max_depth=4).fit(rows)
-    guessed = trees.transform(rows)
-    error = F.col("label") - F.col("prediction")
-    made = guessed.agg(
-        F.count("*").alias("n"),
-        (F.sqrt(F.avg(error * error)) < F.stddev_pop("label")).alias("below_deviation"),
-        (F.abs(F.avg(error)) < 0.05 * F.avg("label")).alias("centred"),
-    ).collect()
-    rows.unpersist()
-    return spark.createDataFrame(made)
+    made = columns.assemble_features(
+        rows.withColumnRenamed("l_extendedprice", "label"), ["l_quantity", "l_discount", "l_tax"]
+    )
+    trees = make_model("gbt_regressor", n_estimators=5, max_depth=4).fit(made)
+    guessed = trees.transform(made)
+    return guessed.select(
+        "l_orderkey", "l_linenumber", "label", F.round("prediction", 2).alias("prediction")
+    )
 
 
 @query
@@ -699,26 +687,40 @@ def word2vec_fit(spark, sf):
     model = pooling.word2vec_fit(
         documents_of(spark, sf), vector_size=16, min_count=5, epochs=1
     )
-    length = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    return pooling.word_vectors(model).select(
-        "word", F.size("vector").alias("n_dims"), ((length > 0) & (length < 1e6)).alias("placed")
-    )
+    return pooling.word_vectors(model).select("word", F.posexplode("vector").alias("dim", "value"))
 
 
 @query
-def word2vec_embed(spark, sf):
+def word2vec_words(spark, sf):
+    """The words that have a vector, and its size."""
+    model = pooling.word2vec_fit(
+        documents_of(spark, sf), vector_size=16, min_count=5, epochs=1
+    )
+    return pooling.word_vectors(model).select("word", F.size("vector").alias("n_dims"))
+
+
+def pooled_documents(spark, sf) -> DataFrame:
     documents = documents_of(spark, sf)
     model = pooling.word2vec_fit(documents, vector_size=16, min_count=5, epochs=1)
-    made = pooling.word2vec_embed(documents, model)
-    length = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
-    known = F.col("n_known").cast("bigint").alias("n_known")
-    return made.select("doc_id", known, ((length > 0) == (F.col("n_known") > 0)).alias("zero_if_unknown"))
+    return pooling.word2vec_embed(documents, model)
+
+
+@query
+def word2vec_embed(spark, sf):
+    made = pooled_documents(spark, sf)
+    return made.select("doc_id", F.posexplode("embedding").alias("dim", "value"))
+
+
+@query
+def word2vec_known(spark, sf):
+    """How many words of each document have a vector."""
+    return pooled_documents(spark, sf).select("doc_id", F.col("n_known").cast("bigint").alias("n_known"))
 
 
 @query
 def score_text(spark, sf):
-    fitted = runs.classification_run(labelled(spark, sf), **WEIGHED).fitted
-    return checked(runs.score_text(fitted, documents_of(spark, sf)), "doc_id")
+    fitted = runs.classification_run(labelled(spark, sf), **EMBEDDED, **SOLVED).fitted
+    return judged(runs.score_text(fitted, documents_of(spark, sf)), "doc_id")
 
 
 @query
@@ -745,41 +747,37 @@ def score_stream(spark, sf):
 
 @query
 def experiment_suite(spark, sf):
+    weighted = {"extractor": "sentence_embeddings", "extractor_params": {"size": 32}}
     configs = [
-        {"extractor": "count_vectorizer", "description": "counts, logistic regression"},
-        {"description": "weights, logistic regression", "use_class_weights": True, **WEIGHED},
+        {"description": "plain", **EMBEDDED, **SOLVED},
+        {"description": "weighted", "use_class_weights": True, **weighted,
+         "model_params": {"tol": 1e-9, "C": 0.5}},
         {"extractor": "no such extractor", "description": "a failure"},
-    ]
+    ]
     made = runs.experiment_suite(spark, configs, labelled(spark, sf), parallel=2)
     cells = F.flatten("performance.confusion_matrix")
-    total = F.aggregate(cells, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    right = F.aggregate(
-        F.transform("performance.confusion_matrix", lambda row, i: F.get(row, i)),
-        F.lit(0).cast("bigint"), lambda a, x: a + x,
-    )
-    report = F.col("performance.classification_report")
-    weighted = F.element_at(F.element_at(report, "weighted avg"), "f1-score")
     return made.select(
-        "experiment_id", "description", "status", total.alias("n_test"),
-        (F.abs(F.col("performance.accuracy") - right / total) < 1e-9).alias("accuracy_agrees"),
-        (F.abs(F.col("performance.f1_weighted") - weighted) < 1e-9).alias("f1_agrees"),
-        F.col("error").startswith("unknown extractor").alias("unknown_extractor"),
+        "experiment_id", "description", "status",
+        F.aggregate(cells, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n_test"),
+        *[F.round(f"performance.{n}", 9).alias(n) for n in ("accuracy", "f1_macro", "f1_weighted")],
+        F.substring("error", 1, 17).alias("error"),
     )
 
 
 @query
 def run_trials(spark, sf):
     space = search.SearchSpace(
-        {"max_features": search.Parameter("choice", "int", values=[1000, 5000])},
-        {"C": search.Parameter("range", "float", 0.01, 10.0, log=True)},
+        {"size": search.Parameter("choice", "int", values=[32, 64])},
+        {"C": search.Parameter("range", "float", 0.01, 1.0, log=True)},
     )
     made = search.hyperparameter_search(
-        labelled(spark, sf), fresh_path(spark, "search"), space=space, total_trials=3
-    )
+        labelled(spark, sf), fresh_path(spark, "search"), "sentence_embeddings", space=space,
+        total_trials=3, **SOLVED,
+    )
     return made.select(
         "trial_index", "status",
-        F.element_at("params", "extractor_max_features").cast("bigint").alias("max_features"),
+        F.element_at("params", "extractor_size").cast("bigint").alias("size"),
         F.round(F.element_at("params", "model_C").cast("double"), 9).alias("C"),
-        trials.metric_value("accuracy").between(0.5, 1.0).alias("accuracy_in_range"),
-        trials.metric_value("f1_score").between(0.3, 1.0).alias("f1_in_range"),
+        F.round(trials.metric_value("accuracy"), 9).alias("accuracy"),
+        F.round(trials.metric_value("f1_score"), 9).alias("f1_score"),
     )

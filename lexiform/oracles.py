@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 from lexiform.functions.stop_words import ENGLISH
 
 ORACLES: dict[str, str] = {}
@@ -234,17 +237,20 @@ ORACLES["tfidf_sublinear"] = weighed_terms(
     TERM_COUNTS.replace("lower(text)", "lower(strip_accents(text))"), "(1 + ln(tf))"
 )
 
-HASHED_SUMS = f"""
-    SELECT doc_id, CAST(CAST('0x' || substring(h, 1, 8) AS BIGINT) % 64 AS INTEGER) AS dim,
+
+def hashed_sums(size: int = 64) -> str:
+    return f"""
+    SELECT doc_id, CAST(CAST('0x' || substring(h, 1, 8) AS BIGINT) % {size} AS INTEGER) AS dim,
         CAST(sum(CASE WHEN CAST('0x' || substring(h, 9, 1) AS BIGINT) % 2 = 1 THEN 1 ELSE -1 END)
             AS DOUBLE) AS s
     FROM (SELECT doc_id, md5(term) AS h
           FROM (SELECT doc_id, unnest({WORDS}) AS term FROM documents) t) m
     GROUP BY 1, 2"""
 
+
 HASHED = f"""
 SELECT doc_id, dim, round(s / sqrt(sum(s * s) OVER (PARTITION BY doc_id)), 6) AS value
-FROM ({HASHED_SUMS}) x WHERE s <> 0"""
+FROM ({hashed_sums()}) x WHERE s <> 0"""
 
 # Entries other than 0, and the first one of every document.
 HASHED_ROWS = f"""
@@ -375,17 +381,23 @@ ORACLES["probability_columns"] = (
     + f" FROM ({NEAR}) n GROUP BY query_id"
 )
 
-DENSE = f"""
-SELECT p.doc_id, p.target, list(coalesce(h.value, 0) ORDER BY p.dim) AS v
-FROM (SELECT doc_id, target, CAST(unnest(range(0, 64)) AS INTEGER) AS dim FROM ({QUALITY}) q) p
-LEFT JOIN (
-    SELECT doc_id, dim, s / sqrt(sum(s * s) OVER (PARTITION BY doc_id)) AS value
-    FROM ({HASHED_SUMS}) x WHERE s <> 0
-) h ON h.doc_id = p.doc_id AND h.dim = p.dim
-GROUP BY p.doc_id, p.target"""
+
+def dense(rows: str, size: int = 64) -> str:
+    """Rows of doc_id and target with the hashed vector of their document."""
+    return f"""
+    SELECT p.doc_id, p.target, list(coalesce(h.value, 0) ORDER BY p.dim) AS v
+    FROM (
+        SELECT doc_id, target, CAST(unnest(range(0, {size})) AS INTEGER) AS dim FROM ({rows}) q
+    ) p
+    LEFT JOIN (
+        SELECT doc_id, dim, s / sqrt(sum(s * s) OVER (PARTITION BY doc_id)) AS value
+        FROM ({hashed_sums(size)}) x WHERE s <> 0
+    ) h ON h.doc_id = p.doc_id AND h.dim = p.dim
+    GROUP BY p.doc_id, p.target"""
+
 
 ORACLES["knn_classifier"] = f"""
-WITH rows AS MATERIALIZED ({split_rows(DENSE, 'doc_id', kept='v')}),
+WITH rows AS MATERIALIZED ({split_rows(dense(QUALITY), 'doc_id', kept='v')}),
 near AS (
     SELECT query_id, truth, label, distance FROM (
         SELECT q.doc_id AS query_id, q.target AS truth, t.target AS label,
@@ -522,68 +534,150 @@ SELECT CASE WHEN p_size > 5 THEN 'success' ELSE 'failed' END AS status, count(*)
     count(CASE WHEN p_size <= 5 THEN p_name END) AS n_errors
 FROM part GROUP BY 1"""
 
-# Models and runs: what any right model gives, and properties that have to hold of this one.
+# Models and runs. The optimum of a penalised logistic regression is unique, so SQL can look for it
+# by itself: accelerated gradient descent over vectors of documents, until it stands still.
 
-CHECKED = "true AS named, true AS likeliest, true AS sums_to_one"
 TOXIC = LABELLED.format(target="toxic")
+STEPS = 700
 
 
-def tested(rows: str) -> str:
+def logistic(
+    rows: str, weighted: bool, c: float | str = 1.0, size: int = 64, name: str = "",
+    limit: str = "true",
+) -> str:
+    """Common table expressions split{name} (rows with v and side) and fitted{name} (w, the weights and
+    last the intercept) of the training side."""
+    weight = "total / (n * classes)" if weighted else "1"
+    places = size + 1
     return f"""
-    SELECT doc_id, target, {CHECKED} FROM ({split_rows(rows, 'doc_id')}) s WHERE split = 'test'"""
+    split{name} AS MATERIALIZED ({split_rows(dense(rows, size), 'doc_id', kept='v')}),
+    sides{name} AS (
+        SELECT target, CAST({weight} AS DOUBLE) AS om FROM (
+            SELECT target, count(*) AS n, CAST(sum(count(*)) OVER () AS DOUBLE) AS total,
+                count(*) OVER () AS classes
+            FROM split{name} WHERE split = 'train' GROUP BY target) t),
+    train{name} AS MATERIALIZED (
+        SELECT list_append(v, CAST(1 AS DOUBLE)) AS x, CAST(target AS DOUBLE) AS y, om
+        FROM split{name} JOIN sides{name} USING (target) WHERE split = 'train' AND {limit}),
+    speed{name} AS MATERIALIZED (
+        SELECT 1 / l AS step, (sqrt(l * c) - 1) / (sqrt(l * c) + 1) AS beta, 1 / c AS penalty FROM (
+            SELECT sum(om) / 2 + 1 / c AS l, c
+            FROM train{name}, (SELECT CAST({c} AS DOUBLE) AS c) p GROUP BY c) t),
+    descent{name} AS (
+        SELECT 0 AS k, list_transform(range({places}), lambda i: CAST(0 AS DOUBLE)) AS w,
+            list_transform(range({places}), lambda i: CAST(0 AS DOUBLE)) AS ahead
+        UNION ALL
+        SELECT k + 1, list(w ORDER BY j), list(w + beta * (w - old) ORDER BY j) FROM (
+            SELECT k, j, old, beta,
+                here - step * (g + CASE WHEN j < {places} THEN here * penalty ELSE 0 END) AS w
+            FROM (
+                SELECT k, j, any_value(w[j]) AS old, any_value(ahead[j]) AS here, sum(r * x[j]) AS g
+                FROM (
+                    SELECT k, w, ahead, x, r, unnest(range(1, {places + 1})) AS j FROM (
+                        SELECT k, w, ahead, x,
+                            om * (1 / (1 + exp(-list_inner_product(x, ahead))) - y) AS r
+                        FROM descent{name}, train{name} WHERE k < {STEPS}) a) b
+                GROUP BY k, j) c, speed{name}) d
+        GROUP BY k),
+    fitted{name} AS MATERIALIZED (SELECT w FROM descent{name} WHERE k = {STEPS}),
+    chances{name} AS (
+        SELECT doc_id, target, split,
+            1 / (1 + exp(-list_inner_product(list_append(v, CAST(1 AS DOUBLE)), w))) AS p
+        FROM split{name}, fitted{name})"""
 
 
-for _name in ("logreg", "mlp", "mlp_simple", "gbt_classifier", "mlp_terms"):
-    ORACLES[_name] = tested(QUALITY)
-ORACLES["class_weighted_training"] = tested(TOXIC)
+JUDGEMENT = """CAST(p > 0.5 AS INTEGER) AS prediction,
+    'class_' || CAST(CAST(p > 0.5 AS INTEGER) AS VARCHAR) AS prediction_name,
+    round(greatest(p, 1 - p), 4) AS confidence"""
 
-ORACLES["gbt_multiclass"] = f"""
-SELECT vec_id, target, {CHECKED} FROM ({SPLIT_VECTORS}) s WHERE split = 'test'"""
 
-SIDES = f"""
-SELECT count(*) FILTER (WHERE split = 'train') AS n_train,
-    count(*) FILTER (WHERE split = 'test') AS n_test
-FROM ({split_rows(QUALITY, 'doc_id')}) s"""
+def logistic_tests(rows: str, weighted: bool) -> str:
+    return f"""
+    WITH RECURSIVE {logistic(rows, weighted)}
+    SELECT doc_id, target, {JUDGEMENT} FROM chances WHERE split = 'test'"""
+
+
+ORACLES["logreg"] = logistic_tests(QUALITY, False)
+ORACLES["class_weighted_training"] = logistic_tests(TOXIC, True)
+
+
+def test_pairs(name: str = "") -> str:
+    return f"""
+    SELECT target AS y_true, CAST(p > 0.5 AS INTEGER) AS y_pred
+    FROM chances{name} WHERE split = 'test'"""
+
 
 ORACLES["classification_run"] = f"""
-SELECT n_train, n_test, n_test AS n_predicted, true AS accuracy_agrees, true AS learnt
-FROM ({SIDES}) t"""
+WITH RECURSIVE {logistic(QUALITY, True)}
+SELECT count(*) FILTER (WHERE split = 'train') AS n_train,
+    count(*) FILTER (WHERE split = 'test') AS n_test, any_value(s.accuracy) AS accuracy,
+    any_value(s.precision_macro) AS precision_macro, any_value(s.recall_macro) AS recall_macro,
+    any_value(s.f1_macro) AS f1_macro, any_value(s.f1_weighted) AS f1_weighted
+FROM chances, (
+    SELECT round(sum(tp) / sum(support), 9) AS accuracy,
+        round(avg(precision), 9) AS precision_macro, round(avg(recall), 9) AS recall_macro,
+        round(avg(f1), 9) AS f1_macro, round(sum(f1 * support) / sum(support), 9) AS f1_weighted
+    FROM ({class_scores(test_pairs())}) c) s"""
+
+ORACLES["score_text"] = f"""
+WITH RECURSIVE {logistic(QUALITY, False)},
+scored AS (
+    SELECT doc_id, 1 / (1 + exp(-list_inner_product(list_append(v, CAST(1 AS DOUBLE)), w))) AS p
+    FROM ({dense('SELECT doc_id, 0 AS target FROM documents')}) d, fitted)
+SELECT doc_id, {JUDGEMENT} FROM scored"""
+
+
+def run_scores(name: str) -> str:
+    return f"""
+    SELECT round(sum(tp) / sum(support), 9) AS accuracy, round(avg(f1), 9) AS f1_macro,
+        round(sum(f1 * support) / sum(support), 9) AS f1_weighted
+    FROM ({class_scores(test_pairs(name))}) c"""
 
-ORACLES["gbt_regressor"] = """
-SELECT count(*) AS n, true AS below_deviation, true AS centred FROM lineitem"""
+
+ORACLES["experiment_suite"] = f"""
+WITH RECURSIVE {logistic(QUALITY, False, 1.0, 64, '1')}, {logistic(QUALITY, True, 0.5, 32, '2')},
+made AS (
+    SELECT 1 AS e, 'plain' AS d, * FROM ({run_scores('1')}) a
+    UNION ALL SELECT 2, 'weighted', * FROM ({run_scores('2')}) b)
+SELECT CAST(e AS INTEGER) AS experiment_id, d AS description, 'success' AS status,
+    (SELECT count(*) FROM split1 WHERE split = 'test') AS n_test, accuracy, f1_macro, f1_weighted,
+    CAST(NULL AS VARCHAR) AS error
+FROM made
+UNION ALL SELECT 3, 'a failure', 'failed', NULL, NULL, NULL, NULL, 'unknown extractor' """
+
+
+def drawn(name: str, trial: int) -> float:
+    """The uniform number of a parameter in a trial."""
+    return int(hashlib.md5(f"{trial}:{name}:42".encode()).hexdigest()[:8], 16) / 2**32
+
+
+TRIALS = {
+    i: (math.exp(math.log(0.01) * (1 - drawn("model_C", i))), 32 + 32 * int(2 * drawn("extractor_size", i)))
+    for i in range(3)
+}
+ORACLES["run_trials"] = (
+    "WITH RECURSIVE "
+    + ", ".join(logistic(QUALITY, True, c, size, str(i)) for i, (c, size) in TRIALS.items())
+    + " UNION ALL ".join(
+        f"""
+    SELECT CAST({i} AS BIGINT) AS trial_index, 'completed' AS status, CAST({size} AS BIGINT) AS size,
+        round(CAST({c!r} AS DOUBLE), 9) AS C, accuracy, f1_macro AS f1_score
+    FROM ({run_scores(str(i))}) s{i}"""
+        for i, (c, size) in TRIALS.items()
+    )
+)
 
 COMMON = f"""
 SELECT word FROM (SELECT unnest({PIECES}) AS word FROM documents) t
 GROUP BY word HAVING count(*) >= 5"""
 
-ORACLES["word2vec_fit"] = f"SELECT word, 16 AS n_dims, true AS placed FROM ({COMMON}) c"
+ORACLES["word2vec_words"] = f"SELECT word, 16 AS n_dims FROM ({COMMON}) c"
 
-ORACLES["word2vec_embed"] = f"""
-SELECT d.doc_id, coalesce(n, 0) AS n_known, true AS zero_if_unknown
+ORACLES["word2vec_known"] = f"""
+SELECT d.doc_id, coalesce(n, 0) AS n_known
 FROM documents d LEFT JOIN (
     SELECT doc_id, count(*) AS n
     FROM (SELECT doc_id, unnest({PIECES}) AS word FROM documents) t
     WHERE word IN ({COMMON}) GROUP BY doc_id) k USING (doc_id)"""
 
-ORACLES["score_text"] = f"SELECT doc_id, {CHECKED} FROM documents"
 ORACLES["score_stream"] = "SELECT doc_id, true AS as_in_batch FROM documents"
-
-ORACLES["experiment_suite"] = f"""
-SELECT CAST(e AS INTEGER) AS experiment_id, d AS description, s AS status,
-    CASE WHEN s = 'success' THEN n_test END AS n_test,
-    CASE WHEN s = 'success' THEN true END AS accuracy_agrees,
-    CASE WHEN s = 'success' THEN true END AS f1_agrees,
-    CASE WHEN s = 'failed' THEN true END AS unknown_extractor
-FROM (VALUES (1, 'counts, logistic regression', 'success'),
-             (2, 'weights, logistic regression', 'success'),
-             (3, 'a failure', 'failed')) v(e, d, s), ({SIDES}) t"""
-
-_drawn = {n: draw(n).replace("p_partkey", "i") for n in ("extractor_max_features", "model_C")}
-ORACLES["run_trials"] = f"""
-SELECT CAST(i AS BIGINT) AS trial_index, 'completed' AS status,
-    CAST(([1000, 5000])[CAST(floor({_drawn['extractor_max_features']} * 2) AS INTEGER) + 1] AS BIGINT)
-        AS max_features,
-    round(exp(ln(CAST(0.01 AS DOUBLE)) + {_drawn['model_C']}
-        * (ln(CAST(10 AS DOUBLE)) - ln(CAST(0.01 AS DOUBLE)))), 9) AS C,
-    true AS accuracy_in_range, true AS f1_in_range
-FROM range(0, 3) r(i)"""
