@@ -1,21 +1,32 @@
-"""Exact k nearest neighbours and their vote."""
+"""Exact k nearest neighbours and their vote.
+
+Few queries go to the training rows as a broadcast. Many are joined by pivots: every training row
+belongs to the cell of its nearest pivot. A first pass takes each query to the cells of its nearest
+pivots until these hold k rows, which gives it a distance that its neighbours cannot exceed. A second
+pass takes it to those other cells that can hold a nearer row by two bounds of the triangle
+inequality: the cell's rows lie between its inner and outer radius, and nearer to its pivot than to
+the query's own.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from lexiform.cluster import block_pairs
+from lexiform.cluster import checkpointed, settled
 from lexiform.functions.vectors import as_array
 
 # Queries of at most this many numbers are broadcast.
 BROADCAST_NUMBERS = 8_000_000
 
-# Rows per block when both sides are large.
+# Training rows per cell, until the pivots reach BROADCAST_NUMBERS, and rows per block of a cell.
+CELL_ROWS = 2_000
 BLOCK_ROWS = 20_000
 
 # Numbers held at once while distances are computed.
@@ -105,7 +116,7 @@ def k_nearest(
     Returns query_id, neighbour_id, label, distance, rank. No pair of rows
     leaves a task: each task reduces what it sees to k rows per query. Queries
     of a checked size go to the training partitions, which are not shuffled; a
-    larger set meets the training rows in bounded blocks. The final ranking
+    larger set meets the training rows by pivots. The final ranking
     limits each query to k rows per task before its shuffle. Distances are
     rounded to nine digits so that ties do not depend on summation order.
     """
@@ -152,19 +163,162 @@ def k_nearest(
         tasks = max(2 * cores, known.count() // max(1, k * n_queries))
         candidates = known.coalesce(tasks).mapInPandas(scan, schema)
     else:
+        candidates = by_pivots(checkpointed(asked), known, k, p, schema, widest)
+    place = Window.partitionBy("query_id").orderBy("distance", "neighbour_id")
+    return candidates.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
+
+
+class Pivots:
+    """Pivots, and when they are measured, the rows and radii of their cells."""
+
+    def __init__(self, points: np.ndarray, p: float):
+        self.points, self.p = points, p
+        self.counts = np.zeros(len(points), np.int64)
+        self.inner = np.full(len(points), math.inf)
+        self.outer = np.full(len(points), -math.inf)
+
+    def gaps(self, rows: np.ndarray) -> np.ndarray:
+        """A metric between rows and pivots: the distance, or for p < 1 its p-th power."""
+        out = np.empty((len(rows), len(self.points)))
+        step = max(1, WORKING_NUMBERS // max(1, self.points.size))
+        for start in range(0, len(rows), step):
+            gap = np.abs(rows[start : start + step, None, :] - self.points[None, :, :])
+            out[start : start + step] = self.metric((gap**self.p).sum(axis=2))
+        return out
+
+    def metric(self, powers: np.ndarray) -> np.ndarray:
+        return powers if self.p < 1 else powers ** (1.0 / self.p)
+
+    def home(self, gaps: np.ndarray, k: int) -> np.ndarray:
+        """Per query and cell, whether the first pass visits it."""
+        order = np.argsort(gaps, axis=1, kind="stable")
+        held = np.cumsum(self.counts[order], axis=1)
+        before = held - self.counts[order]
+        visited = np.zeros(gaps.shape, bool)
+        np.put_along_axis(visited, order, (before < k) & (self.counts[order] > 0), axis=1)
+        return visited
+
+    def open(self, gaps: np.ndarray, limit: np.ndarray, k: int) -> np.ndarray:
+        """Per query and cell, whether the second pass visits it: rows within ``limit`` may be there."""
+        reach = (limit if self.p >= 1 else limit**self.p)[:, None]
+        reach = reach * (1 + 1e-9) + 1e-8  # of rounding
+        inside = (gaps - self.outer <= reach) & (self.inner - gaps <= reach)
+        nearest = np.where(self.counts > 0, gaps, math.inf).min(axis=1, keepdims=True)
+        inside &= (gaps - nearest) / 2 <= reach
+        return inside & (self.counts > 0) & ~self.home(gaps, k)
+
+
+def chosen_pivots(known: DataFrame, widest: int, p: float) -> Pivots:
+    """The training rows with the smallest hashes of their ids."""
+    n = known.count()
+    most = min(math.ceil(n / CELL_ROWS), math.isqrt(n), BROADCAST_NUMBERS // max(1, widest))
+    most = max(1, most)
+    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    share = min(1.0, 1.2 * most / max(1, n) + 30 / max(1, n))
+    drawn = known.filter(draw < int(share * (1 << 30))).select(draw.alias("draw"), "id", "v")
+    rows = sorted(drawn.limit(2 * most + 200).collect(), key=lambda r: (r["draw"], str(r["id"])))
+    return Pivots(matrix([r["v"] for r in rows[:most]]), p)
+
+
+def celled(known: DataFrame, pivots: Pivots) -> DataFrame:
+    """Training rows with their cell and their distance to its pivot, written once; measures the
+    cells."""
+    given = known.sparkSession.sparkContext.broadcast(pivots)
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                gaps = given.value.gaps(matrix(batch["v"]))
+                cell = gaps.argmin(axis=1)
+                yield batch.assign(cell=cell, gap=gaps[np.arange(len(batch)), cell])
+
+    schema = StructType(
+        [*known.schema, StructField("cell", LongType()), StructField("gap", DoubleType())]
+    )
+    rows = checkpointed(known.mapInPandas(assign, schema))
+    measured = rows.groupBy("cell").agg(F.count("*"), F.min("gap"), F.max("gap"))
+    for cell, n, inner, outer in measured.collect():  # a row per pivot
+        pivots.counts[cell], pivots.inner[cell], pivots.outer[cell] = n, inner, outer
+    return rows
+
+
+def visits(asked: DataFrame, pivots: Pivots, k: int, limits: DataFrame | None = None) -> DataFrame:
+    """A row per query and cell to visit: of the first pass, or with ``limits`` (id, limit) of the
+    second."""
+    given = asked.sparkSession.sparkContext.broadcast(pivots)
+    if limits is not None:
+        asked = asked.join(limits, "id")
+    wanted = StructType([*asked.schema, StructField("cell", LongType())])
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        step = max(1, WORKING_NUMBERS // max(1, len(given.value.points)))
+        for batch in batches:
+            for start in range(0, len(batch), step):
+                part = batch.iloc[start : start + step]
+                gaps = given.value.gaps(matrix(part["v"]))
+                if "limit" in part:
+                    to = given.value.open(gaps, part["limit"].to_numpy(float), k)
+                else:
+                    to = given.value.home(gaps, k)
+                query, cell = np.nonzero(to)
+                for at in range(0, len(query), 10_000):
+                    some = part.iloc[query[at : at + 10_000]]
+                    yield some.assign(cell=cell[at : at + 10_000])
+
+    return asked.mapInPandas(spread, wanted).select("id", "v", "cell")
+
+
+def met(asked: DataFrame, rows: DataFrame, k: int, p: float, schema: str) -> DataFrame:
+    """The k nearest rows of each query in each block of the cells that it visits."""
+    asked = checkpointed(asked)
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias(name))
+
+    def every(column: str):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(column) - 1))
+
+    counts, small = settled(blocks(asked, "_asked").join(blocks(rows, "_rows"), "cell"))
+    counts = F.broadcast(counts) if small else counts
+    left = asked.join(counts, "cell").select(
+        "id", "v", "cell", F.pmod(F.xxhash64("id"), F.col("_asked")).alias("a"), every("_rows").alias("b")
+    )
+    right = rows.join(counts, "cell").select(
+        "id", "v", "label", "cell", every("_asked").alias("a"),
+        F.pmod(F.xxhash64("id"), F.col("_rows")).alias("b"),
+    )
+
+    def meet(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        if not len(queries) or not len(block):
+            return pd.DataFrame(columns=["query_id", "neighbour_id", "label", "distance"])
+        return nearest(
+            queries["id"].to_numpy(), matrix(queries["v"]), block["id"].to_numpy(),
+            block["label"].to_numpy(), matrix(block["v"]), k, p,
+        )
+
+    key = ("cell", "a", "b")
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(meet, schema)
 
-        def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            if not len(left) or not len(right):
-                return pd.DataFrame(columns=["query_id", "neighbour_id", "label", "distance"])
-            return nearest(
-                left["id"].to_numpy(), matrix(left["v"]), right["id"].to_numpy(),
-                right["label"].to_numpy(), matrix(right["v"]), k, p,
-            )
 
-        counts = n_queries, known.count()
-        candidates = block_pairs(asked, known, "id", "id", meet, schema, BLOCK_ROWS, counts)
+def by_pivots(
+    asked: DataFrame, known: DataFrame, k: int, p: float, schema: str, widest: int
+) -> DataFrame:
+    """Candidates that are sure to hold the k nearest training rows of each query."""
+    # Of equal rows only the k smallest ids can be among the k nearest.
+    first = Window.partitionBy("v").orderBy("id")
+    known = checkpointed(
+        known.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= k).drop("_n")
+    )
+    if known.isEmpty():
+        return asked.sparkSession.createDataFrame([], schema)
+    pivots = chosen_pivots(known, widest, p)
+    rows = celled(known, pivots)
+    near = checkpointed(met(visits(asked, pivots, k), rows, k, p, schema))
     place = Window.partitionBy("query_id").orderBy("distance", "neighbour_id")
-    return candidates.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
+    best = near.withColumn("_n", F.row_number().over(place)).filter(F.col("_n") <= k)
+    limit = F.when(F.count("*") == k, F.max("distance")).otherwise(float("inf"))
+    limits = best.groupBy(F.col("query_id").alias("id")).agg(limit.alias("limit"))
+    return near.unionByName(met(visits(asked, pivots, k, limits), rows, k, p, schema))
 
 
 def votes(neighbours: DataFrame, weights: str = "uniform") -> DataFrame:

@@ -6,25 +6,19 @@ of doubles). An objective is a pair (metric name, minimise).
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
-from functools import reduce
-from operator import and_
+from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiform.cluster import block_pairs, checkpointed, join_dimension, settled
+from lexiform.cluster import join_dimension
+from lexiform.operators.skyline import skyline
 
 Objective = tuple[str, bool]
 
 # Trials per bucket of a running computation.
 BUCKET_TRIALS = 65_536
 
-# A frontier candidate set of at most this many trials is broadcast.
-BROADCAST_CANDIDATES = 50_000
-
 # The names under which a metric may be recorded, best first.
 METRIC_ALIASES = {
     "accuracy": ["accuracy", "test_accuracy", "val_accuracy"],
@@ -144,120 +138,23 @@ def threshold_filter(
     return kept
 
 
-def _beaten(rows: np.ndarray, others: np.ndarray, weak: bool) -> np.ndarray:
-    """Which rows are dominated by one of the others, over the values both have."""
-    out = np.zeros(len(rows), dtype=bool)
-    step = max(1, 2_000_000 // max(1, others.size))
-    for start in range(0, len(rows), step):
-        mine, theirs = rows[start : start + step, None, :], others[None, :, :]
-        unknown = np.isnan(mine) | np.isnan(theirs)
-        shared = ~unknown.all(axis=2)
-        if weak:
-            wins = ((theirs >= mine) | unknown).all(axis=2) & (theirs > mine).any(axis=2)
-        else:
-            wins = ((theirs > mine) | unknown).all(axis=2) & shared
-        out[start : start + step] = wins.any(axis=1)
-    return out
-
-
-def _local_frontier(values: np.ndarray, weak: bool) -> np.ndarray:
-    """Which rows no other row with the same known values dominates.
-
-    Dominance is transitive only between trials that have the same objectives,
-    so only those may eliminate each other here.
-    """
-    keep = np.ones(len(values), dtype=bool)
-    patterns, kind = np.unique(np.isnan(values), axis=0, return_inverse=True)
-    for i, pattern in enumerate(patterns):
-        members = np.flatnonzero(kind.ravel() == i)
-        shown = values[members][:, ~pattern]
-        members = members[np.argsort(-shown.sum(axis=1), kind="stable")]
-        front = np.empty((0, values.shape[1]))
-        for start in range(0, len(members), 1024):
-            block = members[start : start + 1024]
-            alive = block[~_beaten(values[block], front, weak)] if len(front) else block
-            alive = alive[~_beaten(values[alive], values[alive], weak)]
-            front = np.vstack([front, values[alive]])
-            keep[np.setdiff1d(block, alive)] = False
-    return keep
-
-
 def pareto_frontier(
     trials: DataFrame, objectives: Sequence[Objective], mode: str = "strict"
 ) -> DataFrame:
     """Trials that no other trial dominates: trial_index and one column per objective.
 
     ``strict``: to dominate is to be better on every objective both have, so
-    ties do not dominate. ``weak``: no worse on all and better on one. Each task
-    reduces its trials to the distinct points they do not dominate themselves;
-    the few points left are then compared with each other, broadcast if their
-    counted number allows and in bounded blocks if not. The trials of the
-    remaining points are looked up at the end, so any number of them may tie.
+    ties do not dominate. ``weak``: no worse on all and better on one.
     """
     if mode not in ("strict", "weak"):
         raise ValueError("mode must be strict or weak")
-    weak = mode == "weak"
     names = [name for name, _ in objectives]
-    signs = np.array([-1.0 if minimize else 1.0 for _, minimize in objectives])
     values = completed(trials).select(
         "trial_index",
         *[F.nanvl(metric_value(name), F.lit(None).cast("double")).alias(name) for name in names],
     )
-    values = values.filter(F.coalesce(*names).isNotNull())
-    points = values.select(*names)
-    schema = points.schema
-
-    def scores(frame: pd.DataFrame) -> np.ndarray:
-        return frame[names].to_numpy(dtype=float) * signs
-
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
-        for batch in batches:
-            kept = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
-            kept = kept.drop_duplicates(ignore_index=True)
-            kept = kept[_local_frontier(scores(kept), weak)]
-        if kept is not None:
-            yield kept
-
-    def reduced(some: DataFrame) -> tuple[DataFrame, int]:
-        made = checkpointed(some.mapInPandas(local, schema).distinct())
-        return made, made.count()
-
-    candidates, count = reduced(points)
-    parts = candidates.sparkSession.sparkContext.defaultParallelism
-    while count > BROADCAST_CANDIDATES and parts > 1:
-        parts = max(1, parts // 4)
-        merged, fewer = reduced(candidates.repartition(parts))
-        if fewer > 0.9 * count:
-            break
-        candidates, count = merged, fewer
-
-    def same(left: DataFrame, right: DataFrame) -> Column:
-        return reduce(and_, [left[name].eqNullSafe(right[name]) for name in names])
-
-    if count <= BROADCAST_CANDIDATES:
-        rivals = candidates.sparkSession.sparkContext.broadcast(scores(candidates.toPandas()))
-
-        def survivors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                yield batch[~_beaten(scores(batch), rivals.value, weak)]
-
-        best = candidates.mapInPandas(survivors, schema)
-    else:
-
-        def lost(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            if not len(left) or not len(right):
-                return left[names].iloc[:0]
-            return left[_beaten(scores(left), scores(right), weak)][names]
-
-        keyed = candidates.withColumn("_point", F.xxhash64(*names))
-        dominated = block_pairs(
-            keyed, keyed, "_point", "_point", lost, schema, BROADCAST_CANDIDATES, (count, count)
-        ).distinct()
-        best = candidates.join(dominated, same(candidates, dominated), "left_anti")
-    best, small = settled(best.select([F.col(name).alias(f"_{name}") for name in names]))
-    matched = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in names])
-    return values.join(F.broadcast(best) if small else best, matched, "left_semi")
+    turned = [-F.col(name) if minimize else F.col(name) for name, minimize in objectives]
+    return skyline(values, turned, mode == "weak")
 
 
 def recommend_configs(

@@ -83,6 +83,76 @@ def test_against_brute_force(spark, monkeypatch, p, small):
         assert [found[i][r] for r in range(1, 8)] == order
 
 
+def brute(q, t, k, p):
+    found = {}
+    for i, point in enumerate(q):
+        gap = ((np.abs(point - t) ** p).sum(axis=1) ** (1 / p)).round(9)
+        order = sorted(range(len(t)), key=lambda j: (gap[j], j))[:k]
+        found.update({(i, r): (j, gap[j]) for r, j in enumerate(order, 1)})
+    return found
+
+
+@pytest.mark.parametrize("p", [0.5, 1, 2, 3])
+def test_pivots_against_brute_force(spark, monkeypatch, p):
+    monkeypatch.setattr(knn, "CELL_ROWS", 20)
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 30)
+    random = np.random.default_rng(11)
+    centres = random.normal(size=(25, 4)) * 20
+    t = (centres[random.integers(0, 25, 900)] + random.normal(size=(900, 4))).round(1)
+    q = (centres[random.integers(0, 25, 300)] + random.normal(size=(300, 4))).round(1)
+    t[:300] = t[0]  # a third of the rows are equal
+    q[:50] = t[0]
+    asked, known = frames(
+        spark,
+        [(i, v.tolist()) for i, v in enumerate(q)],
+        [(i, v.tolist(), i % 3) for i, v in enumerate(t)],
+    )
+    schema = "query_id bigint, neighbour_id bigint, label int, distance double"
+    asked = asked.withColumnsRenamed({"doc_id": "id", "features": "v"})
+    known = known.withColumnsRenamed({"doc_id": "id", "features": "v", "target": "label"})
+    candidates = knn.by_pivots(asked, known, 7, p, schema, 4)
+    wanted = brute(q, t, 7, p)
+    best = {}
+    for row in candidates.collect():
+        best.setdefault(row["query_id"], set()).add((round(row["distance"], 9), row["neighbour_id"]))
+    for i in range(300):
+        ranked = sorted(best[i])[:7]
+        assert [j for _, j in ranked] == [wanted[i, r][0] for r in range(1, 8)]
+
+
+def test_pivots_leave_most_cells_alone(spark, monkeypatch):
+    monkeypatch.setattr(knn, "CELL_ROWS", 25)
+    random = np.random.default_rng(12)
+    centres = random.normal(size=(20, 4)) * 30
+    t = centres[random.integers(0, 20, 1500)] + random.normal(size=(1500, 4))
+    q = centres[random.integers(0, 20, 200)] + random.normal(size=(200, 4))
+    known = spark.createDataFrame(
+        [(i, v.tolist(), 0) for i, v in enumerate(t)], "id bigint, v array<double>, label int"
+    )
+    asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "id bigint, v array<double>")
+    pivots = knn.chosen_pivots(known, 4, 2)
+    rows = knn.celled(known, pivots)
+    assert len(pivots.points) == 38 and rows.count() == pivots.counts.sum() == 1500
+    wanted = brute(q, t, 5, 2)
+    limits = spark.createDataFrame(
+        [(i, float(wanted[i, 5][1])) for i in range(200)], "id bigint, limit double"
+    )
+    first, second = knn.visits(asked, pivots, 5), knn.visits(asked, pivots, 5, limits)
+    assert first.join(second, ["id", "cell"]).isEmpty()
+    assert first.count() + second.count() < 200 * 38 / 6
+
+
+def test_pivots_and_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(knn, "BROADCAST_NUMBERS", 2)
+    monkeypatch.setattr(knn, "CELL_ROWS", 1)
+    asked, known = frames(
+        spark, [(i, [float(i)]) for i in range(9)], [(1, [1.0], 0), (2, [5.0], 1), (3, [5.0], 1)]
+    )
+    found = knn.k_nearest(asked, known, 5)
+    assert found.groupBy("query_id").count().filter("count = 3").count() == 9
+    assert knn.k_nearest(asked, known.limit(0), 5).count() == 0
+
+
 def test_text_ids_and_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(knn, "WORKING_NUMBERS", 50)
     asked = spark.createDataFrame([("q1", [0.0, 0.0]), ("q2", [5.0, 5.0])], "doc_id string, features array<double>")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexiform.operators import trials
+from lexiform.operators import skyline, trials
 from lexiform.sources import trials_store
 
 OBJECTIVES = [("accuracy", False), ("training_time", True)]
@@ -46,19 +46,26 @@ def dominates(a, b, weak):
 
 
 @pytest.mark.parametrize("mode", ["strict", "weak"])
-@pytest.mark.parametrize("candidates", [50_000, 5])
-def test_frontier_against_brute_force(spark, monkeypatch, mode, candidates):
-    monkeypatch.setattr(trials, "BROADCAST_CANDIDATES", candidates)
+@pytest.mark.parametrize("names", [["m0"], ["m0", "m1"], ["m0", "m1", "m2"]])
+@pytest.mark.parametrize("small", [False, True])
+def test_frontier_against_brute_force(spark, monkeypatch, mode, names, small):
+    if small:
+        monkeypatch.setattr(skyline, "BLOCK_ROWS", 5)
+        monkeypatch.setattr(skyline, "BUCKET_VALUES", 3)
+        monkeypatch.setattr(skyline, "CELLS", 30)
     random = np.random.default_rng(3)
-    names = ["m0", "m1", "m2"]
+    objectives = [(n, n == "m1") for n in names]
     for missing in (0.0, 0.15):
         values = [
             [None if random.random() < missing else float(random.integers(0, 12)) for _ in names]
             for _ in range(150)
         ]
         table = history(spark, [dict(zip(names, v)) for v in values]).repartition(4)
-        found = indexes(trials.pareto_frontier(table, [("m0", False), ("m1", True), ("m2", False)], mode))
-        turned = [[a, None if b is None else -b, c] for a, b, c in values]
+        found = indexes(trials.pareto_frontier(table, objectives, mode))
+        turned = [
+            [-x if minimize and x is not None else x for x, (_, minimize) in zip(v, objectives)]
+            for v in values
+        ]
         expected = {
             i for i, v in enumerate(turned)
             if any(x is not None for x in v)
@@ -67,6 +74,24 @@ def test_frontier_against_brute_force(spark, monkeypatch, mode, candidates):
         assert found == expected
 
 
+def test_all_on_the_frontier(spark, monkeypatch):
+    monkeypatch.setattr(skyline, "BUCKET_VALUES", 5_000)
+    ids = spark.range(100_000).select(
+        F.col("id"), F.col("id").cast("double").alias("x"), (-F.col("id")).cast("double").alias("y")
+    )
+    two = [F.col("x"), F.col("y")]
+    assert skyline.skyline(ids, two).count() == skyline.skyline(ids, two, True).count() == 100_000
+    # Three columns on a plane: no point beats another.
+    plane = spark.range(4_000).select(
+        F.col("id"), (F.col("id") % 61).cast("double").alias("x"), (F.col("id") % 53).cast("double").alias("y")
+    ).withColumn("z", -F.col("x") - F.col("y"))
+    monkeypatch.setattr(skyline, "BLOCK_ROWS", 64)
+    three = [F.col("x"), F.col("y"), F.col("z")]
+    assert skyline.skyline(plane, three, True).count() == 4_000
+    below = plane.select(F.col("id") + 4_000, F.col("x"), F.col("y"), F.col("z") - 0.5)
+    assert skyline.skyline(plane.union(below), three, True).agg(F.max("id")).first()[0] < 4_000
+
+
 def test_many_copies_of_the_best(spark):
     rows = spark.range(60_000).select(
         F.col("id").alias("trial_index"), F.lit("completed").alias("status"),
