@@ -9,7 +9,8 @@ its own.
 
 How many leaves are visited is calibrated. The exact neighbours of some queries are found among all
 vectors, and visits are widened until the leaves hold the wanted share of them. Leaves are joined
-with the queries that visit them, in blocks of bounded size.
+with the queries that visit them, in blocks of bounded size and in rounds: after its first leaves a
+query knows what a row must score, and wider rounds return only rows that do.
 
 Copies share the work: a vector is searched for once, whoever asks, and of the rows that hold the
 same vector only the k + 1 smallest keys can be among the k nearest of any query.
@@ -45,7 +46,9 @@ SAMPLE_BYTES = 64_000_000
 LEAF_SAMPLE = 16  # sampled vectors of a leaf
 ROUNDS = 8  # of k-means at a node
 CALIBRATION = 256  # queries whose exact neighbours are found
-RECALL = 0.96  # share of these that the visited leaves hold
+RECALL = 0.94  # share of these that the visited leaves hold
+FIRST_VISITS = 2  # leaves of the first round, and
+WIDENING = 4  # how many times as many have been visited after each further one
 BLOCK_ROWS = 4_096
 
 ROWS = StructType(
@@ -148,8 +151,10 @@ def _clusters(points: np.ndarray, k: int, rng) -> list[tuple[np.ndarray, np.ndar
 class Nearest:
     """The k nearest rows of each of some queries, from one batch of rows to the next."""
 
-    def __init__(self, queries: np.ndarray, k: int):
+    def __init__(self, queries: np.ndarray, k: int, floors: np.ndarray | None = None):
+        """Rows below its floor are no use to a query."""
         self.queries, self.k = queries, k
+        self.floors = np.full(len(queries), -math.inf) if floors is None else floors
         self.found: list[list[tuple]] = [[] for _ in queries]
 
     def add(self, keys: np.ndarray, rows: np.ndarray, extra: np.ndarray) -> None:
@@ -159,13 +164,15 @@ class Nearest:
             part = slice(start, start + BLOCK_ROWS)
             for i, about in enumerate(self.queries @ rows[part].T):
                 best, query = self.found[i], self.queries[i]
-                least = -math.inf if len(best) < self.k else -best[-1][0]
+                floor = self.floors[i]
+                least = floor if len(best) < self.k else max(floor, -best[-1][0])
                 if len(about) > self.k:
                     least = max(least, np.partition(about, -self.k)[-self.k])
                 # About, as sums in another order differ in their last digits.
                 at = np.flatnonzero(about >= least - slack * (np.abs(query).max() + 1)) + start
                 if len(at):
                     exact = products(rows[at], query[None, :])
+                    at, exact = at[exact >= floor], exact[exact >= floor]
                     best += zip((-exact).tolist(), keys[at].tolist(), extra[at].tolist())
                     best.sort()
                     del best[self.k :]
@@ -239,6 +246,7 @@ def nearest(
     visiting = StructType(
         [
             StructField("cell", LongType()),
+            StructField("turn", LongType()),
             StructField("same", StringType()),
             StructField("vector", BinaryType()),
         ]
@@ -247,31 +255,31 @@ def nearest(
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = batch.column("vector").to_pylist()
-            cell, at = [], []
+            cell, turn, at = [], [], []
             for i, n in enumerate(batch.column("size").to_pylist()):
                 met = [-n]
                 if n == size:
                     met = tree.value.visits(np.frombuffer(held[i], "<f8"), width)
                 cell += met
+                turn += range(len(met))
                 at += [i] * len(met)
             for start in range(0, len(at), 10_000):
-                part = pa.array(at[start : start + 10_000])
+                some = slice(start, start + 10_000)
+                part = pa.array(at[some])
                 yield record_batch(
                     visiting,
                     {
-                        "cell": cell[start : start + 10_000],
+                        "cell": cell[some],
+                        "turn": turn[some],
                         "same": batch.column("same").take(part),
                         "vector": batch.column("vector").take(part),
                     },
                 )
 
-    found = _searched(cells, distinct.mapInArrow(visit, visiting), k + 1)
-    order = Window.partitionBy("same").orderBy(F.desc("score"), "key")
-    best = (
-        found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1)
-        .groupBy("same")
-        .agg(F.array_sort(F.collect_list(F.struct("n", "key", "copy", "score"))).alias("best"))
-    )
+    best = _widened(cells, distinct.mapInArrow(visit, visiting), width, k + 1)
+    best = best.groupBy("same").agg(
+        F.array_sort(F.collect_list(F.struct("n", "key", "copy", "score"))).alias("best")
+    )
     own = lambda b: b["copy"] & (b["key"] == F.col("query_id"))
     others = F.slice(F.filter("best", lambda b: ~own(b)), 1, k)
     return (
@@ -374,13 +382,34 @@ def _calibrated(queries: DataFrame, cells: DataFrame, tree, size: int, k: int, r
     return int(np.searchsorted(share, recall)) + 1
 
 
-def _searched(cells: DataFrame, visits: DataFrame, k: int) -> DataFrame:
-    """(same, key, copy, score): the k nearest of each query in each block of the cells that it
-    visits, and whether they hold the query's vector."""
+def _widened(cells: DataFrame, visits: DataFrame, width: int, k: int) -> DataFrame:
+    """(same, key, copy, score, n): the k best of each query over all its visits, round by round."""
     spark = cells.sparkSession
     folder = fresh_path(spark, "visits")
     visits.write.parquet(folder)
     visits = spark.read.schema(visits.schema).parquet(folder)
+    order = Window.partitionBy("same").orderBy(F.desc("score"), "key")
+    best, first, last = None, 0, FIRST_VISITS
+    while best is None or first < width:
+        now = visits.filter(F.col("turn").between(first, last - 1))
+        if best is None:
+            now = now.withColumn("floor", F.lit(-math.inf))
+            found = _searched(cells, now, k)
+        else:
+            floor = best.filter(F.col("n") == k).select("same", F.col("score").alias("floor"))
+            now = now.join(floor, "same", "left").fillna(-math.inf, "floor")
+            found = _searched(cells, now, k).unionByName(best.drop("n"))
+        folder = fresh_path(spark, "best")
+        ranked = found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k)
+        ranked.write.parquet(folder)
+        best = spark.read.schema(ranked.schema).parquet(folder)
+        first, last = last, last * WIDENING
+    return best
+
+
+def _searched(cells: DataFrame, visits: DataFrame, k: int) -> DataFrame:
+    """(same, key, copy, score): the k nearest of each query in each block of the cells that it
+    visits, none below its floor, and whether they hold the query's vector."""
 
     def blocks(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias(name))
@@ -394,14 +423,14 @@ def _searched(cells: DataFrame, visits: DataFrame, k: int) -> DataFrame:
     )
     right = visits.join(counted, "cell").select(
         "cell", every("a_blocks").alias("a"), F.pmod(F.xxhash64("same"), F.col("b_blocks")).alias("b"),
-        "same", "vector",
+        "same", "floor", "vector",
     )
 
     def meet(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         held, asking = rows["vector"].tolist(), queries["vector"].tolist()
         if not held or not asking:
             return pd.DataFrame({"same": [], "key": [], "copy": [], "score": []})
-        best = Nearest(matrix(asking), k)
+        best = Nearest(matrix(asking), k, queries["floor"].to_numpy(float))
         best.add(rows["key"].to_numpy(np.int64), matrix(held), np.arange(len(held)))
         same = queries["same"].tolist()
         out = [
