@@ -12,8 +12,8 @@ from lexiform.cluster import fresh_path, spread
 from lexiform.functions import text as words
 from lexiform.functions import vectors
 from lexiform.functions.stop_words import ENGLISH
-from lexiform.operators import columns, embed, knn, metrics, pooling, profile, scale, split, trials
-from lexiform.operators import vectorize, weights
+from lexiform.operators import columns, embed, knn, metrics, pooling, profile, ranks, scale, split
+from lexiform.operators import terms, trials, vectorize, weights
 from lexiform.plans import runs, search
 from lexiform.plans.models import make_model
 from lexiform.plans.stages import TermFeatures
@@ -332,8 +332,8 @@ def idf(spark, sf):
 def term_features(spark, sf, **settings) -> DataFrame:
     documents = documents_of(spark, sf)
     fitted = TermFeatures(minDF=2, maxDF=0.8, **settings).fit(documents)
-    terms = next(s for s in fitted.stages if hasattr(s, "vocabulary")).vocabulary
-    return vectorize.long_form(fitted.transform(documents), terms)
+    known = next(s for s in fitted.stages if hasattr(s, "vocabulary")).vocabulary
+    return vectorize.long_form(fitted.transform(documents), known)
 
 
 @query
@@ -354,6 +354,23 @@ def tfidf_sublinear(spark, sf):
     return made.select("doc_id", "term", F.round("value", 6).alias("weight"))
 
 
+@query
+def tfidf_all_terms(spark, sf):
+    """Weights over all terms, without a bound on the vocabulary."""
+    documents = documents_of(spark, sf)
+    made = TermFeatures(maxFeatures=None, tfidf=True).fit(documents).transform(documents)
+    entries = made.select("doc_id", F.explode(vectors.sparse_entries("features")).alias("e"))
+    return entries.select("doc_id", "e.index", F.round("e.value", 6).alias("weight"))
+
+
+@query
+def numbered_terms(spark, sf):
+    """All terms of at least two documents with their numbers."""
+    documents = documents_of(spark, sf)
+    statistics = vectorize.term_statistics(documents, words.tokenize_words("text"))
+    return terms.numbered_terms(statistics, documents.count(), min_df=2).drop("n_docs")
+
+
 def _embedded(made: DataFrame, *extra: str) -> DataFrame:
     """Entries other than 0, and the first one of every document."""
     entries = made.select("doc_id", *extra, F.posexplode("embedding").alias("dim", "v"))
@@ -430,6 +447,19 @@ def f1_scores(spark, sf):
     return made.select(*[F.round(c, 9).alias(c) for c in made.columns if c != "support"], "support")
 
 
+@query
+def ranking_scores(spark, sf):
+    """How well the length of a document, coarsely, ranks its labels."""
+    rows = table(spark, sf, "labels").join(
+        table(spark, sf, "documents").select("doc_id", "n_chars"), "doc_id"
+    )
+    made = ranks.ranking_scores(rows, F.col("quality") == 1, F.floor(F.col("n_chars") / 100))
+    return made.select(
+        F.round("roc_auc", 9).alias("roc_auc"),
+        F.round("average_precision", 9).alias("average_precision"), "n_positive", "n_negative",
+    )
+
+
 # Neighbours
 
 
@@ -447,6 +477,17 @@ def k_nearest(spark, sf):
     return made.select("query_id", "neighbour_id", "label", F.round("distance", 6).alias("distance"), "rank")
 
 
+@query
+def k_nearest_pivots(spark, sf):
+    """The same neighbours by pivots, as for a query set that is not broadcast."""
+    marked = split.stratified_split(vector_table(spark, sf), "vec_id")
+    made = knn.k_nearest(
+        marked.filter("split = 'test'"), marked.filter("split = 'train'"), 5,
+        identifier="vec_id", features="embedding", broadcast_numbers=0,
+    )
+    return made.select("query_id", "neighbour_id", "label", F.round("distance", 6).alias("distance"), "rank")
+
+
 @query
 def knn_predict(spark, sf):
     return knn.knn_predict(neighbours(spark, sf))
@@ -508,6 +549,18 @@ def pareto_frontier_weak(spark, sf):
     return trials.pareto_frontier(trial_history(spark, sf), OBJECTIVES, "weak")
 
 
+@query
+def pareto_frontier_gaps(spark, sf):
+    """The frontier of three objectives, one of them unknown to some trials."""
+    third = F.struct(
+        F.lit("model_size").alias("k"), (F.col("trial_index") * 7919 % 1009).cast("double").alias("v")
+    )
+    history = trial_history(spark, sf, gaps=True).withColumn(
+        "metrics", F.map_concat("metrics", F.map_from_entries(F.array(third)))
+    )
+    return trials.pareto_frontier(history, [*OBJECTIVES, ("model_size", True)], "weak")
+
+
 @query
 def recommend_configs(spark, sf):
     made = trials.recommend_configs(trial_history(spark, sf), OBJECTIVES, PREFERENCES)
@@ -595,6 +648,16 @@ def classification_run(spark, sf):
     )
 
 
+@query
+def run_metrics(spark, sf):
+    """Metrics of a run that are asked for by name."""
+    names = ["roc_auc", "average_precision", "log_loss", "brier_score", "f1_macro"]
+    scores = runs.classification_run(
+        labelled(spark, sf), metrics=names, **EMBEDDED, **SOLVED
+    ).metrics
+    return scores.select(*[F.round(n, 4).alias(n) for n in names])
+
+
 @query
 def logreg(spark, sf):
     return scored(runs.classification_run(labelled(spark, sf), **EMBEDDED, **SOLVED))

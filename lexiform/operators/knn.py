@@ -110,6 +110,7 @@ def k_nearest(
     identifier: str = "doc_id",
     features: str = "features",
     target: str = "target",
+    broadcast_numbers: int | None = None,
 ) -> DataFrame:
     """The k nearest training rows of each query.
 
@@ -117,13 +118,16 @@ def k_nearest(
     leaves a task: each task reduces what it sees to k rows per query. Queries
     of a checked size go to the training partitions, which are not shuffled; a
     larger set meets the training rows by pivots. The final ranking
-    limits each query to k rows per task before its shuffle. Distances are
+    limits each query to k rows per task before its shuffle. A query set of at
+    most ``broadcast_numbers`` numbers is broadcast. Distances are
     rounded to nine digits so that ties do not depend on summation order.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric: {metric}")
     p = METRICS[metric] or p
-    asked = queries.select(F.col(identifier).alias("id"), as_array(queries, features).alias("v"))
+    asked = checkpointed(
+        queries.select(F.col(identifier).alias("id"), as_array(queries, features).alias("v"))
+    )
     known = train.select(
         F.col(identifier).alias("id"),
         as_array(train, features).alias("v"),
@@ -132,8 +136,8 @@ def k_nearest(
     id_type = queries.schema[identifier].dataType.simpleString()
     schema = f"query_id {id_type}, neighbour_id {id_type}, label int, distance double"
     n_queries, widest = asked.agg(F.count("*"), F.max(F.size("v"))).first()
-    most = max(1, BROADCAST_NUMBERS // max(1, widest or 1))
-    if n_queries <= most:
+    most = BROADCAST_NUMBERS if broadcast_numbers is None else broadcast_numbers
+    if n_queries * max(1, widest or 1) <= most:
         taken = asked.toPandas()
         given = asked.sparkSession.sparkContext.broadcast(
             (taken["id"].to_numpy(), matrix(taken["v"]) if len(taken) else np.empty((0, 1)))
@@ -163,7 +167,7 @@ def k_nearest(
         tasks = max(2 * cores, known.count() // max(1, k * n_queries))
         candidates = known.coalesce(tasks).mapInPandas(scan, schema)
     else:
-        candidates = by_pivots(checkpointed(asked), known, k, p, schema, widest)
+        candidates = by_pivots(asked, known, k, p, schema, widest)
     place = Window.partitionBy("query_id").orderBy("distance", "neighbour_id")
     return candidates.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
 

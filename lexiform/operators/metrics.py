@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiform.cluster import settled
+from lexiform.operators import ranks
 
 
 def pair_counts(df: DataFrame, target: str = "target", prediction: str = "prediction") -> DataFrame:
@@ -126,3 +129,83 @@ def classification_report(
     for other in rows[1:]:
         report = report.unionByName(other)
     return report
+
+
+# Metrics by name, over a table of target, prediction, label (the position of the target among the
+# known classes, null if it is none of them) and chances (the probabilities of the classes, if the
+# model has any). A metric gives an aggregate of that table, which is computed together with others
+# in one pass, or a number.
+Metric = Callable[[DataFrame], Column | float | None]
+METRICS: dict[str, Metric] = {}
+
+
+def register_metric(name: str, metric: Metric) -> None:
+    """Make a metric known to runs, suites and searches under this name."""
+    METRICS[name] = metric
+
+
+def metric_values(rows: DataFrame, names: Iterable[str]) -> dict[str, float]:
+    """The named metrics of a prediction table; those without a value are left out."""
+    unknown = [n for n in names if n not in METRICS]
+    if unknown:
+        raise ValueError(f"unknown metrics {unknown}, expected some of {sorted(METRICS)}")
+    made = {name: METRICS[name](rows) for name in names}
+    sums = {n: v for n, v in made.items() if isinstance(v, Column)}
+    if sums:
+        row = rows.agg(*[v.cast("double").alias(n) for n, v in sums.items()]).first()
+        made.update(row.asDict())
+    return {n: float(made[n]) for n in names if made[n] is not None}
+
+
+def chance_of_target() -> Column:
+    return F.get("chances", F.col("label"))
+
+
+def log_loss(rows: DataFrame) -> Column:
+    """Mean negative logarithm of the probability of the true class."""
+    return F.avg(-F.log(F.greatest(chance_of_target(), F.lit(1e-15))))
+
+
+def brier_score(rows: DataFrame) -> Column:
+    """Mean squared distance of the probabilities from the true class."""
+    off = F.aggregate(
+        F.transform(
+            "chances", lambda p, i: F.pow(p - (i == F.col("label")).cast("double"), F.lit(2.0))
+        ),
+        F.lit(0.0), lambda a, x: a + x,
+    )
+    return F.avg(off)
+
+
+def over_classes(metric: Callable[[DataFrame, Column, Column], float | None]) -> Metric:
+    """A metric of two classes as its mean over the classes, each against the rest; of two classes it
+    is that of the second."""
+
+    def compute(rows: DataFrame) -> float | None:
+        classes = rows.select(F.max(F.size("chances"))).first()[0] or 0
+        codes = [1] if classes == 2 else range(classes)
+        found = [metric(rows, F.col("label") == c, F.get("chances", F.lit(c))) for c in codes]
+        found = [v for v in found if v is not None]
+        return sum(found) / len(found) if found else None
+
+    return compute
+
+
+for _name, _metric in {
+    "log_loss": log_loss,
+    "brier_score": brier_score,
+    "roc_auc": over_classes(ranks.roc_auc),
+    "average_precision": over_classes(ranks.average_precision),
+}.items():
+    register_metric(_name, _metric)
+
+
+def _class_metric(name: str) -> Metric:
+    return lambda rows: f1_scores(rows).first()[name]
+
+
+for _name in (
+    "accuracy", "precision_macro", "recall_macro", "f1_macro", "precision_weighted",
+    "recall_weighted", "f1_weighted",
+):
+    register_metric(_name, _class_metric(_name))

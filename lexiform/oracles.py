@@ -237,6 +237,28 @@ ORACLES["tfidf_sublinear"] = weighed_terms(
     TERM_COUNTS.replace("lower(text)", "lower(strip_accents(text))"), "(1 + ln(tf))"
 )
 
+ALL_TERMS = f"""
+SELECT term, CAST(sum(c) AS BIGINT) AS tf, count(*) AS df FROM (
+    SELECT doc_id, term, count(*) AS c
+    FROM (SELECT doc_id, unnest({WORDS}) AS term FROM documents) t
+    WHERE term NOT IN ({STOP}) GROUP BY doc_id, term
+) p GROUP BY term"""
+
+ORACLES["numbered_terms"] = f"""
+SELECT term, tf, df, row_number() OVER (ORDER BY term) - 1 AS index
+FROM ({ALL_TERMS}) v WHERE df >= 2"""
+
+ORACLES["tfidf_all_terms"] = f"""
+WITH v AS (SELECT *, row_number() OVER (ORDER BY term) - 1 AS index FROM ({ALL_TERMS}) a),
+weighed AS (
+    SELECT doc_id, index,
+        count(*) * (ln(CAST((SELECT count(*) FROM documents) + 1 AS DOUBLE) / (any_value(df) + 1)) + 1) AS w
+    FROM (SELECT doc_id, unnest({WORDS}) AS term FROM documents) t JOIN v USING (term)
+    GROUP BY doc_id, index)
+SELECT doc_id, CAST(index AS INTEGER) AS index,
+    round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight
+FROM weighed"""
+
 
 def hashed_sums(size: int = 64) -> str:
     return f"""
@@ -331,6 +353,34 @@ SELECT round(sum(tp) / sum(support), 9) AS accuracy,
     CAST(sum(support) AS BIGINT) AS support
 FROM ({class_scores(PAIRS)}) c"""
 
+RANKED = """
+SELECT quality = 1 AS pos, n_chars // 100 AS score FROM labels JOIN documents USING (doc_id)
+WHERE quality IS NOT NULL"""
+
+
+def ranking(pairs: str) -> str:
+    """Pairs won, ties as half, and precision at the distinct scores by the recall that they add."""
+    return f"""
+    SELECT sum(pos * (neg_below + CAST(neg AS DOUBLE) / 2)) / (any_value(p) * any_value(n)) AS roc_auc,
+        sum(CAST(pos * pos_above AS DOUBLE) / (pos_above + neg_above)) / any_value(p)
+            AS average_precision,
+        CAST(any_value(p) AS BIGINT) AS n_positive, CAST(any_value(n) AS BIGINT) AS n_negative
+    FROM (
+        SELECT *, coalesce(sum(neg) OVER (
+                ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
+            sum(pos) OVER (ORDER BY score DESC) AS pos_above,
+            sum(neg) OVER (ORDER BY score DESC) AS neg_above,
+            sum(pos) OVER () AS p, sum(neg) OVER () AS n
+        FROM (
+            SELECT score, count(*) FILTER (WHERE pos) AS pos, count(*) FILTER (WHERE NOT pos) AS neg
+            FROM ({pairs}) s0 GROUP BY score) s1) s2"""
+
+
+ORACLES["ranking_scores"] = f"""
+SELECT round(roc_auc, 9) AS roc_auc, round(average_precision, 9) AS average_precision,
+    n_positive, n_negative
+FROM ({ranking(RANKED)}) r"""
+
 # Neighbours
 
 NEAR = f"""
@@ -348,6 +398,8 @@ SELECT query_id, neighbour_id, label, distance, CAST(rank AS INTEGER) AS rank FR
 ORACLES["k_nearest"] = f"""
 SELECT query_id, neighbour_id, label, round(distance, 6) AS distance, rank FROM ({NEAR}) n"""
 
+ORACLES["k_nearest_pivots"] = ORACLES["k_nearest"]
+
 PREDICT = f"""
 SELECT query_id, label AS prediction FROM (
     SELECT query_id, label,
@@ -481,6 +533,15 @@ SELECT trial_index, accuracy, training_time FROM ({HISTORY}) a WHERE NOT EXISTS
     WHERE b.accuracy >= a.accuracy AND b.training_time <= a.training_time
         AND (b.accuracy > a.accuracy OR b.training_time < a.training_time))"""
 
+ORACLES["pareto_frontier_gaps"] = f"""
+WITH t AS (SELECT *, CAST(trial_index * 7919 % 1009 AS DOUBLE) AS model_size FROM ({GAPPED}) g)
+SELECT * FROM t a WHERE NOT EXISTS (
+    SELECT 1 FROM t b
+    WHERE coalesce(b.accuracy >= a.accuracy, true) AND b.training_time <= a.training_time
+        AND b.model_size <= a.model_size
+        AND (coalesce(b.accuracy > a.accuracy, false) OR b.training_time < a.training_time
+            OR b.model_size < a.model_size))"""
+
 ORACLES["recommend_configs"] = f"""
 SELECT trial_index, round((CAST(0.7 AS DOUBLE) * accuracy + CAST(0.3 AS DOUBLE)
     / (1 + training_time)) / CAST(1 AS DOUBLE), 6) AS score
@@ -619,6 +680,15 @@ FROM chances, (
         round(avg(f1), 9) AS f1_macro, round(sum(f1 * support) / sum(support), 9) AS f1_weighted
     FROM ({class_scores(test_pairs())}) c) s"""
 
+ORACLES["run_metrics"] = f"""
+WITH RECURSIVE {logistic(QUALITY, False)},
+tested AS (SELECT target, p FROM chances WHERE split = 'test')
+SELECT round(roc_auc, 4) AS roc_auc, round(average_precision, 4) AS average_precision,
+    (SELECT round(avg(-ln(CASE WHEN target = 1 THEN p ELSE 1 - p END)), 4) FROM tested) AS log_loss,
+    (SELECT round(avg(2 * (p - target) * (p - target)), 4) FROM tested) AS brier_score,
+    (SELECT round(avg(f1), 4) FROM ({class_scores(test_pairs())}) c) AS f1_macro
+FROM ({ranking('SELECT target = 1 AS pos, p AS score FROM tested')}) r"""
+
 ORACLES["score_text"] = f"""
 WITH RECURSIVE {logistic(QUALITY, False)},
 scored AS (

@@ -18,13 +18,9 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.util import (
     DefaultParamsReadable,
-    DefaultParamsReader,
     DefaultParamsWritable,
-    DefaultParamsWriter,
     MLReadable,
-    MLReader,
     MLWritable,
-    MLWriter,
 )
 from pyspark.sql import functions as F
 
@@ -33,7 +29,13 @@ from lexiform.functions.vectors import as_array
 from lexiform.operators.knn import k_nearest, knn_predict, knn_proba
 from lexiform.operators.split import stratified_split
 from lexiform.operators.weights import with_copies
-from lexiform.plans.stages import DropColumns, OneAgainstRest, PopulationScaler
+from lexiform.plans.stages import (
+    DropColumns,
+    OneAgainstRest,
+    PopulationScaler,
+    TableReader,
+    TableWriter,
+)
 
 
 def _param(name: str, kind=None) -> Param:
@@ -224,26 +226,7 @@ class NeighbourTrainer(_Trainer):
             classes=[int(row[0]) for row in dataset.select("label").distinct().collect()],
         )
         # Written once, so that scoring does not compute the features again.
-        model.train = checkpointed(dataset.select(get("identifier"), "features", "label"))
-        return model
-
-
-class _NeighbourWriter(MLWriter):
-    def __init__(self, instance):
-        super().__init__()
-        self.instance = instance
-
-    def saveImpl(self, path):
-        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
-        self.instance.train.write.mode("overwrite").parquet(f"{path}/train")
-
-
-class _NeighbourReader(MLReader):
-    def load(self, path):
-        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
-        model = NeighbourModel()
-        DefaultParamsReader.getAndSetParams(model, metadata)
-        model.train = self.sparkSession.read.parquet(f"{path}/train")
+        model.table = checkpointed(dataset.select(get("identifier"), "features", "label"))
         return model
 
 
@@ -263,20 +246,20 @@ class NeighbourModel(Model, MLReadable, MLWritable):
         super().__init__()
         self._set(n_neighbors=n_neighbors, weights=weights, metric=metric, p=p,
                   identifier=identifier, classes=sorted(classes))
-        self.train = None
+        self.table = None
 
     def write(self):
-        return _NeighbourWriter(self)
+        return TableWriter(self)
 
     @classmethod
     def read(cls):
-        return _NeighbourReader()
+        return TableReader(cls)
 
     def _transform(self, dataset):
         get = self.getOrDefault
         key, codes = get("identifier"), get("classes")
         near = k_nearest(
-            dataset, self.train, get("n_neighbors"), get("p"), get("metric"), key, target="label"
+            dataset, self.table, get("n_neighbors"), get("p"), get("metric"), key, target="label"
         )
         place = list(range(max(codes) + 1))
         result = knn_predict(near, get("weights")).join(
@@ -332,7 +315,7 @@ def model_info(kind: str, model, classes: list) -> dict:
     if isinstance(model, PipelineModel):
         core = next(s for s in model.stages if hasattr(s, "weights") or hasattr(s, "numFeatures"))
     if isinstance(core, NeighbourModel):
-        size, width = core.train.count(), None
+        size, width = core.table.count(), None
     elif hasattr(core, "coefficientMatrix"):
         matrix = core.coefficientMatrix
         size, width = matrix.numRows * (matrix.numCols + 1), core.numFeatures

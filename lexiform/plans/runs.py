@@ -6,7 +6,7 @@ import json
 import math
 import time
 import warnings
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -14,13 +14,19 @@ from datetime import datetime
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiform import sources
 from lexiform.cluster import join_dimension, local_table, settled
 from lexiform.functions.vectors import decide_class
-from lexiform.operators.metrics import classification_report, confusion_matrix, f1_scores
+from lexiform.operators.metrics import (
+    classification_report,
+    confusion_matrix,
+    f1_scores,
+    metric_values,
+)
 from lexiform.operators.profile import class_name, feature_info
 from lexiform.operators.split import train_test
 from lexiform.operators.weights import class_weights
@@ -144,6 +150,7 @@ def classification_run(
     statistics: tuple[DataFrame, int] | None = None,
     cache_split: bool = True,
     task_bytes: int | None = TASK_BYTES,
+    metrics: Iterable[str] = (),
 ) -> RunResult:
     """Split, extract features, fit, predict the test side and score it.
 
@@ -154,7 +161,8 @@ def classification_run(
     The split is cached for that, on disk where memory ends; ``cache_split=False``
     reads the source again instead, which is cheaper if it is a plain scan.
     Cached training rows are gathered into partitions of ``task_bytes``; None
-    leaves their partitions as they are. The predictions stay cached; release
+    leaves their partitions as they are. ``metrics`` names registered metrics
+    that are scored besides the usual ones. The predictions stay cached; release
     them with ``result.predictions.unpersist()``.
     """
     started = time.time()
@@ -162,7 +170,7 @@ def classification_run(
     try:
         return _run(
             data, extractor, model, extractor_params, model_params, use_class_weights, test_size,
-            seed, identifier, names, save_path, statistics, cache_split, task_bytes, started, kept,
+            seed, identifier, names, save_path, statistics, cache_split, task_bytes, metrics, started, kept,
         )
     finally:
         for frame in kept:
@@ -171,7 +179,7 @@ def classification_run(
 
 def _run(
     data, extractor, model, extractor_params, model_params, use_class_weights, test_size, seed,
-    identifier, names, save_path, statistics, cache_split, task_bytes, started, kept,
+    identifier, names, save_path, statistics, cache_split, task_bytes, metrics, started, kept,
 ) -> RunResult:
     """The steps of classification_run; ``kept`` collects the frames to be released."""
     if isinstance(data, tuple):
@@ -230,6 +238,7 @@ def _run(
     found = predictions.select(*[c for c in predictions.columns if c != "text"]).persist()
     try:
         scores = f1_scores(found).first().asDict()
+        scores.update(metric_values(ranked_rows(found, classes), metrics))
         if save_path:
             save_run(fitted, save_path)
     except BaseException:
@@ -247,6 +256,15 @@ def _run(
     return RunResult(fitted, found, scores)
 
 
+def ranked_rows(predictions: DataFrame, classes: DataFrame) -> DataFrame:
+    """Predictions as metrics read them: target, prediction, label, chances."""
+    chances = F.lit(None).cast("array<double>")
+    if "probability" in predictions.columns:
+        chances = vector_to_array("probability")
+    rows = predictions.select("target", "prediction", chances.alias("chances"))
+    return join_dimension(rows, classes.select("target", "label"), "target")
+
+
 def score_text(fitted: FittedRun, df: DataFrame) -> DataFrame:
     """Class name and probabilities of new texts."""
     scored = fitted.predict(df)

@@ -181,12 +181,15 @@ def run_trials(
     model_params: dict | None = None,
     use_class_weights: bool = True,
     parallel: int = 2,
+    metrics: Sequence[str] = (),
 ) -> DataFrame:
     """Run each planned trial and record it below ``path``; returns the trial table.
 
     The split is made and kept once. Term statistics of the training side are
-    counted once as well and serve every trial's bounds. A trial that fails is
-    recorded with its error and does not stop the others.
+    counted once as well and serve every trial's bounds. ``metrics`` names
+    registered metrics that are recorded besides the usual ones, and may be
+    objectives. A trial that fails is recorded with its error and does not stop
+    the others.
     """
     spark = data.sparkSession
     train, test = (part.persist() for part in train_test(data))
@@ -209,10 +212,11 @@ def run_trials(
                 {**(model_params or {}), **_part(values, "model_")},
                 use_class_weights,
                 statistics=statistics,
+                metrics=metrics,
             )
             seconds = time.time() - started
             scores = {**result.scores, "training_time": seconds}
-            record = (*head, kept_results(scores), seconds, None, "completed")
+            record = (*head, kept_results(scores, metrics), seconds, None, "completed")
             result.predictions.unpersist()
         except Exception as problem:
             record = (*head, None, time.time() - started, str(problem), "failed")

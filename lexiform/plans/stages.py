@@ -22,12 +22,22 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
 from pyspark.sql import functions as F
 
 import numpy as np
 import pandas as pd
 
+from lexiform.cluster import checkpointed
 from lexiform.functions.stop_words import ENGLISH
 from lexiform.functions.text import (
     WORD_PATTERN,
@@ -36,12 +46,13 @@ from lexiform.functions.text import (
     tokenize_whitespace,
     tokenize_words,
 )
-from lexiform.functions.vectors import as_array, bound
+from lexiform.functions.vectors import as_array, bound, l2_normalize
 from lexiform.operators.columns import assemble_features, chosen_columns
 from lexiform.operators.embed import embed_text, embed_text_batched
 from lexiform.operators.pooling import TRAINING_PARTITIONS
 from lexiform.operators.scale import feature_moments, standardized
-from lexiform.operators.vectorize import term_statistics, vocabulary, vocabulary_lists
+from lexiform.operators.terms import encoded, numbered_terms, sparse_vectors, weighed
+from lexiform.operators.vectorize import idf, term_statistics, vocabulary, vocabulary_lists
 
 TEXT, TOKENS, COUNTS, POOLED = "_text", "_tokens", "_counts", "_pooled"
 
@@ -173,7 +184,11 @@ class _Extractor(Estimator, HasOutputCol, _Saved):
 
 
 class TermFeatures(_Extractor):
-    """Token counts or TF-IDF weights over a vocabulary fitted on the training text."""
+    """Token counts or TF-IDF weights over a vocabulary fitted on the training text.
+
+    With ``maxFeatures`` None all terms within the bounds count; they stay a table, and applying the
+    fitted stage is a join by the row id.
+    """
 
     maxFeatures = Param(Params._dummy(), "maxFeatures", "vocabulary size", TypeConverters.toInt)
     minDF = Param(Params._dummy(), "minDF", "lowest document frequency")
@@ -184,17 +199,18 @@ class TermFeatures(_Extractor):
     smoothIdf = Param(Params._dummy(), "smoothIdf", "smooth idf", TypeConverters.toBoolean)
     sublinearTf = Param(Params._dummy(), "sublinearTf", "1 + ln(tf)", TypeConverters.toBoolean)
     accents = Param(Params._dummy(), "accents", "keep accents", TypeConverters.toBoolean)
+    identifier = Param(Params._dummy(), "identifier", "row id", TypeConverters.toString)
 
     @keyword_only
     def __init__(self, include=("text",), exclude=(), outputCol="features", maxFeatures=10_000,
                  minDF=1, maxDF=1.0, stopWords=tuple(ENGLISH), tfidf=False, useIdf=True,
-                 smoothIdf=True, sublinearTf=False, accents=True):
+                 smoothIdf=True, sublinearTf=False, accents=True, identifier="doc_id"):
         super().__init__()
         given = dict(self._input_kwargs)
         defaults = dict(
             include=include, exclude=exclude, outputCol=outputCol, maxFeatures=maxFeatures,
             minDF=minDF, maxDF=maxDF, stopWords=stopWords, tfidf=tfidf, useIdf=useIdf,
-            smoothIdf=smoothIdf, sublinearTf=sublinearTf, accents=accents,
+            smoothIdf=smoothIdf, sublinearTf=sublinearTf, accents=accents, identifier=identifier,
         )
         values = {**defaults, **given}
         for name in ("include", "exclude", "stopWords"):
@@ -218,10 +234,12 @@ class TermFeatures(_Extractor):
         counted = self.statistics
         if counted is None:
             counted = self.term_statistics(dataset), dataset.count()
+        if get("maxFeatures") is None:
+            return self._fit_all(*counted)
         chosen = vocabulary(
             *counted, max_features=get("maxFeatures"), min_df=get("minDF"), max_df=get("maxDF")
         )
-        terms, idf = vocabulary_lists(chosen, use_idf=get("useIdf"), smooth_idf=get("smoothIdf"))
+        terms, weights = vocabulary_lists(chosen, use_idf=get("useIdf"), smooth_idf=get("smoothIdf"))
         counter = CountVectorizerModel.from_vocabulary(
             terms, inputCol=TOKENS, outputCol=COUNTS if get("tfidf") else output
         )
@@ -233,11 +251,85 @@ class TermFeatures(_Extractor):
         if get("tfidf"):
             if get("sublinearTf"):
                 stages.append(SublinearCounts())
-            weigh = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol=COUNTS, outputCol="_weighed")
+            weigh = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol=COUNTS, outputCol="_weighed")
             stages += [weigh, Normalizer(p=2.0, inputCol="_weighed", outputCol=output)]
         return PipelineModel(stages + [DropColumns(columns=[TEXT, TOKENS, COUNTS, "_weighed"])])
 
 
+    def _fit_all(self, statistics, n_docs):
+        """All terms within the bounds, as a table."""
+        get = self.getOrDefault
+        terms = numbered_terms(statistics, n_docs, get("minDF"), get("maxDF"))
+        weight = idf(use_idf=get("useIdf"), smooth_idf=get("smoothIdf"))
+        text = TextColumn(include=get("include"), exclude=get("exclude"), accents=get("accents"))
+        model = TermTableModel(
+            tfidf=get("tfidf"), sublinearTf=get("sublinearTf"), identifier=get("identifier"),
+            outputCol=self.getOutputCol(),
+        )
+        model.table = checkpointed(terms.select("term", "df", "index", weight.alias("idf")))
+        if model.table.isEmpty():
+            raise ValueError("no terms remain: relax min_df and max_df or the stop words")
+        words = RegexTokenizer(inputCol=TEXT, outputCol=TOKENS, pattern=WORD_PATTERN, gaps=False)
+        return PipelineModel([text, words, model, DropColumns(columns=[TEXT, TOKENS])])
+
+
+class TableWriter(MLWriter):
+    """Saves a model's parameters and the table that it holds."""
+
+    def __init__(self, instance):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path):
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
+        self.instance.table.write.mode("overwrite").parquet(f"{path}/table")
+
+
+class TableReader(MLReader):
+    """Loads what TableWriter saved."""
+
+    def __init__(self, kind):
+        super().__init__()
+        self.kind = kind
+
+    def load(self, path):
+        model = self.kind()
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        model.table = self.sparkSession.read.parquet(f"{path}/table")
+        return model
+
+
+class TermTableModel(Model, HasOutputCol, MLReadable, MLWritable):
+    """Fitted TermFeatures without a bound on the vocabulary. Needs a row id; batch only."""
+
+    tfidf = TermFeatures.tfidf
+    sublinearTf = TermFeatures.sublinearTf
+    identifier = TermFeatures.identifier
+    table = None
+
+    @keyword_only
+    def __init__(self, tfidf=False, sublinearTf=False, identifier="doc_id", outputCol="features"):
+        super().__init__()
+        self._set(tfidf=tfidf, sublinearTf=sublinearTf, identifier=identifier, outputCol=outputCol)
+
+    def write(self):
+        return TableWriter(self)
+
+    @classmethod
+    def read(cls):
+        return TableReader(cls)
+
+    def _transform(self, dataset):
+        get, key, output = self.getOrDefault, self.getOrDefault("identifier"), self.getOutputCol()
+        value = weighed(F.col("idf"), get("sublinearTf")) if get("tfidf") else F.col("tf")
+        values = l2_normalize("values") if get("tfidf") else F.col("values")
+        rows = encoded(dataset, self.table, key, TOKENS, value)
+        rows = checkpointed(rows.select(key, "indices", values.alias("values")))
+        vector = sparse_vectors(self.table.count())("indices", "values")
+        return dataset.join(rows.select(key, vector.alias(output)), key, "left")
+
+
 class WordVectors(_Extractor):
     """Documents as the mean of skip-gram vectors of their known words."""
 

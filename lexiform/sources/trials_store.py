@@ -29,10 +29,10 @@ MEASURED_RESULTS = [
 ]
 
 
-def kept_results(results: dict) -> dict[str, str]:
-    """The recordable part of a run's results, as strings."""
+def kept_results(results: dict, metrics: Sequence[str] = ()) -> dict[str, str]:
+    """The recordable part of a run's results and the named metrics, as strings."""
     kept = {}
-    for name in KEPT_RESULTS + MEASURED_RESULTS:
+    for name in [*KEPT_RESULTS, *MEASURED_RESULTS, *metrics]:
         if results.get(name) is not None:
             kept[name] = str(results[name])
     return kept

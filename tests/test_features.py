@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from lexiform.functions.text import tokenize_whitespace, tokenize_words
-from lexiform.operators import embed, pooling, scale, vectorize
+from lexiform.operators import embed, pooling, scale, terms, vectorize
 from lexiform.plans.stages import (
     PopulationScaler, TermFeatures, TextEncoder, WordVectors, sequence_of,
 )
@@ -140,3 +140,35 @@ def test_failing_batches(spark):
 def test_empty_sequence():
     with pytest.raises(ValueError):
         sequence_of([])
+
+
+def test_all_terms_equal_the_bounded_vocabulary(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(terms, "RANGE_TERMS", 7)
+    monkeypatch.setattr(terms, "FREQUENT_TERMS", 3)
+    words = [f"w{i:02d}" for i in range(30)]
+    rows = [(i, " ".join(words[(i * j) % 30] for j in range(1, 12))) for i in range(40)]
+    rows += [(90, None), (91, ""), (92, "the of and"), (93, "unheard")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    train = frame.filter("doc_id < 92")
+    for settings in ({}, {"tfidf": True, "sublinearTf": True}, {"tfidf": True, "minDF": 3}):
+        bounded = TermFeatures(**settings).fit(train)
+        fitted = TermFeatures(maxFeatures=None, **settings).fit(train)
+        fitted.write().overwrite().save(f"{tmp_path}/all")
+        wanted = {r["doc_id"]: r["features"] for r in bounded.transform(frame).collect()}
+        for model in (fitted, PipelineModel.load(f"{tmp_path}/all")):
+            made = {r["doc_id"]: r["features"] for r in model.transform(frame).collect()}
+            assert made.keys() == wanted.keys()
+            for key, vector in made.items():
+                assert vector.size == wanted[key].size
+                assert np.allclose(vector.toArray(), wanted[key].toArray())
+
+
+def test_term_numbers_are_alphabetical(spark, monkeypatch):
+    monkeypatch.setattr(terms, "RANGE_TERMS", 3)
+    frame = spark.createDataFrame([(1, "bb aa cc dd ee ff gg aa zz yy")], "doc_id bigint, text string")
+    statistics = vectorize.term_statistics(frame, tokenize_words("text"))
+    made = terms.numbered_terms(statistics, 1).orderBy("index").collect()
+    assert [(r["index"], r["term"]) for r in made] == list(
+        enumerate(["aa", "bb", "cc", "dd", "ee", "ff", "gg", "yy", "zz"])
+    )
+    assert made[0]["tf"] == 2

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexiform.operators import knn, metrics
+from lexiform.operators import knn, metrics, ranks
 from lexiform.operators.profile import label_predictions
 
 
@@ -169,3 +169,49 @@ def test_no_queries(spark):
     asked, known = frames(spark, [], [(1, [1.0], 0)])
     assert knn.k_nearest(asked, known).count() == 0
     assert asked.select(F.count("*")).first()[0] == 0
+
+
+def test_ranking_with_ties(spark, monkeypatch):
+    random = np.random.default_rng(13)
+    scores = random.integers(0, 30, 400) / 10
+    positive = random.random(400) < 0.3 + scores / 10
+    rows = [(bool(p), float(s)) for p, s in zip(positive, scores)]
+    odd = [(None, 1.0), (True, None), (False, float("nan"))]
+    frame = spark.createDataFrame(rows + odd, "p boolean, s double")
+    up, down = scores[positive], scores[~positive]
+    won = (up[:, None] > down).sum() + (up[:, None] == down).sum() / 2
+    levels = sorted(set(scores), reverse=True)
+    recall = [(up >= t).mean() for t in levels]
+    precision = [(up >= t).sum() / (scores >= t).sum() for t in levels]
+    average = sum(p * (r - q) for p, r, q in zip(precision, recall, [0, *recall]))
+    for size in (500_000, 4):
+        monkeypatch.setattr(ranks, "RANGE_SCORES", size)
+        made = ranks.ranking_scores(frame, F.col("p"), F.col("s")).first()
+        assert made["roc_auc"] == pytest.approx(won / len(up) / len(down))
+        assert made["average_precision"] == pytest.approx(average)
+        assert (made["n_positive"], made["n_negative"]) == (len(up), len(down))
+    one_side = ranks.ranking_scores(frame.filter("p"), F.col("p"), F.col("s")).first()
+    assert one_side["roc_auc"] is None and one_side["average_precision"] == 1.0
+    nothing = ranks.ranking_scores(frame.limit(0), F.col("p"), F.col("s")).first()
+    assert nothing["roc_auc"] is None and nothing["n_positive"] == 0
+
+
+def test_metrics_by_name(spark, monkeypatch):
+    monkeypatch.setattr(metrics, "METRICS", dict(metrics.METRICS))
+    metrics.register_metric("hits", lambda rows: F.count_if(F.col("target") == F.col("prediction")))
+    metrics.register_metric("one", lambda rows: 1.0)
+    metrics.register_metric("none", lambda rows: None)
+    rows = spark.createDataFrame(
+        [(5, 5, 0, [0.75, 0.25]), (7, 5, 1, [0.5, 0.5]), (7, 7, 1, [0.25, 0.75])],
+        "target int, prediction int, label int, chances array<double>",
+    )
+    made = metrics.metric_values(rows, ["hits", "one", "none", "log_loss", "brier_score", "roc_auc", "accuracy"])
+    assert made == {
+        "hits": 2.0, "one": 1.0, "roc_auc": 1.0, "accuracy": pytest.approx(2 / 3),
+        "log_loss": pytest.approx(-(2 * np.log(0.75) + np.log(0.5)) / 3),
+        "brier_score": pytest.approx((0.125 + 0.5 + 0.125) / 3),
+    }
+    three = rows.withColumn("chances", F.array(F.lit(0.2), F.lit(0.3), F.col("chances")[1]))
+    assert metrics.metric_values(three, ["roc_auc"])["roc_auc"] == pytest.approx(0.5)
+    with pytest.raises(ValueError, match="unknown metrics"):
+        metrics.metric_values(rows, ["no such"])
