@@ -22,13 +22,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
 from lexiform.cluster import fresh_path
 from lexiform.llm.batches import chunks_of_text, record_batch, remainder
@@ -41,7 +42,9 @@ SIGHTINGS = 5  # surroundings in which a word was seen when its ratio counts hal
 PAIR_SIGHTINGS = 200  # the same for a word pair
 RATIOS = ("mean_ratio", "peak_ratio", "window_ratio")
 THRESHOLD = 0.3
-PAIRS_IN_TASK = 4_000_000  # distinct pairs that a task holds before it emits them
+PAIRS_IN_TASK = 2_000_000  # distinct pairs that a task holds before it emits them
+PAIRS_AT_ONCE = 500_000  # pairs of the model that the driver works on at a time
+PARTS = 4  # parts of the corpus' pairs per shuffle partition
 WORD = re.compile(r"[^\W_]+")
 
 UNKNOWN, START = 0, 1  # words are numbered from 2
@@ -58,6 +61,12 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+@lru_cache(maxsize=2)
+def numbers_of(words: bytes) -> dict[str, int]:
+    """The number of each word, from all words joined by line ends; a worker keeps it."""
+    return {w: i + 2 for i, w in enumerate(words.decode().split("\n"))} if words else {}
+
+
 def numbered(texts: list[str], ids: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers of all texts, each after a START, and the positions of the STARTs."""
     lists = [words_of(t) for t in texts]
@@ -106,48 +115,49 @@ class ClassCounts:
 class KneserNey:
     """Log-likelihood ratios of the toxic over the ordinary class."""
 
-    ids: dict[str, int]
     pairs: np.ndarray  # sorted keys of pairs that a class has seen
     pair_ratio: np.ndarray
     before_ratio: np.ndarray  # weight of backing off, by the word before
     word_ratio: np.ndarray
 
     @classmethod
-    def of(
-        cls, ids: dict[str, int], toxic: ClassCounts, ordinary: ClassCounts, surroundings: np.ndarray
-    ) -> KneserNey:
+    def of(cls, toxic: ClassCounts, ordinary: ClassCounts, surroundings: np.ndarray) -> KneserNey:
         # Words without a number are unknown to both classes; they only share the total.
         shared = surroundings + 0.5
         others = shared[UNKNOWN] = surroundings[UNKNOWN] + 0.5 * max(surroundings[START], 1)
         shared[START] = 0.5
         shared = shared / (shared[START + 1 :].sum() + others)
         union = np.union1d(toxic.pairs, ordinary.pairs)
-        before, word = union // BASE, union % BASE
-        logs, backoffs, words = [], [], []
-        seen_words, seen_pairs = np.zeros(len(shared)), np.zeros(len(union))
+        classes = []
         for c in (toxic, ordinary):
             total = max(c.contexts.sum(), 1.0)
             left = DISCOUNT * (c.contexts > 0).sum() / total if c.contexts.sum() else 1.0
             p_word = np.maximum(c.contexts - DISCOUNT, 0) / total + left * shared
             backoff = np.where(c.after > 0, DISCOUNT * c.kinds / np.maximum(c.after, 1), 1.0)
-            count = np.zeros(len(union))
-            count[np.searchsorted(union, c.pairs)] = c.counts
-            p = np.maximum(count - DISCOUNT, 0) / np.maximum(c.after[before], 1)
-            logs.append(np.log(p + backoff[before] * p_word[word]))
-            backoffs.append(np.log(backoff))
-            words.append(np.log(p_word))
-            seen_words += c.contexts
-            seen_pairs += count
-        before_ratio = (backoffs[0] - backoffs[1]) * trust(toxic.kinds + ordinary.kinds)
-        word_ratio = (words[0] - words[1]) * trust(seen_words)
-        smooth = before_ratio[before] + word_ratio[word]
-        pair_ratio = smooth + (logs[0] - logs[1] - smooth) * trust(seen_pairs, PAIR_SIGHTINGS)
-        found = (pair_ratio, before_ratio, word_ratio)
-        return cls(ids, union, *(ratio.astype(np.float32) for ratio in found))
-
-    def compare(self, texts: list[str]) -> list[np.ndarray]:
+            classes.append((c, p_word, backoff))
+        p_words, backoffs = [x[1] for x in classes], [x[2] for x in classes]
+        before_ratio = (np.log(backoffs[0]) - np.log(backoffs[1])) * trust(toxic.kinds + ordinary.kinds)
+        word_ratio = (np.log(p_words[0]) - np.log(p_words[1])) * trust(toxic.contexts + ordinary.contexts)
+        pair_ratio = np.empty(len(union), np.float32)
+        for start in range(0, len(union), PAIRS_AT_ONCE):
+            pairs = union[start : start + PAIRS_AT_ONCE]
+            before, word = pairs // BASE, pairs % BASE
+            logs, seen = [], np.zeros(len(pairs))
+            for c, p_word, backoff in classes:
+                own = slice(*np.searchsorted(c.pairs, [pairs[0], pairs[-1] + 1]))
+                count = np.zeros(len(pairs))
+                count[np.searchsorted(pairs, c.pairs[own])] = c.counts[own]
+                p = np.maximum(count - DISCOUNT, 0) / np.maximum(c.after[before], 1)
+                logs.append(np.log(p + backoff[before] * p_word[word]))
+                seen += count
+            smooth = before_ratio[before] + word_ratio[word]
+            ratio = smooth + (logs[0] - logs[1] - smooth) * trust(seen, PAIR_SIGHTINGS)
+            pair_ratio[start : start + PAIRS_AT_ONCE] = ratio
+        return cls(union, pair_ratio, before_ratio.astype(np.float32), word_ratio.astype(np.float32))
+
+    def compare(self, texts: list[str], ids: dict[str, int]) -> list[np.ndarray]:
         """Mean log-likelihood ratio of each text, of its most toxic word and window; 0 without words."""
-        numbers, starts = numbered(texts, self.ids)
+        numbers, starts = numbered(texts, ids)
         ratio = np.zeros(len(numbers) + 1)
         before, word = numbers[:-1], numbers[1:]
         values = self.before_ratio[before].astype(float) + self.word_ratio[word]
@@ -218,8 +228,8 @@ def _sample(docs, labels, key, text, label, held_out, of):
     return spark.read.parquet(folder), totals
 
 
-def _vocabulary(sample: DataFrame) -> dict[str, int]:
-    """All words of the sample, numbered in their order."""
+def _vocabulary(sample: DataFrame) -> bytes:
+    """All words of the sample in order, joined by line ends."""
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in chunks_of_text(batches):
@@ -227,16 +237,17 @@ def _vocabulary(sample: DataFrame) -> dict[str, int]:
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], names=["word"])
 
     words = sample.select("text").mapInArrow(distinct, "word string").distinct().toArrow()["word"]
-    return {w: i + 2 for i, w in enumerate(sorted(words.to_pylist()))}
+    return "\n".join(sorted(words.to_pylist())).encode()
 
 
-def _class_counts(sample: DataFrame, ids, toxic: int) -> ClassCounts:
+def _class_counts(sample: DataFrame, words, size: int, toxic: int) -> ClassCounts:
     """Counts of words and word pairs in one class of the sample."""
     schema = StructType([StructField("pair", LongType()), StructField("n", LongType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in chunks_of_text(batches):
-            keys, n = np.unique(pair_keys(numbered(texts, ids.value)[0]), return_counts=True)
+            numbers, _ = numbered(texts, numbers_of(words.value))
+            keys, n = np.unique(pair_keys(numbers), return_counts=True)
             yield record_batch(schema, {"pair": keys, "n": n})
 
     spark, folder = sample.sparkSession, fresh_path(sample.sparkSession, "pairs")
@@ -252,7 +263,7 @@ def _class_counts(sample: DataFrame, ids, toxic: int) -> ClassCounts:
     before = F.shiftright("pair", 31)
 
     def by_word(word, value) -> np.ndarray:
-        out = np.zeros(len(ids.value) + 2)
+        out = np.zeros(size)
         rows = pairs.groupBy(word.alias("word")).agg(value.alias("value")).toArrow()
         out[rows["word"].to_numpy()] = rows["value"].to_numpy()
         return out
@@ -264,43 +275,76 @@ def _class_counts(sample: DataFrame, ids, toxic: int) -> ClassCounts:
         by_word(before, F.sum("n")),
         by_word(before, F.count("*")),
         every["pair"].to_numpy()[order],
-        every["n"].to_numpy()[order].astype(float),
+        every["n"].to_numpy()[order].astype(np.float32),
     )
 
 
-def surroundings(docs: DataFrame, ids, text: str) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def packed(before: np.ndarray, word: np.ndarray) -> bytes:
+    """Pairs sorted by word as differences: of words, and of the words in front of one word. Bytes of
+    equal weight stand together, as those of small differences are mostly zeros."""
+    same = np.diff(word, prepend=word[:1] - 1) == 0
+    steps = np.where(same, np.diff(before, prepend=0), before)
+    rows = np.stack([np.diff(word, prepend=0), steps])
+    planes = rows.view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1)
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    """(words in front, words) as packed."""
+    planes = np.frombuffer(pa.decompress(data, 16 * n, "zstd"), np.uint8).reshape(2, 8, n)
+    words, steps = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.int64).reshape(2, n)
+    first = words != 0
+    sums = np.cumsum(steps)
+    starts = np.flatnonzero(first)
+    lead = np.repeat(sums[starts] - steps[starts], np.diff(starts, append=n))
+    return np.stack([sums - lead, np.cumsum(words)])
+
+
+def surroundings(docs: DataFrame, words, contexts: np.ndarray, text: str) -> np.ndarray:
     """For every word of the models, the number of different words in front of it in all documents;
     at UNKNOWN the sum of these numbers over all other words and at START how many those are.
 
-    Tasks emit distinct pairs, which are made distinct over the corpus and then counted by word;
-    what is gathered grows with the corpus, what reaches the driver is one number per word of the
-    models.
+    Tasks emit their distinct pairs, packed, in parts by a hash of the word; a word with many
+    ``contexts`` in the samples is spread over several parts by the word in front. A part makes its
+    pairs distinct over the corpus and counts them. What is gathered grows with the corpus, what
+    reaches the driver is one number per word of the models.
     """
-    schema = StructType([StructField("before", LongType()), StructField("word", LongType())])
+    parts = PARTS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = 1 + (4 * parts * contexts / max(1.0, contexts.sum())).astype(np.int64)
+    schema = StructType(
+        [StructField("part", LongType()), StructField("n", LongType()), StructField("pairs", BinaryType())]
+    )
 
     def different(pairs: list[np.ndarray]) -> np.ndarray:
         rows = np.concatenate(pairs, axis=1)
-        mixed = rows[0].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        mixed = (mixed ^ (mixed >> np.uint64(29))) + rows[1].view(np.uint64)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        return rows[:, ~pd.Series(mixed).duplicated().to_numpy()]
+        both = mixed(rows[0]) + rows[1].view(np.uint64)
+        both *= np.uint64(0xBF58476D1CE4E5B9)
+        return rows[:, ~pd.Series(both).duplicated().to_numpy()]
+
+    def emitted(pairs: np.ndarray) -> pa.RecordBatch:
+        before, word = pairs
+        known = np.where(word < HASHED, word, UNKNOWN)
+        turn = mixed(before) % spread[known].astype(np.uint64)
+        part = ((mixed(word) + turn * np.uint64(7919)) % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((before, word, part))
+        before, word, part = before[order], word[order], part[order]
+        starts = np.flatnonzero(np.diff(part, prepend=-1))
+        ends = np.append(starts[1:], len(part))
+        rows = [packed(before[a:b], word[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+        return record_batch(schema, {"part": part[starts], "n": ends - starts, "pairs": rows})
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, waiting, size = np.zeros((2, 0), np.int64), [], 0
-
-        def emitted(pairs: np.ndarray) -> pa.RecordBatch:
-            """Sorted; two numbers are one integer with no word before, which takes half the room."""
-            before, word = pairs
-            both = (before < HASHED) & (word < HASHED)
-            word = np.where(both, np.where(both, before, 0) * BASE + word, word)
-            order = np.argsort(word)
-            before = pa.array(before[order], mask=both[order])
-            return record_batch(schema, {"before": before, "word": word[order]})
-
         for _, texts in chunks_of_text(batches, "text"):
-            words = identified(texts, ids.value)
-            pairs = np.stack([words[:-1], words[1:]])
-            waiting.append(different([pairs[:, words[1:] != START]]))
+            numbers = identified(texts, numbers_of(words.value))
+            pairs = np.stack([numbers[:-1], numbers[1:]])
+            waiting.append(different([pairs[:, numbers[1:] != START]]))
             size += waiting[-1].shape[1]
             if size > PAIRS_IN_TASK // 2:
                 held, waiting, size = different([held, *waiting]), [], 0
@@ -309,20 +353,33 @@ def surroundings(docs: DataFrame, ids, text: str) -> np.ndarray:
                     held = np.zeros((2, 0), np.int64)
         yield emitted(different([held, *waiting]))
 
-    word = F.when(F.col("before").isNull(), F.col("word") % BASE).otherwise(F.col("word"))
-    by_word = (
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        pairs = [unpacked(p, n) for p, n in zip(rows["pairs"], rows["n"])]
+        before, word = np.concatenate(pairs, axis=1)
+        order = np.lexsort((before, word))
+        before, word = before[order], word[order]
+        new = np.ones(len(word), bool)
+        new[1:] = (np.diff(word) != 0) | (np.diff(before) != 0)
+        found, n = np.unique(word[new], return_counts=True)
+        known = found < HASHED
+        return pd.DataFrame(
+            {
+                "word": np.append(found[known], UNKNOWN),
+                "n": np.append(n[known], n[~known].sum()),
+                "words": np.append(np.zeros(known.sum(), np.int64), (~known).sum()),
+            }
+        )
+
+    rows = (
         docs.select(docs[text].alias("text"))
         .mapInArrow(distinct, schema)
-        .distinct()
-        .groupBy(word.alias("word"))
-        .agg(F.count("*").alias("n"))
-    )
-    rows = (
-        by_word.groupBy(F.when(F.col("word") < HASHED, F.col("word")).otherwise(UNKNOWN).alias("word"))
-        .agg(F.sum("n").alias("n"), F.count("*").alias("words"))
+        .groupBy("part")
+        .applyInPandas(count, "word bigint, n bigint, words bigint")
+        .groupBy("word")
+        .agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
         .toArrow()
     )
-    counts = np.zeros(len(ids.value) + 2)
+    counts = np.zeros(len(contexts))
     word = rows["word"].to_numpy()
     counts[word] = rows["n"].to_numpy()
     counts[START] = rows["words"].to_numpy()[word == UNKNOWN].sum()
@@ -361,15 +418,16 @@ def score_toxicity(
             (score >= THRESHOLD).cast("int").alias("predicted"),
             *(F.lit(0.0).alias(r) for r in RATIOS),
         )
-    ids = spark.sparkContext.broadcast(_vocabulary(sample.filter("NOT apart")))
-    model = KneserNey.of(
-        ids.value, _class_counts(sample, ids, 1), _class_counts(sample, ids, 0),
-        surroundings(docs, ids, text),
-    )
-    shared = spark.sparkContext.broadcast(model)
+    vocabulary = _vocabulary(sample.filter("NOT apart"))
+    size = vocabulary.count(b"\n") + 1 + START + 1
+    words = spark.sparkContext.broadcast(vocabulary)
+    toxic, ordinary = (_class_counts(sample, words, size, c) for c in (1, 0))
+    shared = surroundings(docs, words, toxic.contexts + ordinary.contexts, text)
+    model = spark.sparkContext.broadcast(KneserNey.of(toxic, ordinary, shared))
+    del toxic, ordinary
 
     # Probability from the ratios, on documents that were not counted.
-    fitted = _ratios(sample.filter("apart").select("toxic", "text"), shared).toPandas()
+    fitted = _ratios(sample.filter("apart").select("toxic", "text"), words, model).toPandas()
     weights = _calibration(fitted, totals)
 
     rows = docs.select(docs[key].alias(key), *own, docs[text].alias("text"))
@@ -377,7 +435,7 @@ def score_toxicity(
     for name, weight in zip(RATIOS, weights[1:]):
         z = z + weight * F.col(name)
     return (
-        _ratios(rows, shared)
+        _ratios(rows, words, model)
         .withColumn("score", 1.0 / (1.0 + F.exp(-z)))
         .select(
             key, *own, apart.alias("held_out"), "score",
@@ -407,7 +465,7 @@ def _calibration(fitted: pd.DataFrame, totals: dict[int, int]) -> list[float]:
     return [float(np.log(totals[1] / totals[0]))] + [0.0] * len(RATIOS)  # the share of label 1
 
 
-def _ratios(rows: DataFrame, model) -> DataFrame:
+def _ratios(rows: DataFrame, words, model) -> DataFrame:
     """All columns but the text, with the ratios."""
     kept = [f for f in rows.schema.fields if f.name != "text"]
     schema = StructType(
@@ -416,7 +474,7 @@ def _ratios(rows: DataFrame, model) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks_of_text(batches):
-            ratios = dict(zip(RATIOS, model.value.compare(texts)))
+            ratios = dict(zip(RATIOS, model.value.compare(texts, numbers_of(words.value))))
             yield record_batch(schema, {**{f.name: part.column(f.name) for f in kept}, **ratios})
 
     return rows.mapInArrow(compare, schema)

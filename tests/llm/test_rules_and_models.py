@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -236,30 +237,117 @@ def test_toxicity_of_a_shard_of_the_labelled_corpus(spark, monkeypatch):
 def test_toxicity_keeps_every_word_and_pair_of_the_samples(spark):
     rows = [(f"w{i} rare{i}", i % 2, False) for i in range(50)]
     sample = spark.createDataFrame(rows, "text string, toxic int, apart boolean")
-    ids = spark.sparkContext.broadcast(toxicity._vocabulary(sample))
-    assert len(ids.value) == 100
-    assert [len(toxicity._class_counts(sample, ids, c).pairs) for c in (0, 1)] == [50, 50]
+    words = spark.sparkContext.broadcast(toxicity._vocabulary(sample))
+    assert len(toxicity.numbers_of(words.value)) == 100
+    assert [len(toxicity._class_counts(sample, words, 102, c).pairs) for c in (0, 1)] == [50, 50]
 
 
 def test_surroundings_count_words_without_a_number(spark):
     docs = documents(spark, ["x a", "y a", "x z", "a z"])
-    ids = spark.sparkContext.broadcast({"a": 2})
+    words = spark.sparkContext.broadcast(b"a")
     # a: x, y, start; of the others x: start, y: start, z: x, a
-    assert toxicity.surroundings(docs, ids, "text").tolist() == [4, 3, 3]
+    found = toxicity.surroundings(docs, words, np.zeros(3), "text")
+    assert found.tolist() == [4, 3, 3]
 
 
 def test_surroundings_count_different_words_in_front(spark):
     docs = documents(spark, ["a b", "c b a b", "a b", None, "b"])
-    ids = spark.sparkContext.broadcast({"a": 2, "b": 3, "c": 4})
-    found = toxicity.surroundings(docs, ids, "text")
-    assert found[2:].tolist() == [2, 3, 1]  # a: start, b; b: a, c, start; c: start
+    words = spark.sparkContext.broadcast(b"a\nb\nc")
+    for contexts in (np.zeros(5), np.array([0, 0, 1.0, 500.0, 2.0])):  # spread over parts or not
+        found = toxicity.surroundings(docs, words, contexts, "text")
+        assert found[2:].tolist() == [2, 3, 1]  # a: start, b; b: a, c, start; c: start
+
+
+def test_packed_pairs_come_back():
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 500):
+        word = rng.integers(2, 9, n) + np.where(rng.random(n) < 0.4, toxicity.HASHED, 0)
+        before = rng.integers(0, 1 << 62, n) + np.where(rng.random(n) < 0.3, toxicity.HASHED, 0)
+        order = np.lexsort((before, word))
+        word, before = word[order], before[order]
+        made = toxicity.unpacked(toxicity.packed(before, word), n)
+        assert (made == np.stack([before, word])).all()
+
+
+def kneser_ney(counted, corpus):
+    """Log-likelihoods of a class by the formulas, from its own texts and those of the corpus."""
+    words = {w for t in counted[0] + counted[1] for w in t.split()}
+    around = {w: {b for t in corpus for b, x in zip(["^", *t.split()], t.split()) if x == w}
+              for w in {x for t in corpus for x in t.split()}}
+    unknown = [w for w in around if w not in words]
+    shared = {w: len(around.get(w, ())) + 0.5 for w in words}
+    others = sum(len(around[w]) for w in unknown) + 0.5 * max(len(unknown), 1)
+    total = sum(shared.values()) + others
+
+    def model(texts):
+        pairs = Counter(p for t in texts for p in zip(["^", *t.split()], t.split()))
+        contexts = Counter(w for _, w in pairs)
+        after, kinds = Counter(), Counter()
+        for (b, _), n in pairs.items():
+            after[b] += n
+            kinds[b] += 1
+        all_contexts = sum(contexts.values())
+        left = 0.75 * len(contexts) / all_contexts
+
+        def word(w):
+            return max(contexts[w] - 0.75, 0) / all_contexts + left * shared[w] / total
+
+        def pair(b, w):
+            backoff = 0.75 * kinds[b] / after[b] if after[b] else 1.0
+            return max(pairs[b, w] - 0.75, 0) / max(after[b], 1) + backoff * word(w)
+
+        return word, pair, contexts, kinds, after, pairs
+
+    return words, [model(texts) for texts in counted]
+
+
+def test_ratios_equal_the_formulas(spark):
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(12)]
+    toxic = [" ".join(rng.choices(vocabulary[:8], k=rng.randrange(1, 9))) for _ in range(20)]
+    plain = [" ".join(rng.choices(vocabulary[4:], k=rng.randrange(1, 9))) for _ in range(30)]
+    corpus = toxic + plain + [" ".join(rng.choices(vocabulary + ["new", "other"], k=6)) for _ in range(40)]
+    sample = spark.createDataFrame(
+        [(t, 1, False) for t in toxic] + [(t, 0, False) for t in plain],
+        "text string, toxic int, apart boolean",
+    )
+    blob = toxicity._vocabulary(sample)
+    words = spark.sparkContext.broadcast(blob)
+    size = blob.count(b"\n") + 3
+    classes = [toxicity._class_counts(sample, words, size, c) for c in (1, 0)]
+    around = toxicity.surroundings(
+        documents(spark, corpus), words, classes[0].contexts + classes[1].contexts, "text"
+    )
+    model = toxicity.KneserNey.of(*classes, around)
+    known, (bad, good) = kneser_ney((toxic, plain), corpus)
+
+    def ratio(b, w):
+        """A position's ratio, damped by how often the samples have seen what it rests on."""
+        logs = lambda m: 0.0 if w not in known else math.log(m[0](w))
+        off = [math.log(0.75 * m[3][b] / m[4][b]) if m[4][b] else 0.0 for m in (bad, good)]
+        kinds, contexts = bad[3][b] + good[3][b], bad[2][w] + good[2][w]
+        smooth = (off[0] - off[1]) * kinds / (kinds + 5)
+        smooth += (logs(bad) - logs(good)) * contexts / (contexts + 5)
+        seen = bad[5][b, w] + good[5][b, w]
+        if not seen:
+            return smooth
+        exact = math.log(bad[1](b, w)) - math.log(good[1](b, w))
+        return smooth + (exact - smooth) * seen / (seen + 200)
+
+    texts = [*corpus, "new w3", "w1"]
+    means, peaks, _ = model.compare(texts, toxicity.numbers_of(blob))
+    for text, mean, peak in zip(texts, means, peaks):
+        split = text.split()
+        values = [ratio(b, w) for b, w in zip(["^", *split], split)]
+        assert mean == pytest.approx(np.mean(values), abs=1e-5)
+        assert peak == pytest.approx(max(values), abs=1e-5)
 
 
 def test_windows_stay_inside_a_text():
     model = toxicity.KneserNey(
-        {"x": 2}, np.zeros(0, np.int64), np.zeros(0), np.zeros(3), np.array([0.0, 0.0, 4.0])
+        np.zeros(0, np.int64), np.zeros(0), np.zeros(3), np.array([0.0, 0.0, 4.0])
     )
-    mean, peak, window = model.compare(["x", "", "a x a", "x x x x"])
+    mean, peak, window = model.compare(["x", "", "a x a", "x x x x"], {"x": 2})
     assert mean.tolist() == [4.0, 0.0, 4 / 3, 4.0]
     assert peak.tolist() == [4.0, 0.0, 4.0, 4.0]
     assert window.tolist() == [4 / 3, 0.0, 4 / 3, 4.0]
