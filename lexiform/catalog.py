@@ -707,7 +707,7 @@ def gbt_classifier(spark, sf):
     return scored(
         runs.classification_run(
             labelled(spark, sf), model="gbt_classifier", use_class_weights=True,
-            model_params={"n_estimators": 5, "max_depth": 4}, **EMBEDDED,
+            model_params={"n_estimators": 3, "max_depth": 3, "binning": "width"}, **EMBEDDED,
         )
     )
 
@@ -717,7 +717,7 @@ def gbt_multiclass(spark, sf):
     rows = table(spark, sf, "embeddings").select("vec_id", "embedding", F.col("label").alias("target"))
     result = runs.classification_run(
         rows, "column", "gbt_classifier", {"column": "embedding"},
-        {"n_estimators": 2, "max_depth": 3}, identifier="vec_id",
+        {"n_estimators": 2, "max_depth": 3, "binning": "width"}, identifier="vec_id",
     )
     return judged(result.predictions, "vec_id", "target")
 
@@ -738,10 +738,10 @@ def gbt_regressor(spark, sf):
     made = columns.assemble_features(
         rows.withColumnRenamed("l_extendedprice", "label"), ["l_quantity", "l_discount", "l_tax"]
     )
-    trees = make_model("gbt_regressor", n_estimators=5, max_depth=4).fit(made)
+    trees = make_model("gbt_regressor", n_estimators=3, max_depth=3, binning="width").fit(made)
     guessed = trees.transform(made)
     return guessed.select(
-        "l_orderkey", "l_linenumber", "label", F.round("prediction", 2).alias("prediction")
+        "l_orderkey", "l_linenumber", "label", F.round("prediction", 4).alias("prediction")
     )
 
 

@@ -751,3 +751,110 @@ FROM documents d LEFT JOIN (
     WHERE word IN ({COMMON}) GROUP BY doc_id) k USING (doc_id)"""
 
 ORACLES["score_stream"] = "SELECT doc_id, true AS as_in_batch FROM documents"
+
+
+# Boosted trees, grown level by level: sums of gradients by node, feature and bin, the best split of
+# each node, and Newton steps in the leaves.
+
+
+def boosted(rows: str, key: str, objective: str, outputs: int, rounds: int, depth: int) -> str:
+    """Common table expressions from ``rows`` (key, y, w, v, split) to margins{rounds} (key, c, m)."""
+    parts = [f"""
+    spans AS (
+        SELECT f, min(x) AS low, max(x) AS high FROM (
+            SELECT unnest(range(1, len(v) + 1)) AS f, unnest(v) AS x FROM ({rows}) r
+            WHERE split = 'train') s GROUP BY f),
+    edges AS (
+        SELECT f, list_distinct(list_transform(range(1, 32), lambda i: low + (high - low) * i / 32)) AS e
+        FROM spans),
+    bins AS MATERIALIZED (
+        SELECT {key}, f, CAST(len(list_filter(e, lambda t: t <= x)) AS INTEGER) AS bin
+        FROM (SELECT {key}, unnest(range(1, len(v) + 1)) AS f, unnest(v) AS x FROM ({rows}) r) s
+        JOIN edges USING (f)),
+    truth AS MATERIALIZED (SELECT {key}, y, w, split FROM ({rows}) r),
+    margins0 AS (
+        SELECT {key}, c, {'(SELECT sum(y * w) / sum(w) FROM truth)' if objective == 'squared' else 'CAST(0 AS DOUBLE)'} AS m
+        FROM truth, (SELECT unnest(range({outputs})) AS c) k)"""]
+    derivatives = {
+        "squared": "w * (m - y) AS g, w AS h",
+        "logistic": "w * (1 / (1 + exp(-m)) - y) AS g, w / (1 + exp(-m)) / (1 + exp(m)) AS h",
+        "softmax": "w * (p - CAST(y = c AS INTEGER)) AS g, w * greatest(2 * p * (1 - p), 1e-16) AS h",
+    }[objective]
+    shares = "exp(m) / sum(exp(m)) OVER (PARTITION BY " + key + ") AS p"
+    for r in range(1, rounds + 1):
+        parts.append(f"""
+    pull{r} AS MATERIALIZED (
+        SELECT {key}, c, split, {derivatives} FROM (
+            SELECT {key}, c, split, y, w, m, {shares} FROM margins{r - 1} JOIN truth USING ({key})) t),
+    at{r}_0 AS (SELECT {key}, c, 0 AS node, true AS fresh FROM margins{r - 1})""")
+        for level in range(depth):
+            parts.append(f"""
+    cells{r}_{level} AS (
+        SELECT c, node, f, bin, sum(g) AS g, sum(h) AS h
+        FROM at{r}_{level} JOIN pull{r} USING ({key}, c) JOIN bins USING ({key})
+        WHERE split = 'train' AND fresh GROUP BY ALL),
+    best{r}_{level} AS MATERIALIZED (
+        SELECT c, node, f, bin FROM (
+            SELECT *, row_number() OVER (PARTITION BY c, node ORDER BY gain DESC, f, bin) AS k FROM (
+                SELECT c, node, f, bin, round(0.5 * (gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1)
+                    - ga * ga / (ha + 1)), 9) AS gain, hl, ha, following
+                FROM (
+                    SELECT c, node, f, bin, sum(g) OVER o AS gl, sum(h) OVER o AS hl,
+                        sum(g) OVER (PARTITION BY c, node, f) AS ga,
+                        sum(h) OVER (PARTITION BY c, node, f) AS ha, lead(bin) OVER o AS following
+                    FROM cells{r}_{level} WINDOW o AS (PARTITION BY c, node, f ORDER BY bin)) s) t
+            WHERE following IS NOT NULL AND hl >= 1 AND ha - hl >= 1 AND gain > 0) u
+        WHERE k = 1),
+    at{r}_{level + 1} AS MATERIALIZED (
+        SELECT a.{key}, a.c, CASE WHEN b.f IS NULL OR NOT a.fresh THEN a.node
+                ELSE 2 * a.node + 1 + CAST(i.bin > b.bin AS INTEGER) END AS node,
+            a.fresh AND b.f IS NOT NULL AS fresh
+        FROM at{r}_{level} a LEFT JOIN best{r}_{level} b ON a.c = b.c AND a.node = b.node AND a.fresh
+        LEFT JOIN bins i ON i.{key} = a.{key} AND i.f = b.f)""")
+        parts.append(f"""
+    leaves{r} AS (
+        SELECT c, node, CASE WHEN node = 0 THEN 0 ELSE -0.1 * sum(g) / (sum(h) + 1) END AS step
+        FROM at{r}_{depth} JOIN pull{r} USING ({key}, c) WHERE split = 'train' GROUP BY c, node),
+    margins{r} AS MATERIALIZED (
+        SELECT m.{key}, m.c, m.m + step AS m
+        FROM margins{r - 1} m JOIN at{r}_{depth} USING ({key}, c) JOIN leaves{r} USING (c, node))""")
+    return ",".join(parts)
+
+
+BOOSTED_VECTORS = f"""
+SELECT vec_id, CAST(target AS DOUBLE) AS y, CAST(1 AS DOUBLE) AS w,
+    CAST(embedding AS DOUBLE[]) AS v, split FROM ({SPLIT_VECTORS}) s"""
+
+ORACLES["gbt_multiclass"] = f"""
+WITH source AS MATERIALIZED ({BOOSTED_VECTORS}),
+{boosted('SELECT * FROM source', 'vec_id', 'softmax', 10, 2, 3)},
+shares AS (
+    SELECT vec_id, c, exp(m) / sum(exp(m)) OVER (PARTITION BY vec_id) AS p,
+        row_number() OVER (PARTITION BY vec_id ORDER BY round(m, 12) DESC, c) AS place
+    FROM margins2)
+SELECT vec_id, CAST(y AS INTEGER) AS target, CAST(c AS INTEGER) AS prediction,
+    'class_' || CAST(c AS VARCHAR) AS prediction_name, round(p, 4) AS confidence
+FROM shares JOIN truth USING (vec_id) WHERE place = 1 AND split = 'test'"""
+
+ORACLES["gbt_classifier"] = f"""
+WITH split AS MATERIALIZED ({split_rows(dense(QUALITY), 'doc_id', kept='v')}),
+sides AS (
+    SELECT target, sum(count(*)) OVER () / (CAST(count(*) AS DOUBLE) * count(*) OVER ()) AS w
+    FROM split WHERE split = 'train' GROUP BY target),
+source AS MATERIALIZED (
+    SELECT doc_id, CAST(target AS DOUBLE) AS y, w, v, split FROM split JOIN sides USING (target)),
+{boosted('SELECT * FROM source', 'doc_id', 'logistic', 1, 3, 3)},
+chances AS (SELECT doc_id, CAST(y AS INTEGER) AS target, 1 / (1 + exp(-m)) AS p
+    FROM margins3 JOIN truth USING (doc_id) WHERE split = 'test')
+SELECT doc_id, target, {JUDGEMENT} FROM chances"""
+
+ORACLES["gbt_regressor"] = f"""
+WITH lines AS MATERIALIZED (SELECT row_number() OVER () AS id, * FROM lineitem),
+source AS MATERIALIZED (
+    SELECT id, l_extendedprice AS y, CAST(1 AS DOUBLE) AS w,
+        [CAST(l_quantity AS DOUBLE), CAST(l_discount AS DOUBLE), CAST(l_tax AS DOUBLE)] AS v,
+        'train' AS split
+    FROM lines),
+{boosted('SELECT * FROM source', 'id', 'squared', 1, 3, 3)}
+SELECT l_orderkey, l_linenumber, l_extendedprice AS label, round(m, 4) AS prediction
+FROM margins3 JOIN lines USING (id)"""

@@ -6,16 +6,16 @@ row weights. Classifiers add ``prediction`` and ``probability``.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.util import (
     DefaultParamsReadable,
     DefaultParamsWritable,
@@ -25,13 +25,13 @@ from pyspark.ml.util import (
 from pyspark.sql import functions as F
 
 from lexiform.cluster import checkpointed
-from lexiform.functions.vectors import as_array
+from lexiform.functions.vectors import argmax, as_array
+from lexiform.operators import boosting
 from lexiform.operators.knn import k_nearest, knn_predict, knn_proba
 from lexiform.operators.split import stratified_split
 from lexiform.operators.weights import with_copies
 from lexiform.plans.stages import (
     DropColumns,
-    OneAgainstRest,
     PopulationScaler,
     TableReader,
     TableWriter,
@@ -77,44 +77,72 @@ class LogisticTrainer(_Trainer):
 
 
 class BoostedTreesTrainer(_Trainer):
-    """Boosted trees; one against the rest for more than two classes."""
+    """Boosted trees of one loss: logistic for two classes, softmax for more, squared for numbers
+    (``classes`` 0). ``extra`` holds further settings of boosting.Settings by name."""
 
     n_estimators = _param("n_estimators", TypeConverters.toInt)
     max_depth = _param("max_depth", TypeConverters.toInt)
     learning_rate = _param("learning_rate", TypeConverters.toFloat)
     seed = _param("seed", TypeConverters.toInt)
     classes = _param("classes", TypeConverters.toInt)
+    extra = _param("extra", TypeConverters.toString)
 
     @keyword_only
     def __init__(self, n_estimators=100, max_depth=6, learning_rate=0.1, seed=42, classes=2,
-                 weightCol=""):
+                 extra="{}", weightCol=""):
         super().__init__()
         self._set(n_estimators=n_estimators, max_depth=max_depth, learning_rate=learning_rate,
-                  seed=seed, classes=classes, weightCol=weightCol)
+                  seed=seed, classes=classes, extra=extra, weightCol=weightCol)
 
     def _fit(self, dataset):
         get = self.getOrDefault
-        trees = GBTClassifier(
-            maxIter=get("n_estimators"), maxDepth=get("max_depth"),
-            stepSize=get("learning_rate"), seed=get("seed"),
+        classes = get("classes")
+        objective = "squared" if classes == 0 else "logistic" if classes <= 2 else "softmax"
+        settings = boosting.Settings(
+            get("n_estimators"), get("max_depth"), get("learning_rate"), seed=get("seed"),
+            **json.loads(get("extra")),
         )
-        if self._weight():
-            trees.setWeightCol(self._weight())
-        if get("classes") <= 2:
-            return trees.fit(dataset)
-        stages = []
-        for code in range(get("classes")):
-            one = dataset.withColumn("_one", (F.col("label") == code).cast("double"))
-            against = trees.copy().setLabelCol("_one").setPredictionCol(f"_predictionCol{code}")
-            against.setRawPredictionCol(f"_rawPredictionCol{code}")
-            against.setProbabilityCol(f"_probabilityCol{code}")
-            stages.append(against.fit(one))
-        chances = [f"_probabilityCol{code}" for code in range(get("classes"))]
-        working = [f"_{c}{code}" for c in ("predictionCol", "rawPredictionCol", "probabilityCol")
-                   for code in range(get("classes"))]
-        return PipelineModel(
-            [*stages, OneAgainstRest(columns=chances), DropColumns(columns=working)]
-        )
+        outputs = classes if objective == "softmax" else 1
+        fitted = boosting.fit(dataset, outputs, objective, settings, weight=self._weight())
+        return BoostedModel(trees=fitted.to_json(), outputs=outputs)
+
+
+class BoostedModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """Fitted boosted trees: probability and prediction, or a number as prediction."""
+
+    trees = _param("trees", TypeConverters.toString)
+    outputs = _param("outputs", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, trees="", outputs=1):
+        super().__init__()
+        self._set(trees=trees, outputs=outputs)
+
+    @property
+    def fitted(self) -> boosting.Boosted:
+        return boosting.Boosted.from_json(self.getOrDefault("trees"))
+
+    def _transform(self, dataset):
+        outputs, model = self.getOrDefault("outputs"), self.fitted
+        shared = dataset.sparkSession.sparkContext.broadcast(model)
+
+        @F.pandas_udf("array<double>")
+        def score(rows: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            held = shared.value
+            for batch in rows:
+                x = np.array(batch.tolist(), float).reshape(len(batch), -1)
+                made = held.margins(x, outputs)
+                if held.objective != "squared":
+                    made = boosting.chances(made, held.objective)
+                yield pd.Series(list(made))
+
+        scores = score.asNondeterministic()(as_array(dataset, "features"))
+        scored = dataset.withColumn("_scores", scores)
+        if model.objective == "squared":
+            return scored.withColumn("prediction", F.get("_scores", 0)).drop("_scores")
+        return scored.withColumns(
+            {"probability": array_to_vector("_scores"), "prediction": argmax("_scores").cast("double")}
+        ).drop("_scores")
 
 
 class NetworkTrainer(_Trainer):
@@ -272,62 +300,92 @@ class NeighbourModel(Model, MLReadable, MLWritable):
         return dataset.join(result, key, "left")
 
 
+# Trainers by name: functions of the number of classes, the weight column, the row id and parameters.
+MODELS: dict[str, Callable[..., Estimator]] = {}
+
+# How a kind's prediction becomes a class code, if it is not one.
+DECISIONS: dict[str, str] = {}
+
+
+def register_model(kind: str, make: Callable[..., Estimator], decision: str = "label") -> None:
+    """Make a trainer known to runs, suites and searches under this name.
+
+    ``make(classes, weight, identifier, **params)`` returns an estimator that reads ``features``,
+    ``label`` and, if ``weight`` is not empty, that column, and whose model adds ``prediction`` and,
+    if it has any, ``probability``. ``decision`` says how a prediction becomes a class code.
+    """
+    MODELS[kind] = make
+    DECISIONS[kind] = decision
+
+
 def make_model(
     kind: str, classes: int = 2, weight: str = "", identifier: str = "doc_id", **params
 ) -> Estimator:
     """A trainer by name, with the parameters of its kind."""
-    if kind == "logistic_regression":
-        renamed = {"max_iter": "maxIter"}
-        settings = {renamed.get(k, k): v for k, v in params.items() if k != "random_state"}
-        return LogisticTrainer(weightCol=weight, **settings)
-    if kind in ("neural_network", "neural_network_simple"):
-        size = params.pop("hidden_size", 128)
-        simple = kind == "neural_network_simple"
+    if kind not in MODELS:
+        raise ValueError(f"unknown model {kind!r}, expected one of {sorted(MODELS)}")
+    return MODELS[kind](classes, weight, identifier, **params)
+
+
+def _logistic(classes, weight, identifier, max_iter=1000, random_state=None, **params):
+    return LogisticTrainer(weightCol=weight, maxIter=max_iter, **params)
+
+
+def _network(simple: bool):
+    def make(classes, weight, identifier, hidden_size=128, **params):
         params.setdefault("patience", 0 if simple else 10)
-        hidden = [size, size // 2] if simple else [size, size, size // 2]
+        hidden = [hidden_size] * (1 if simple else 2) + [hidden_size // 2]
         return NetworkTrainer(
             hidden=hidden, classes=classes, identifier=identifier, weightCol=weight, **params
         )
-    if kind == "knn_classifier":
-        return NeighbourTrainer(identifier=identifier, weightCol=weight, **params)
-    if kind == "gbt_classifier":
-        return BoostedTreesTrainer(classes=classes, weightCol=weight, **params)
-    if kind == "gbt_regressor":
-        return GBTRegressor(
-            maxIter=params.pop("n_estimators", 100), maxDepth=params.pop("max_depth", 6),
-            stepSize=params.pop("learning_rate", 0.1), seed=params.pop("seed", 42), **params,
+
+    return make
+
+
+def _neighbours(classes, weight, identifier, **params):
+    return NeighbourTrainer(identifier=identifier, weightCol=weight, **params)
+
+
+def _boosted(number: bool):
+    def make(classes, weight, identifier, **params):
+        own = ("n_estimators", "max_depth", "learning_rate", "seed")
+        extra = {k: v for k, v in params.items() if k not in own}
+        return BoostedTreesTrainer(
+            classes=0 if number else classes, weightCol=weight, extra=json.dumps(extra),
+            **{k: params[k] for k in own if k in params},
         )
-    raise ValueError(f"unknown model {kind!r}, expected one of {sorted(MODELS)}")
 
+    return make
 
-MODELS = [
-    "logistic_regression", "neural_network", "neural_network_simple", "knn_classifier",
-    "gbt_classifier", "gbt_regressor",
-]
 
-# How each kind's prediction column becomes a class code.
-DECISIONS = {"gbt_regressor": "threshold"}
+register_model("logistic_regression", _logistic)
+register_model("neural_network", _network(simple=False))
+register_model("neural_network_simple", _network(simple=True))
+register_model("knn_classifier", _neighbours)
+register_model("gbt_classifier", _boosted(number=False))
+register_model("gbt_regressor", _boosted(number=True), decision="threshold")
 
 
 def model_info(kind: str, model, classes: list) -> dict:
     """Kind, sizes and classes of a fitted model; ``model_size`` counts its numbers."""
     core = model
     if isinstance(model, PipelineModel):
-        core = next(s for s in model.stages if hasattr(s, "weights") or hasattr(s, "numFeatures"))
+        known = ("weights", "numFeatures")
+        core = next((s for s in model.stages if any(hasattr(s, k) for k in known)), model)
+    size, width = None, getattr(core, "numFeatures", None)
     if isinstance(core, NeighbourModel):
-        size, width = core.table.count(), None
+        size = core.table.count()
+    elif isinstance(core, BoostedModel):
+        size, width = core.fitted.n_nodes, core.fitted.width
     elif hasattr(core, "coefficientMatrix"):
         matrix = core.coefficientMatrix
-        size, width = matrix.numRows * (matrix.numCols + 1), core.numFeatures
-    elif hasattr(core, "totalNumNodes"):
-        size = sum(getattr(s, "totalNumNodes", 0) for s in getattr(model, "stages", [core]))
-        width = core.numFeatures
-    else:
-        size, width = len(core.weights), core.numFeatures
+        size = matrix.numRows * (matrix.numCols + 1)
+    elif hasattr(core, "weights"):
+        size = len(core.weights)
     return {
         "model_type": kind,
         "n_features": width,
         "n_classes": len(classes),
         "classes": classes,
-        "model_size": int(size),
+        "model_size": size if size is None else int(size),
     }

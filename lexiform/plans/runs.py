@@ -6,7 +6,7 @@ import json
 import math
 import time
 import warnings
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -45,37 +45,51 @@ VERSION = "1"
 TASK_BYTES = 32 << 20
 
 
+# Extractors by name: functions of their parameters that give a stage with the features.
+EXTRACTORS: dict[str, Callable] = {}
+
+# Parameters under the names of the stages.
+_RENAMED = {
+    "max_features": "maxFeatures", "min_df": "minDF", "max_df": "maxDF",
+    "stop_words": "stopWords", "use_idf": "useIdf", "smooth_idf": "smoothIdf",
+    "sublinear_tf": "sublinearTf", "vector_size": "vectorSize", "min_count": "minCount",
+    "batch_size": "batchSize",
+}
+
+
+def register_extractor(kind: str, make: Callable) -> None:
+    """Make an extractor known to runs, suites and searches under this name.
+
+    ``make(**params)`` returns an estimator or transformer whose result has ``features``.
+    """
+    EXTRACTORS[kind] = make
+
+
 def make_extractor(kind: str, **params):
-    """A text feature extractor by name."""
-    renamed = {
-        "max_features": "maxFeatures", "min_df": "minDF", "max_df": "maxDF",
-        "stop_words": "stopWords", "use_idf": "useIdf", "smooth_idf": "smoothIdf",
-        "sublinear_tf": "sublinearTf", "vector_size": "vectorSize", "min_count": "minCount",
-        "batch_size": "batchSize",
-    }
-    settings = {renamed.get(name, name): value for name, value in params.items()}
-    if kind == "count_vectorizer":
-        return TermFeatures(**settings)
-    if kind == "tfidf_vectorizer":
-        return TermFeatures(tfidf=True, **settings)
-    if kind == "word2vec":
-        return WordVectors(**settings)
-    if kind == "sentence_embeddings":
-        return TextEncoder(**settings)
-    if kind == "batched_embeddings":
-        settings.setdefault("batchSize", 100)
-        return TextEncoder(**settings)
-    if kind == "column":
-        return Projection(outputCol="features", **settings)
-    if kind == "columns":
-        return NumericColumns(outputCol="features", **settings)
-    raise ValueError(f"unknown extractor {kind!r}, expected one of {sorted(EXTRACTORS)}")
-
-
-EXTRACTORS = [
-    "count_vectorizer", "tfidf_vectorizer", "word2vec", "sentence_embeddings",
-    "batched_embeddings", "column", "columns",
-]
+    """A feature extractor by name."""
+    if kind not in EXTRACTORS:
+        raise ValueError(f"unknown extractor {kind!r}, expected one of {sorted(EXTRACTORS)}")
+    return EXTRACTORS[kind](**params)
+
+
+def _stage(kind, **fixed):
+    """A stage under its own parameters' names or the common ones."""
+
+    def make(**params):
+        return kind(**fixed, **{_RENAMED.get(name, name): value for name, value in params.items()})
+
+    return make
+
+
+register_extractor("count_vectorizer", _stage(TermFeatures))
+register_extractor("tfidf_vectorizer", _stage(TermFeatures, tfidf=True))
+register_extractor("word2vec", _stage(WordVectors))
+register_extractor("sentence_embeddings", _stage(TextEncoder))
+register_extractor("batched_embeddings", lambda batch_size=100, **params: _stage(TextEncoder)(
+    batch_size=batch_size, **params
+))
+register_extractor("column", _stage(Projection, outputCol="features"))
+register_extractor("columns", _stage(NumericColumns, outputCol="features"))
 
 
 def extractor_info(kind: str, fitted) -> dict:

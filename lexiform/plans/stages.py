@@ -475,26 +475,6 @@ class PopulationScalerModel(Model, HasInputCol, HasOutputCol, _Saved):
         return dataset.withColumn(self.getOutputCol(), array_to_vector(done))
 
 
-class OneAgainstRest(Transformer, _Saved):
-    """Probability and prediction from one two-class probability column per class."""
-
-    columns = Param(Params._dummy(), "columns", "probability columns", TypeConverters.toListString)
-
-    @keyword_only
-    def __init__(self, columns=()):
-        super().__init__()
-        self._set(columns=list(columns))
-
-    def _transform(self, dataset):
-        chances = F.array(*[F.get(vector_to_array(c), 1) for c in self.getOrDefault("columns")])
-        total = F.aggregate(chances, F.lit(0.0), lambda a, x: a + x)
-        shares = bound(total, lambda t: F.transform(chances, lambda x: x / t))
-        likeliest = F.array_position(chances, F.array_max(chances)) - 1
-        return dataset.withColumns(
-            {"probability": array_to_vector(shares), "prediction": likeliest.cast("double")}
-        )
-
-
 def sequence_of(stages) -> Pipeline:
     """An ML pipeline of at least one stage."""
     if not stages:
