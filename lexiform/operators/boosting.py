@@ -347,7 +347,7 @@ def _histogram(waiting, trees, open_nodes, width, edges, outputs, objective, set
                     size = len(names[c]) * n * bins_most
                     cells = np.stack(
                         [np.bincount(key, np.repeat(v[some, c], n), size) for v in (g, h)]
-                    )
+                    ).astype(float)  # without rows they are integers
                     if few:
                         held = whole.get((c, first))
                         whole[c, first] = cells if held is None else held + cells
