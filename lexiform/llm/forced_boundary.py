@@ -1,12 +1,13 @@
 """Encode and decode with a byte-pair vocabulary by splitting texts at forced boundaries.
 
 A merge can only build tokens of the vocabulary, so two neighbouring bytes that no token holds side
-by side are never merged: a cut between them is certain. Two kinds of pairs are used, checked against
-all tokens when a vocabulary is loaded: a character that is not white space before ASCII white space,
-and a Latin letter before one of some common punctuation marks. Pairs that a token does hold are left out.
-Both kinds of vocabulary first split texts by a pattern that ends a part at these places, whatever
-follows. Pairs inside a word are not cut: vocabularies with word ends mark the last token of the whole
-word.
+by side are never merged: a cut between them is certain. A table of 256 x 256 bits marks the pairs
+that some token holds. From it come, when a vocabulary is loaded, the cuts that are made everywhere,
+where the vocabulary's pattern ends a part whatever follows: before ASCII white space, and between a
+Latin letter and one of some common punctuation marks. Byte-level vocabularies without marks of word
+ends are also cut inside long stretches without white space, at every character boundary whose pair
+of bytes is absent, but not before an apostrophe, as the pattern reads contractions from there.
+Vocabularies with word ends mark the last token of the whole word and forbid cuts inside.
 
 Fragments are encoded independently, each distinct one once as long as a task remembers it, and
 their ids are concatenated. Null and empty texts have no ids. Texts of any length pass whole.
@@ -15,6 +16,7 @@ their ids are concatenated. Null and empty texts have no ids. Texts of any lengt
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import sys
@@ -38,8 +40,9 @@ OTHER_WHITE = re.compile(
 # Letters that stay letters to their end when a vocabulary composes and lower-cases its texts.
 STEADY = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
 MARKS = ".,;:!?*#$%&|"
-REMEMBERED = 1_000_000  # fragments that a worker keeps, in about 230 bytes each
+REMEMBERED = 600_000  # fragments that a worker keeps, in about 230 bytes each
 REMEMBERED_CHARS = 48  # longer fragments are not kept
+LONG_CHARS = 512  # fragments that are longer are cut inside
 VOCABULARY_BYTES = 64_000_000  # a larger vocabulary file is not sent to the tasks
 
 
@@ -50,21 +53,27 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def joined_marks(tokens: list[bytes]) -> set[str]:
-    """Punctuation marks that some token holds directly after a letter."""
-    texts = (t.decode("utf-8", "replace") for t in tokens)
-    return {b for t in texts for a, b in zip(t, t[1:]) if b in MARKS and (a.isalnum() or a == "\ufffd")}
+def held_pairs(tokens: list[bytes]) -> np.ndarray:
+    """Whether some token holds two bytes side by side: a table by first and second byte."""
+    table = np.zeros((256, 256), bool)
+    for token in tokens:
+        data = np.frombuffer(token, np.uint8)
+        table[data[:-1], data[1:]] = True
+    return table
 
 
-def joined_before_white(tokens: list[bytes]) -> set[str]:
-    """Characters that some token holds directly in front of ASCII white space."""
-    white, found = WHITE.encode(), set()
-    for token in tokens:
-        for i in range(1, len(token)):
-            if token[i] in white:
-                head = token[max(0, i - 4) : i].decode("utf-8", "ignore")
-                found.add(head[-1:] or "\ufffd")
-    return found
+def plain_bytes(vocabulary: str) -> bool:
+    """Whether a vocabulary takes texts as they are, in parts by the usual byte-level pattern, and
+    its tokens do not depend on where a word ends."""
+    settings = json.loads(vocabulary)
+    model, parts = settings["model"], settings["pre_tokenizer"] or {}
+    return (
+        settings["normalizer"] is None
+        and parts.get("type") == "ByteLevel" and parts.get("use_regex", True)
+        and not parts.get("add_prefix_space")
+        and model["type"] == "BPE" and not model.get("dropout")
+        and not model.get("end_of_word_suffix") and not model.get("continuing_subword_prefix")
+    )
 
 
 class FragmentCodec:
@@ -81,19 +90,34 @@ class FragmentCodec:
         self.tokens = [by_id.get(i, "") for i in range(max(by_id) + 1)]
         alphabet = byte_alphabet()
         raw = [bytes(alphabet[c] for c in t if c in alphabet) for t in self.tokens]
-        held = {c for c in joined_before_white(raw) if not c.isspace()}
-        self.plain = not held
-        after = "".join(map(re.escape, sorted(held)))
+        self.pairs = held_pairs(raw)
+        self.inner = plain_bytes(vocabulary)
+        # Bytes that end a character which is not white space, and some token holds before white space.
+        worded = held_pairs([t for t in raw if not t.decode("utf-8", "replace").isspace()])
+        white = np.frombuffer(WHITE.encode(), np.uint8)
+        ends = np.array([b for b in range(256) if b not in white and b < 0xC0])
+        held = ends[worded[np.ix_(ends, white)].any(axis=1)]
+        self.plain = not len(held)
+        after = "".join(re.escape(chr(b)) for b in held if b < 0x80)
+        after += "\x80-\U0010ffff" if (held >= 0x80).any() else ""
         self.cuts = re.compile(rf"(?<=[^\s{after}])(?=[ \t-\r])")
-        marks = "".join(sorted(set(MARKS) - joined_marks(raw)))
+        ascii_letters = np.array([b for b in range(128) if chr(b).isalpha()])
+        marks = "".join(m for m in MARKS if not self.pairs[ascii_letters, ord(m)].any())
+        wide = "".join(m for m in marks if not self.pairs[0x80:0xC0, ord(m)].any())
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        if not marks or any(t[:1].isalnum() or t[:1] in MARKS for t in added):
+        self.fast_marks = bool(marks) and not any(t[:1].isalnum() or t[:1] in MARKS for t in added)
+        marks, wide = re.escape(marks), re.escape(wide)
+        if not self.fast_marks:
             self.fast = re.compile(r"\s*\S+|\s+")
         else:
-            marks = re.escape(marks)
-            letters = rf"[^\W\d_]*[{STEADY}](?=[\s{marks}]|\Z)"
+            letters = rf"[^\W\d_]*(?:[{STEADY}](?=[\s{wide}]|\Z)|[A-Za-z](?=[{marks}]))"
             self.fast = re.compile(rf"\s*{letters}|\s*\S+|\s+")
+        self.drops_white = self._drops_white()
+        # A letter and a mark after it, for vocabularies that drop white space.
+        self.joints = re.compile(rf"([A-Za-z])([{marks}])") if self.fast_marks else None
+        # What was met lately, and before that; what is met again moves to the first.
         self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
 
     def fragments(self, text: str) -> list[str]:
         """The pieces between forced boundaries; joined they are the text."""
@@ -101,20 +125,55 @@ class FragmentCodec:
             return self.fast.findall(text)
         return [f for f in self.cuts.split(text) if f]
 
+    def _drops_white(self) -> bool:
+        """Whether white space gives no ids and only parts what it stands between."""
+
+        def ids(text: str) -> list[int]:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+        between = [(a, w, b) for w in (*WHITE, "  ", " \n ") for a, b in ("ab", "..", ("1", "'s"))]
+        return not ids(WHITE) and all(ids(a + w + b) == ids(a) + ids(b) for a, w, b in between)
+
+    def pieces(self, text: str) -> list[str]:
+        """What is encoded of a text: its fragments, without white space where that is dropped."""
+        if not self.drops_white or not self.plain or OTHER_WHITE.search(text):
+            return self.fragments(text)
+        return (self.joints.sub(r"\1 \2", text) if self.joints else text).split()
+
+    def cut_inside(self, fragment: str) -> list[str]:
+        """A fragment between all pairs of bytes that no token holds; its parts joined are the
+        fragment."""
+        data = fragment.encode()
+        held = np.frombuffer(data, np.uint8)
+        left, right = held[:-1], held[1:]
+        apart = ~self.pairs[left, right] & ((right & 0xC0) != 0x80) & (right != 0x27)
+        white = len(fragment) - len(fragment.lstrip())  # ASCII, stays with what follows
+        places = (np.flatnonzero(apart[white:]) + white + 1).tolist()
+        return [data[a:b].decode() for a, b in zip([0, *places], [*places, len(data)])]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        split = [self.fragments(t) for t in texts]
-        missing = list(set().union(*split).difference(known)) if split else []
+        if len(self.known) > REMEMBERED // 2:
+            self.earlier, self.known = self.known, {}
+        known, earlier = self.known, self.earlier
+        split = [self.pieces(t) for t in texts]
+        missing = set().union(*split).difference(known)
+        again = missing.intersection(earlier)
+        known.update((f, earlier.pop(f)) for f in again)
+        missing = list(missing - again)
+        long = [f for f in missing if len(f) > LONG_CHARS] if self.inner else []
+        long = {f: self.cut_inside(f) for f in long if not OTHER_WHITE.search(f)}
+        if long:
+            parts = set().union(*long.values()).difference(known)
+            missing = list(parts.union(f for f in missing if f not in long))
         coded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
         known.update((f, array("I", c.ids).tobytes()) for f, c in zip(missing, coded))
         find = known.__getitem__
+        known.update((f, b"".join(map(find, parts))) for f, parts in long.items())
         made = [b"".join(map(find, fragments)) for fragments in split]
-        for f in missing:
+        for f in (*missing, *long):
             if len(f) > REMEMBERED_CHARS:
-                del known[f]
+                known.pop(f, None)
         return made
 
     def decode(self, ids: bytes) -> str:

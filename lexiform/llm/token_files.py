@@ -36,7 +36,8 @@ MAGIC = b"TOKSEG1\n"
 # magic, task, segment, documents, documents without an id, ids, width, smallest document id
 HEADER = "<8sqqqqqqq"
 HEADER_BYTES = struct.calcsize(HEADER)
-SEGMENT_IDS = 16_000_000  # ids after which a file ends
+SEGMENT_IDS = 4_000_000  # ids after which a file ends
+ROWS = 10_000  # documents that are read at a time
 SAMPLED = 256  # every so many set bits, their position is kept
 
 
@@ -130,7 +131,7 @@ def segment_bytes(task: int, number: int, keys: list, ids: list[bytes], width: i
 
 
 class Segment:
-    """A file's documents: ``ids(i)`` finds one by select, ``all_ends`` decodes all boundaries."""
+    """A file's documents: ``ids(i)`` finds one by select."""
 
     def __init__(self, data: bytes):
         (magic, self.task, self.number, self.n, self.n_null, self.n_ids, self.width, least) = (
@@ -175,6 +176,7 @@ def write_tokens(
             StructField("key", LongType()),
             StructField("turn", LongType()),
             StructField("width", IntegerType()),
+            StructField("size", LongType()),
             StructField("ids", BinaryType()),
         ]
     )
@@ -187,16 +189,18 @@ def write_tokens(
         for part, texts in chunks_of_text(batches):
             ids = [np.frombuffer(i + end, "<u4").astype(f"<u{width}") for i in codec.encode(texts)]
             columns = {n: part.column(n) for n in ("key", "turn")}
-            columns |= {"width": [width] * len(ids), "ids": [i.tobytes() for i in ids]}
+            # Compressed, as they are written and shuffled once more.
+            packed = [pa.compress(i.tobytes(), "zstd", asbytes=True) for i in ids]
+            columns |= {"width": [width] * len(ids), "size": [i.nbytes for i in ids], "ids": packed}
             yield record_batch(coded, columns)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number, keys, ids, size, width = TaskContext.get().partitionId(), 0, [], [], 0, 4
         for batch in batches:
-            for key, width, data in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, width, n_bytes, data in zip(*(c.to_pylist() for c in batch.columns)):
                 keys.append(key)
-                ids.append(data)
-                size += len(data) // width
+                ids.append(pa.decompress(data, n_bytes, "zstd", asbytes=True))
+                size += n_bytes // width
                 if size >= segment_ids:
                     content = segment_bytes(task, number, keys, ids, width)
                     yield record_batch(schema, {"content": [content]})
@@ -210,7 +214,7 @@ def write_tokens(
     rows.mapInArrow(encode, coded).write.parquet(ready)
     ordered = spark.read.schema(coded).parquet(ready)
     ordered = ordered.repartitionByRange("key", "turn").sortWithinPartitions("key", "turn")
-    segments = ordered.select("key", "width", "ids").mapInArrow(write, schema)
+    segments = ordered.select("key", "width", "size", "ids").mapInArrow(write, schema)
     segments.select(F.col("content").cast("string")).write.option("maxRecordsPerFile", 1).text(
         folder
     )
@@ -225,44 +229,42 @@ def read_tokens(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFr
             for n in ("task", "number", "key", "within", "n_tokens", "ids_crc32")
         ]
     )
-    heads = StructType([StructField(n, LongType()) for n in ("task", "number", "n_ids")])
-
-    def read_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [struct.unpack(HEADER, h) for h in batch.column("head").to_pylist()]
-            columns = {"task": [h[1] for h in found], "number": [h[2] for h in found]}
-            yield record_batch(heads, {**columns, "n_ids": [h[5] for h in found]})
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column("content"):
                 segment = Segment(content.as_buffer())
-                ends = segment.ends.values()
-                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                crc = [
-                    zlib.crc32(segment.array[a:b].astype("<u4"))
-                    for a, b in zip(starts.tolist(), ends.tolist())
-                ]
-                yield record_batch(
-                    schema,
-                    {
-                        "task": [segment.task] * segment.n,
-                        "number": [segment.number] * segment.n,
-                        "key": segment.keys,
-                        "within": starts,
-                        "n_tokens": ends - starts,
-                        "ids_crc32": crc,
-                    },
-                )
-
-    # One row per file: the ids of the files before it.
+                for first in range(0, segment.n, ROWS):
+                    yield documents(segment, first, min(first + ROWS, segment.n))
+
+    def documents(segment: Segment, first: int, last: int) -> pa.RecordBatch:
+        start, starts, sizes, sums = segment.bounds(first)[0], [], [], []
+        for i in range(first, last):
+            end = segment.ends.select(i)
+            starts.append(start)
+            sizes.append(end - start)
+            sums.append(zlib.crc32(segment.array[start:end].astype("<u4")))
+            start = end
+        return record_batch(
+            schema,
+            {
+                "task": [segment.task] * len(starts),
+                "number": [segment.number] * len(starts),
+                "key": segment.keys[first:last],
+                "within": starts,
+                "n_tokens": sizes,
+                "ids_crc32": sums,
+            },
+        )
+
+    # Files are read once; a row per file says how many ids are before it.
+    found = fresh_path(spark, "found")
+    files.select("content").mapInArrow(read, schema).write.parquet(found)
+    docs = spark.read.schema(schema).parquet(found)
     before = Window.orderBy("task", "number").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (
-        files.select(F.substring("content", 1, HEADER_BYTES).alias("head"))
-        .mapInArrow(read_heads, heads)
-        .select("task", "number", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
+    sizes = docs.groupBy("task", "number").agg(F.sum("n_tokens").alias("n_ids"))
+    bases = sizes.select(
+        "task", "number", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base")
     )
-    docs = files.select("content").mapInArrow(read, schema)
     return docs.join(bases, ["task", "number"]).select(
         F.col("key").alias(key), (F.col("base") + F.col("within")).alias("start"), "n_tokens",
         "ids_crc32",

@@ -41,6 +41,31 @@ def test_codec_equals_the_library(path):
     assert all("".join(codec.fragments(t)) == t for t in texts)
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_codec_of_long_stretches(monkeypatch, path):
+    """Texts without white space, whose pairs of bytes are often in no token."""
+    tokenizer = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as file:
+        codec = forced_boundary.FragmentCodec(file.read())
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyzABCXYZ0123456789"
+    parts = [*letters, "'s", "'", "!'", "'re", "qz", "漢", "字", "é", "ñ", "🎉", "Ж", "<|", "|>", "_",
+             "<|endoftext|>", "...", "—", "\u0301", "ß", "İ"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(40, 300))) for _ in range(400)]
+    texts += [" " + t for t in texts[:50]] + ["".join(rng.choices("漢字日本語中文大学生", k=5000))]
+    texts += [a + " \n " + b + "." + a for a, b in zip(texts, texts[1:])][:100]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(i, "<u4").tolist() for i in codec.encode(texts)] == want
+    monkeypatch.setattr(forced_boundary, "LONG_CHARS", 8)
+    assert [np.frombuffer(i, "<u4").tolist() for i in codec.encode(texts[::-1])] == want[::-1]
+    cut = [codec.cut_inside(t) for t in texts]
+    assert all("".join(c) == t for c, t in zip(cut, texts))
+    assert sum(map(len, cut)) > 5 * len(texts)
+    for token, number in tokenizer.get_vocab().items():
+        if codec.inner and number % 50 == 0:
+            assert len(codec.cut_inside(tokenizer.decode([number]) or "a")) == 1 or "�" in tokenizer.decode([number])
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(forced_boundary, "REMEMBERED", 3)
     monkeypatch.setattr(forced_boundary, "REMEMBERED_CHARS", 2)
