@@ -380,13 +380,13 @@ def _embedded(made: DataFrame, *extra: str) -> DataFrame:
 
 @query
 def embed_text(spark, sf):
-    return _embedded(embed.embed_text(documents_of(spark, sf)))
+    return _embedded(embed.embed_text(documents_of(spark, sf), once=True))
 
 
 @query
 def embed_text_batched(spark, sf):
     documents = documents_of(spark, sf)
-    return _embedded(embed.embed_text_batched(documents, size=64), "embed_ok")
+    return _embedded(embed.embed_text_batched(documents, size=64, once=True), "embed_ok")
 
 
 def hashed_word_vectors(spark, sf) -> DataFrame:
@@ -808,6 +808,41 @@ def score_stream(spark, sf):
     return streamed.join(batch, "doc_id").select("doc_id", same.alias("as_in_batch"))
 
 
+def streamed(rows: DataFrame) -> DataFrame:
+    """The rows as a stream of files."""
+    incoming = fresh_path(rows.sparkSession, "incoming")
+    rows.write.parquet(incoming)
+    return rows.sparkSession.readStream.schema(rows.schema).parquet(incoming)
+
+
+@query
+def score_stream_neighbours(spark, sf):
+    """The test side scored as a stream that meets the training rows."""
+    result = runs.classification_run(
+        labelled(spark, sf), model="knn_classifier", use_class_weights=True, **EMBEDDED
+    )
+    tested = documents_of(spark, sf).join(result.predictions.select("doc_id"), "doc_id", "left_semi")
+    output = fresh_path(spark, "scored")
+    score.score_stream(
+        result.fitted, streamed(tested), output, fresh_path(spark, "progress")
+    ).awaitTermination()
+    return judged(score.read_batches(spark, output), "doc_id", digits=6)
+
+
+@query
+def pool_stream(spark, sf):
+    """Documents as a stream, pooled over a table of word vectors."""
+    output = fresh_path(spark, "pooled")
+    score.pool_stream(
+        streamed(documents_of(spark, sf)), hashed_word_vectors(spark, sf), 8, output,
+        fresh_path(spark, "progress"),
+    ).awaitTermination()
+    wide = columns.expand_vector(score.read_batches(spark, output), "embedding", 8)
+    return wide.select(
+        "doc_id", "n_known", *[F.round(f"embedding_{i}", 6).alias(f"d{i}") for i in range(8)]
+    )
+
+
 @query
 def experiment_suite(spark, sf):
     weighted = {"extractor": "sentence_embeddings", "extractor_params": {"size": 32}}

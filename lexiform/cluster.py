@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -27,7 +28,7 @@ def shared_folder(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named.rstrip("/")
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="lexiform-"))
     return context.getCheckpointDir().rstrip("/")

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiform.cluster import checkpointed, settled
 from lexiform.functions.text import text_or_empty
 
 # An encoder maps a list of texts to one row of numbers per text.
@@ -20,6 +21,11 @@ Encoder = Callable[[Sequence[str]], np.ndarray]
 # The hashing encoder forgets the slots of words when it knows this many.
 REMEMBERED_WORDS = 500_000
 
+# Rows of one text that meet its embedding in one task, and how many texts may have more of them.
+COPIES = 100_000
+HOT_TEXTS = 10_000
+
+
 def hashing_encoder(size: int = 64) -> Encoder:
     """Signed feature hashing of words, scaled to unit length.
 
@@ -55,11 +61,18 @@ def embed_text(
     make_encoder: Callable[[], Encoder] = hashing_encoder,
     text: str = "text",
     output: str = "embedding",
+    once: bool = False,
 ) -> DataFrame:
     """Add the embedding of each text as an array; null counts as empty.
 
-    The encoder is made once per task and fed whole Arrow batches.
+    The encoder is made once per task and fed whole Arrow batches. With ``once``
+    equal texts are encoded a single time, which pays if the encoder costs more
+    than a shuffle of the rows.
     """
+    if once:
+        return encoded_once(
+            df, lambda texts: embed_text(texts, make_encoder, text, output), text, [output]
+        )
 
     @F.pandas_udf("array<double>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -79,13 +92,21 @@ def embed_text_batched(
     pause: float = 0.0,
     text: str = "text",
     output: str = "embedding",
+    once: bool = False,
 ) -> DataFrame:
     """Embeddings from a service that takes ``batch_size`` texts and may fail.
 
     A failed batch yields zero vectors of the width seen so far in the task
     (``size`` before the first success) and ``embed_ok`` false. ``pause``
-    seconds pass between the calls of a task.
+    seconds pass between the calls of a task. With ``once`` equal texts are sent
+    a single time and share what comes back.
     """
+    if once:
+
+        def encode_texts(texts: DataFrame) -> DataFrame:
+            return embed_text_batched(texts, make_encoder, size, batch_size, pause, text, output)
+
+        return encoded_once(df, encode_texts, text, [output, "embed_ok"])
 
     @F.pandas_udf("struct<embedding: array<double>, embed_ok: boolean>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -114,3 +135,33 @@ def embed_text_batched(
         F.col("_encoded.embedding").alias(output),
         F.col("_encoded.embed_ok").alias("embed_ok"),
     )
+
+
+def encoded_once(
+    df: DataFrame, encode: Callable[[DataFrame], DataFrame], text: str, outputs: Sequence[str]
+) -> DataFrame:
+    """Add what ``encode`` adds to a table of texts, computed for each different text once.
+
+    Different texts are found by digest and encoded to a table, which rows then
+    meet by digest. A text with very many copies is met in several tasks: its
+    rows are dealt out by a number, and its embedding is repeated for each.
+    """
+    digest = F.sha2(text_or_empty(text).cast("binary"), 256)
+    keyed = df.withColumn("_digest", digest)
+    different = keyed.groupBy("_digest").agg(
+        F.first(text_or_empty(text)).alias(text), F.count("*").alias("_copies")
+    )
+    done = checkpointed(encode(different).select("_digest", "_copies", *outputs))
+    parts = F.ceil(F.col("_copies") / F.lit(float(COPIES))).cast("int")
+    hot = done.filter(F.col("_copies") > COPIES).orderBy(F.desc("_copies"), "_digest").limit(HOT_TEXTS)
+    hot, _ = settled(hot.select("_digest", parts.alias("_parts")))
+    row = F.xxhash64(F.monotonically_increasing_id())
+    dealt = keyed.join(F.broadcast(hot), "_digest", "left").withColumn(
+        "_part", F.coalesce(F.pmod(row, F.col("_parts")).cast("int"), F.lit(0))
+    )
+    every = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    spread = done.join(F.broadcast(hot), "_digest", "left").withColumn("_part", F.explode(every))
+    kept = [c for c in df.columns if c not in outputs]
+    return dealt.drop(*outputs).join(spread.select("_digest", "_part", *outputs), ["_digest", "_part"]).select(
+        *kept, *outputs
+    )

@@ -474,6 +474,11 @@ SELECT query_id AS doc_id, truth AS target, label AS prediction,
     'class_' || CAST(label AS VARCHAR) AS prediction_name, round(share, 6) AS confidence
 FROM best WHERE place = 1"""
 
+ORACLES["score_stream_neighbours"] = (
+    f"SELECT * EXCLUDE (target) FROM ({ORACLES['knn_classifier']}) k"
+)
+ORACLES["pool_stream"] = ORACLES["mean_pool"]
+
 JUDGED = f"""
 SELECT v.label AS y_true, p.prediction AS y_pred
 FROM ({PREDICT}) p JOIN embeddings v ON v.vec_id = p.query_id"""

@@ -172,3 +172,28 @@ def test_term_numbers_are_alphabetical(spark, monkeypatch):
         enumerate(["aa", "bb", "cc", "dd", "ee", "ff", "gg", "yy", "zz"])
     )
     assert made[0]["tf"] == 2
+
+
+def test_each_text_is_encoded_once(spark, monkeypatch):
+    monkeypatch.setattr(embed, "COPIES", 5)
+    rows = [(i, f"text {i % 7}" if i % 5 else "hot", i) for i in range(200)] + [(900, None, 0), (901, "", 1)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, embedding int").repartition(4)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting():
+        encode = embed.hashing_encoder(8)
+
+        def run(texts):
+            seen.add(len(texts))
+            return encode(texts)
+
+        return run
+
+    plain = {r["doc_id"]: r["embedding"] for r in embed.embed_text(frame, lambda: embed.hashing_encoder(8)).collect()}
+    made = embed.embed_text(frame, counting, once=True)
+    assert made.columns == ["doc_id", "text", "embedding"]
+    assert {r["doc_id"]: r["embedding"] for r in made.collect()} == plain
+    assert seen.value == 9  # seven texts, the hot one, and one that is empty
+    batched = embed.embed_text_batched(frame, counting, size=8, batch_size=3, once=True)
+    assert {r["doc_id"]: r["embedding"] for r in batched.collect()} == plain
+    assert seen.value == 18 and batched.filter("embed_ok").count() == 202

@@ -6,10 +6,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from lexiform.functions.text import tokenize_whitespace
+from lexiform.operators.pooling import mean_pool
 from lexiform.plans import runs, search
 from lexiform.plans.models import LogisticTrainer, NetworkTrainer, make_model
 from lexiform.sources.trials_store import save_experiments
-from lexiform.streaming.score import score_stream
+from lexiform.streaming.score import pool_stream, read_batches, score_stream
 
 EMBEDDED = {"extractor": "sentence_embeddings", "extractor_params": {"size": 16}}
 
@@ -141,9 +143,33 @@ def test_batch_and_stream_agree(spark, reviews, tmp_path):
         return sorted((r["doc_id"], r["prediction"], r["prediction_name"]) for r in df.collect())
 
     assert pairs(spark.read.parquet(f"{tmp_path}/out")) == pairs(runs.score_text(fitted, texts))
-    near = runs.classification_run(reviews, model="knn_classifier", **EMBEDDED).fitted
-    with pytest.raises(ValueError, match="stream"):
-        score_stream(near, stream, f"{tmp_path}/o2", f"{tmp_path}/p2")
+
+
+@pytest.mark.parametrize("extractor", [EMBEDDED, {"extractor_params": {"max_features": None}}])
+def test_streams_meet_tables_across_restarts(spark, reviews, tmp_path, extractor):
+    """Batches join the training rows or terms; a second start takes up where the first ended."""
+    fitted = runs.classification_run(reviews, model="knn_classifier", **extractor).fitted
+    texts = reviews.select("doc_id", "text")
+    for part in range(2):
+        texts.filter(F.col("doc_id") % 2 == part).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(texts.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        score_stream(fitted, stream, f"{tmp_path}/out", f"{tmp_path}/progress").awaitTermination()
+    made = read_batches(spark, f"{tmp_path}/out")
+    wanted = runs.score_text(fitted, texts)
+    names = ["doc_id", "prediction", "prediction_name"]
+    assert sorted(made.select(names).collect()) == sorted(wanted.select(names).collect())
+
+
+def test_pooled_stream_equals_batch(spark, reviews, tmp_path):
+    vectors = spark.createDataFrame([("good", [1.0, 0.0]), ("food", [0.0, 2.0])], "word string, vector array<double>")
+    texts = reviews.select("doc_id", "text")
+    texts.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(texts.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    pool_stream(stream, vectors, 2, f"{tmp_path}/out", f"{tmp_path}/progress").awaitTermination()
+    bags = texts.select("doc_id", tokenize_whitespace("text").alias("tokens"))
+    wanted = mean_pool(bags, vectors, 2)
+    made = read_batches(spark, f"{tmp_path}/out").select(wanted.columns)
+    assert sorted(map(str, made.collect())) == sorted(map(str, wanted.collect()))
 
 
 def test_run_name():
