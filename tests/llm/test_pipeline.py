@@ -77,9 +77,9 @@ def test_decisions_follow_the_row(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     ranked = pairwise_rank.rank(docs, labels).select("doc_id", "predicted")
     bad = docs.join(ranked.filter("predicted = 0"), "doc_id").select(docs.columns).limit(3)
-    bad = bad.localCheckpoint()
+    bad = bad.checkpoint()
     good = docs.join(ranked.filter("predicted = 1"), "doc_id").select(docs.columns).limit(2)
-    twins = good.localCheckpoint().withColumn("doc_id", F.lit(bad.first()["doc_id"]).cast("bigint"))
+    twins = good.checkpoint().withColumn("doc_id", F.lit(bad.first()["doc_id"]).cast("bigint"))
     nameless = bad.withColumn("doc_id", F.lit(None).cast("bigint"))
     whole = docs.unionByName(nameless).unionByName(twins)
     kept = corpus_pipeline.keep_quality(spark, whole, SF)
