@@ -50,7 +50,7 @@ def test_logistic_regression_solves_its_objective(spark, weight):
         ("neural_network_simple", {"hidden_size": 8, "epochs": 40}, False),
         ("knn_classifier", {"n_neighbors": 3}, True),
         ("gbt_classifier", {"n_estimators": 3, "max_depth": 3}, True),
-        ("gbt_regressor", {"n_estimators": 3, "max_depth": 3}, True),
+        ("gbt_regressor", {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.9}, True),
     ],
 )
 def test_models(spark, reviews, tmp_path, model, params, weighted):
