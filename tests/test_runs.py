@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lexiform.functions.text import tokenize_whitespace
 from lexiform.operators.pooling import mean_pool
-from lexiform.plans import runs, search
+from lexiform.plans import models, runs, search
 from lexiform.plans.models import LogisticTrainer, NetworkTrainer, make_model
 from lexiform.sources.trials_store import save_experiments
 from lexiform.streaming.score import pool_stream, read_batches, score_stream
@@ -247,3 +247,20 @@ def test_search(spark, reviews, tmp_path):
     failed = search.hyperparameter_search(reviews, f"{tmp_path}/broken", space=broken, total_trials=2)
     assert {r["status"] for r in failed.collect()} == {"failed"}
     assert all(r["error"] for r in failed.collect())
+
+
+def test_networks_get_tasks_of_bounded_dense_rows(spark, monkeypatch):
+    """The trainer makes rows dense, so sparse bytes do not bound what a task holds."""
+    seen = []
+    fit = models.MultilayerPerceptronClassifier.fit
+
+    def recorded(self, frame):
+        seen.append(frame.rdd.glom().map(len).collect())
+        return fit(self, frame)
+
+    monkeypatch.setattr(models.MultilayerPerceptronClassifier, "fit", recorded)
+    monkeypatch.setattr(models, "DENSE_BYTES", 20 * 50 * 8)
+    rows = [(i, Vectors.sparse(50, {i % 50: 1.0}), float(i % 2)) for i in range(200)]
+    data = spark.createDataFrame(rows, ["doc_id", "features", "label"]).coalesce(1)
+    models.make_model("neural_network_simple", hidden_size=2, epochs=1).fit(data)
+    assert sum(seen[0]) == 200 and max(seen[0]) <= 40
