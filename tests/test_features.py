@@ -1,14 +1,16 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from lexiform.functions.text import tokenize_whitespace, tokenize_words
 from lexiform.operators import embed, pooling, scale, terms, vectorize
 from lexiform.plans.stages import (
-    PopulationScaler, TermFeatures, TextEncoder, WordVectors, sequence_of,
+    PopulationScaler, SublinearCounts, TermFeatures, TextEncoder, WordVectors, sequence_of,
 )
 
 DOCS = [(1, "aa bb aa"), (2, "aa cc cc"), (3, "aa cc")]
@@ -104,6 +106,48 @@ def test_word_vectors_stage_equals_join(spark, reviews):
     assert np.allclose(rows[1], joined[1], atol=1e-6) and (rows[2] == 0).all()
 
 
+def test_encoder_holds_few_texts_at_a_time(spark, monkeypatch):
+    from lexiform.functions import text
+
+    monkeypatch.setattr(embed, "SLICE_CHARS", 8)
+    monkeypatch.setattr(text, "SLICE_CHARS", 8)
+    texts = ["one two", "", "three four five", "one", "two one"]
+    assert [len(part) for part in text.text_slices(pa.array([*texts, None]))] == [2, 1, 1, 2]
+    seen = []
+
+    def few(size):
+        make = embed.hashing_encoder(size)
+        return lambda batch: seen.append(len(batch)) or make(batch)
+
+    whole = few(8)(texts)
+    assert seen == [5]  # one call, whose words are added up slice by slice
+    monkeypatch.setattr(embed, "SLICE_CHARS", 1_000_000)
+    assert (whole == embed.hashing_encoder(8)(texts)).all()
+
+
+def test_encoder_calls_are_bounded(spark):
+    """A call of the encoder gets about a million characters, however many rows a batch has."""
+    many = spark.range(0, 400, 1, 1).select("id", F.expr("repeat('word ', 2000)").alias("text"))
+
+    def counting():
+        return lambda texts: np.full((len(texts), 1), float(sum(map(len, texts))))
+
+    most = embed.embed_text(many, counting).agg(F.max(F.get("embedding", 0)), F.count("*")).first()
+    assert most[0] <= 1_000_000 and most[1] == 400
+
+
+def test_sublinear_counts_of_dense_and_sparse_rows(spark):
+    rows = [(1, Vectors.sparse(3, {0: 1.0, 2: 4.0})), (2, Vectors.dense([0.0, 2.0])),
+            (4, Vectors.sparse(3, {}))]
+    made = SublinearCounts(inputCol="v", outputCol="w").transform(
+        spark.createDataFrame(rows, ["id", "v"])
+    )
+    found = {r["id"]: r["w"] for r in made.collect()}
+    assert found[1] == Vectors.sparse(3, {0: 1.0, 2: 1.0 + math.log(4)})
+    assert found[2] == Vectors.dense([0.0, 1.0 + math.log(2)])
+    assert found[4] == Vectors.sparse(3, {})
+
+
 def test_scaler(spark):
     train = spark.createDataFrame([([1.0, 5.0],), ([3.0, 5.0],)], "features array<double>")
     other = spark.createDataFrame([([5.0, 7.0],)], "features array<double>")
