@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -215,3 +217,16 @@ def test_metrics_by_name(spark, monkeypatch):
     assert metrics.metric_values(three, ["roc_auc"])["roc_auc"] == pytest.approx(0.5)
     with pytest.raises(ValueError, match="unknown metrics"):
         metrics.metric_values(rows, ["no such"])
+
+
+def test_distances_are_held_in_bounded_steps():
+    """Twenty thousand rows met by many queries stay within a few tens of megabytes."""
+    draw = np.random.default_rng(1)
+    rows, queries = draw.normal(size=(20_000, 4)), draw.normal(size=(400, 4))
+    tracemalloc.start()
+    found = knn.nearest(
+        np.arange(400), queries, np.arange(20_000), np.zeros(20_000, int), rows, 3, 2
+    )
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 1200 and most < 50e6
