@@ -23,6 +23,7 @@ import sys
 import types
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,9 @@ MARKS = ".,;:!?*#$%&|"
 REMEMBERED = 600_000  # fragments that a worker keeps, in about 230 bytes each
 REMEMBERED_CHARS = 48  # longer fragments are not kept
 LONG_CHARS = 512  # fragments that are longer are cut inside
+JOINED = 512  # words that are encoded as one text
+SPACED_WORD = re.compile(r"[ \n]\S+")
+LATIN_WORD = re.compile(r"[A-Za-z]+")
 VOCABULARY_BYTES = 64_000_000  # a larger vocabulary file is not sent to the tasks
 
 
@@ -56,9 +60,12 @@ def byte_alphabet() -> dict[str, int]:
 def held_pairs(tokens: list[bytes]) -> np.ndarray:
     """Whether some token holds two bytes side by side: a table by first and second byte."""
     table = np.zeros((256, 256), bool)
-    for token in tokens:
-        data = np.frombuffer(token, np.uint8)
-        table[data[:-1], data[1:]] = True
+    tokens = [t for t in tokens if t]
+    data = np.frombuffer(b"".join(tokens), np.uint8)
+    inside = np.ones(len(data), bool)
+    inside[np.cumsum([len(t) for t in tokens], dtype=np.int64) - 1] = False
+    left = np.flatnonzero(inside)
+    table[data[left], data[left + 1]] = True
     return table
 
 
@@ -111,10 +118,19 @@ class FragmentCodec:
             self.fast = re.compile(r"\s*\S+|\s+")
         else:
             letters = rf"[^\W\d_]*(?:[{STEADY}](?=[\s{wide}]|\Z)|[A-Za-z](?=[{marks}]))"
-            self.fast = re.compile(rf"\s*{letters}|\s*\S+|\s+")
+            # Most words, found without going back; what is not one of them is left to the rest.
+            common = rf"[ \n]?+[{STEADY}]++(?:(?=[ \n{wide}])|(?<=[A-Za-z])(?=[{marks}]))"
+            self.fast = re.compile(rf"{common}|\s*{letters}|\s*\S+|\s+")
         self.drops_white = self._drops_white()
-        # A letter and a mark after it, for vocabularies that drop white space.
-        self.joints = re.compile(rf"([A-Za-z])([{marks}])") if self.fast_marks else None
+        # A mark after a letter, for vocabularies that drop white space. Marks are the rarer ones.
+        self.joints = re.compile(rf"[{marks}](?<=[A-Za-z][{marks}])") if self.fast_marks else None
+        # Bytes of each token, where these add up to the text and white space parts it.
+        self.widths = np.array([len(t) for t in raw]) if self.inner and self.plain else None
+        self.closes = self.word_ends() if self.widths is None else None
+        # The fragments that may be encoded as one text.
+        self.together = None
+        if self.widths is not None or self.closes is not None:
+            self.together = (SPACED_WORD if self.closes is None else LATIN_WORD).fullmatch
         # What was met lately, and before that; what is met again moves to the first.
         self.known: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
@@ -138,7 +154,7 @@ class FragmentCodec:
         """What is encoded of a text: its fragments, without white space where that is dropped."""
         if not self.drops_white or not self.plain or OTHER_WHITE.search(text):
             return self.fragments(text)
-        return (self.joints.sub(r"\1 \2", text) if self.joints else text).split()
+        return (self.joints.sub(r" \g<0>", text) if self.joints else text).split()
 
     def cut_inside(self, fragment: str) -> list[str]:
         """A fragment between all pairs of bytes that no token holds; its parts joined are the
@@ -151,6 +167,45 @@ class FragmentCodec:
         places = (np.flatnonzero(apart[white:]) + white + 1).tolist()
         return [data[a:b].decode() for a, b in zip([0, *places], [*places, len(data)])]
 
+    def word_ends(self) -> np.ndarray | None:
+        """Whether a token ends a word, for vocabularies that mark it and drop white space, if every
+        word of Latin letters has one such token."""
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        if not suffix or not self.drops_white or not self.plain:
+            return None
+        closes = np.array([t.endswith(suffix) for t in self.tokens])
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        tried = [*letters, *letters.upper(), "aB", "Ab", "aBa", "AB", letters, letters.upper()]
+        coded = self.tokenizer.encode_batch_fast(tried, add_special_tokens=False)
+        one = all(c.ids and closes[c.ids].sum() == 1 and closes[c.ids[-1]] for c in coded)
+        return closes if one else None
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words that ``together`` matches, many encoded as one text.
+
+        That text has a forced boundary at each of them. The bytes of its tokens or the tokens that
+        end a word tell where; nothing is returned if they do not agree with the words.
+        """
+        glue = "" if self.widths is not None else " "
+        texts = [glue.join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable([c.ids for c in coded]), "<u4")
+        if self.widths is None:
+            last = np.flatnonzero(self.closes[ids])
+            if len(last) != len(words) or last[-1] != len(ids) - 1:
+                return []
+        else:
+            widths = self.widths[ids]
+            ends = np.cumsum(widths)
+            wanted = np.cumsum([len(w.encode()) for w in words])
+            if not len(ids) or ends[-1] != wanted[-1] or not widths.all():
+                return []
+            last = np.searchsorted(ends, wanted)
+            if (ends[last] != wanted).any():
+                return []
+        data, stops = ids.tobytes(), (4 * (last + 1)).tolist()
+        return [data[a:b] for a, b in zip([0, *stops], stops)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.known) > REMEMBERED // 2:
@@ -166,8 +221,12 @@ class FragmentCodec:
         if long:
             parts = set().union(*long.values()).difference(known)
             missing = list(parts.union(f for f in missing if f not in long))
-        coded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        known.update((f, array("I", c.ids).tobytes()) for f, c in zip(missing, coded))
+        words = list(filter(self.together, missing)) if self.together else []
+        ids = self.encode_words(words) if words else []
+        known.update(zip(words, ids))
+        apart = list(set(missing).difference(words)) if ids else missing
+        coded = self.tokenizer.encode_batch_fast(apart, add_special_tokens=False)
+        known.update((f, array("I", c.ids).tobytes()) for f, c in zip(apart, coded))
         find = known.__getitem__
         known.update((f, b"".join(map(find, parts))) for f, parts in long.items())
         made = [b"".join(map(find, fragments)) for fragments in split]
