@@ -10,10 +10,12 @@ with the edit distance, moved passages included. Texts that agree in a sketch sh
 Buckets propose links, alignment decides: texts are near duplicates if at most a fifth as many word
 edits as the longer has words turn one into the other. Exact copies are one text. In each bucket all
 texts are first compared with a leader. Where a bucket still holds texts that are not connected, they
-meet pair by pair in blocks of bounded size: a lower bound of the edit distance (of word counts)
-leaves plausible pairs, and of these all that the block has not connected yet are aligned, the most
-similar first, each in the bucket of the first sketch that they agree in. Every proposed link between texts not yet connected is decided, no bucket is capped,
-and a block returns a forest of links, not its pairs.
+meet pair by pair in blocks of bounded size, as signatures of 128 bytes: clipped word counts, whose
+overlap bounds the edit distance from below. The plausible pairs, each once, then meet with their
+words and are aligned. A block with very many plausible pairs gets the words of its texts instead and
+aligns, the most similar first, what it has not connected yet, each pair in the bucket of the first
+sketch that it agrees in; it returns a forest of links, not its pairs. Every proposed link between
+texts not yet connected is decided, and no bucket is capped.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -47,7 +49,11 @@ SHORT_SKETCHES = 24
 KEPT = 2  # k-mers of a sketch
 SIMILARITY = 0.8
 BAG = 256  # buckets of the word counts that bound the edit distance
-BLOCK = 256  # texts of a block of what is left in a bucket
+LEVELS = 4  # word counts of a signature are clipped here
+SIGNATURE = BAG * LEVELS // 8  # bytes of a signature
+BLOCK = 2048  # texts of a block of what is left in a bucket
+STEP = 256  # texts of a block that meet the others at a time
+DENSE = 16  # plausible pairs for each text of a block, beyond which the words come to the block
 DIAGONALS = 64  # edits up to which single diagonals are followed
 RESUME = 12  # words ahead in which a simple alignment looks for its next run
 
@@ -242,6 +248,61 @@ def bags(hashes: np.ndarray) -> np.ndarray:
     return np.bincount((hashes % BAG).astype(np.int64), minlength=BAG).astype("<u4")
 
 
+def signature(hashes: np.ndarray) -> bytes:
+    """Word counts up to LEVELS, as so many bits each. Common bits are words that may be shared."""
+    return np.packbits(bags(hashes)[:, None] > np.arange(LEVELS, dtype=np.uint32)).tobytes()
+
+
+def signature_rows(column: pa.Array) -> np.ndarray:
+    """A column of signatures as rows of bytes."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SIGNATURE)
+
+
+def edits_allowed(n_words: np.ndarray, similarity: float) -> np.ndarray:
+    return np.floor(n_words * (1 - similarity) + 1e-9).astype(np.int64)
+
+
+def words_apart(a: np.ndarray, b: np.ndarray) -> int:
+    """The least number of edits that the words of two texts need in any order."""
+    _, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    gaps = np.bincount(place[: len(a)], minlength=place.max(initial=0) + 1)
+    gaps = gaps - np.bincount(place[len(a) :], minlength=len(gaps))
+    return int(max(gaps[gaps > 0].sum(), -gaps[gaps < 0].sum()))
+
+
+def proposed(
+    signatures: np.ndarray, n: np.ndarray, part: np.ndarray, left: np.ndarray, right: np.ndarray | None,
+    similarity: float = SIMILARITY, dense: int = DENSE,
+):
+    """Pairs (i, j) of ``left`` and ``right`` (None: of ``left`` itself, each once) that may be near;
+    near pairs of different components always are. None if there are more than ``dense`` a text."""
+    same, right = right is None, left if right is None else right
+    most = dense * (len(left) + (0 if same else len(right)))
+    bits = np.unpackbits(signatures[right], axis=1).astype(np.float32)
+    ones, allowed = bits.sum(1), edits_allowed(n[right], similarity)
+    found_i, found_j, total = [], [], 0
+    for at in range(0, len(left), STEP):
+        rows = left[at : at + STEP]
+        if same:
+            own, own_ones, own_allowed = (x[at : at + STEP] for x in (bits, ones, allowed))
+        else:
+            own = np.unpackbits(signatures[rows], axis=1).astype(np.float32)
+            own_ones, own_allowed = own.sum(1), edits_allowed(n[rows], similarity)
+        limit = np.maximum(own_allowed[:, None], allowed)
+        fine = np.maximum(own_ones[:, None], ones) - own @ bits.T <= limit
+        fine &= part[rows][:, None] != part[right]
+        fine &= np.abs(n[rows][:, None] - n[right]) <= limit
+        if same:
+            fine &= np.arange(at, at + len(rows))[:, None] < np.arange(len(right))
+        i, j = np.nonzero(fine)
+        total += len(i)
+        if total > most:
+            return None
+        found_i.append(rows[i])
+        found_j.append(right[j])
+    return np.concatenate(found_i), np.concatenate(found_j)
+
+
 def plausible(a: dict, b: dict, key: int | None, similarity: float = SIMILARITY):
     """Pairs (i, j) of two blocks that may be near, and their bag distances; near pairs always pass.
 
@@ -305,13 +366,14 @@ def _sketched(rows: DataFrame) -> DataFrame:
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, words, bag, keys) of the wanted texts: 32-bit word hashes, word counts, sketches."""
+    """(node, n, signature, words) of the wanted texts (node, rep, digest); words as 32-bit hashes."""
     digested = StructType(
         [
             rows.schema["doc_id"],
             StructField("digest", StringType()),
+            StructField("n", LongType()),
+            StructField("signature", BinaryType()),
             StructField("words", BinaryType()),
-            StructField("bag", BinaryType()),
         ]
     )
 
@@ -319,31 +381,55 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         for part, texts in chunks_of_text(batches):
             words = [words_of(t) for t in texts]
             hashes, lengths = word_hashes(words)
-            split = np.split(hashes, np.cumsum(lengths)[:-1])
+            split = np.split(hashes.astype("<u4"), np.cumsum(lengths)[:-1])
             yield record_batch(
                 digested,
                 {
                     "doc_id": part.column("doc_id"),
                     "digest": [_digest(w) for w in words],
-                    "words": [(h & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() for h in split],
-                    "bag": [bags(h).tobytes() for h in split],
+                    "n": lengths.tolist(),
+                    "signature": [signature(h) for h in split],
+                    "words": [h.tobytes() for h in split],
                 },
             )
 
     # Text is joined by id first, so that only wanted documents are hashed again.
-    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
+    wanted = wanted.withColumnRenamed("rep", "doc_id")
     return (
-        rows.join(ids, "doc_id", "left_semi")
+        rows.join(wanted.select("doc_id"), "doc_id", "left_semi")
         .mapInArrow(run, digested)
-        .join(wanted.withColumnRenamed("rep", "doc_id"), ["doc_id", "digest"])
+        .join(wanted, ["doc_id", "digest"])
         .dropDuplicates(["node"])
-        .select("node", "words", "bag", "keys")
+        .select("node", "n", "signature", "words")
     )
 
 
+PAIR = StructType([StructField("a", LongType()), StructField("b", LongType())])
+
+
+def _plausible_pairs(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose signatures leave it open whether their texts are near."""
+
+    def side(end: str) -> DataFrame:
+        return texts.select(
+            F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("signature").alias(f"s_{end}")
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            s_a, s_b = (signature_rows(batch.column(c)) for c in ("s_a", "s_b"))
+            limit = edits_allowed(np.maximum(n_a, n_b), similarity)
+            ones = np.maximum(*(np.bitwise_count(s).sum(1, dtype=np.int64) for s in (s_a, s_b)))
+            common = np.bitwise_count(s_a & s_b).sum(1, dtype=np.int64)
+            fine = pa.array((np.abs(n_a - n_b) <= limit) & (ones - common <= limit))
+            yield record_batch(PAIR, {c: batch.column(c).filter(fine) for c in ("a", "b")})
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, PAIR)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose texts are near."""
-    schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
     left = texts.select(F.col("node").alias("a"), F.col("words").alias("words_a"))
     right = texts.select(F.col("node").alias("b"), F.col("words").alias("words_b"))
 
@@ -353,57 +439,122 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
             columns = (batch.column(c).to_pylist() for c in ("a", "b", "words_a", "words_b"))
             for a, b, words_a, words_b in zip(*columns):
                 x, y = np.frombuffer(words_a, "<u4"), np.frombuffer(words_b, "<u4")
-                longer = max(len(x), len(y))
-                allowed = int(longer * (1 - similarity) + 1e-9)
-                gap = bags(x).astype(np.int64) - bags(y)
-                if max(gap[gap > 0].sum(), -gap[gap < 0].sum()) <= allowed and within(x, y, allowed):
+                allowed = int(max(len(x), len(y)) * (1 - similarity) + 1e-9)
+                if words_apart(x, y) <= allowed and within(x, y, allowed):
                     kept.append((a, b))
-            yield record_batch(schema, {"a": [p[0] for p in kept], "b": [p[1] for p in kept]})
+            yield record_batch(PAIR, {"a": [p[0] for p in kept], "b": [p[1] for p in kept]})
 
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, schema)
+    return pairs.join(left, "a").join(right, "b").mapInArrow(run, PAIR)
 
 
-def _rest(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Links between texts that share a bucket but no component, from blocks of each bucket."""
-    sizes = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    blocks = F.ceil(F.col("n") / F.lit(float(BLOCK))).cast("int")
-    apart = sizes.filter("low <> high").select("key", blocks.alias("blocks"))
-    placed = members.join(apart, "key").withColumn(
-        "own", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
-    )
+def whole_groups(
+    batches: Iterator[pa.RecordBatch], by: list[str]
+) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
+    """Batches of whole groups and where these begin and end, from batches sorted by group."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held = batch if held is None else pa.concat_batches([held, batch])
+        columns = [held.column(c).to_numpy() for c in by]
+        change = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+        starts = [0, *(np.flatnonzero(change) + 1).tolist()]
+        if len(starts) > 1:
+            yield held.slice(0, starts[-1]), starts
+            held = held.slice(starts[-1])
+    if held is not None:
+        yield held, [0, held.num_rows]
+
+
+def _rest(
+    members: DataFrame, texts: DataFrame, keys: DataFrame, similarity: float, written
+) -> DataFrame:
+    """Links between texts that share a bucket but no component, from blocks of each bucket.
+
+    ``keys`` (node, keys) are the sketches of all texts.
+    """
+    bucket, by = Window.partitionBy("key"), ["key", "x", "y"]
+    apart = members.withColumns(
+        {
+            "blocks": F.ceil(F.count("*").over(bucket) / F.lit(float(BLOCK))).cast("int"),
+            "low": F.min("component").over(bucket), "high": F.max("component").over(bucket),
+        }
+    ).filter("low <> high")
+    placed = apart.withColumn("own", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    pairs = placed.withColumn("other", other).select(
+    placed = placed.withColumn("other", other).select(
         "key", "node", "component",
         F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
         (F.col("own") <= F.col("other")).alias("first"),
     )
-    rows = pairs.join(texts, "node")
+    placed = written(placed, "blocks")
+    schema = StructType([*(placed.schema[c] for c in by), *PAIR.fields])
+    most = DENSE
+
+    def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, edges in whole_groups(batches, by):
+            signatures = signature_rows(part.column("signature"))
+            n, component, x, y = (part.column(c).to_numpy() for c in ("n", "component", "x", "y"))
+            first = part.column("first").to_numpy(zero_copy_only=False)
+            groups, dense, left, right = [], [], [], []
+            for start, end in zip(edges, edges[1:]):
+                rows, lefts = np.arange(start, end), None
+                if x[start] != y[start]:
+                    lefts, rows = rows[first[start:end]], rows[~first[start:end]]
+                    if not len(lefts) or not len(rows):
+                        continue
+                pair = proposed(signatures, n, component, rows, lefts, similarity, most)
+                if pair is None:
+                    dense.append(start)
+                    continue
+                groups.append(np.full(len(pair[0]), start))
+                left.append(pair[0])
+                right.append(pair[1])
+            at = np.concatenate([*groups, np.array(dense, np.int64)]).astype(np.int64)
+            nodes = part.column("node").to_numpy()
+            nothing = pa.nulls(len(dense), pa.int64())
+            ends = [nodes[np.concatenate([*side, np.zeros(0, np.int64)])] for side in (left, right)]
+            columns = {c: part.column(c).take(pa.array(at)) for c in by}
+            columns |= {
+                c: pa.concat_arrays([pa.array(v), nothing])
+                for c, v in (("a", np.maximum(*ends)), ("b", np.minimum(*ends)))
+            }
+            yield record_batch(schema, columns)
+
+    signed = placed.join(texts.select("node", "n", "signature"), "node")
+    found = written(
+        signed.repartition(*by).sortWithinPartitions(*by).mapInArrow(propose, schema), "proposed"
+    )
+    links = _verified(found.filter("a IS NOT NULL").select("a", "b").distinct(), texts, similarity)
+    dense = found.filter("a IS NULL").select(by)
+    if dense.isEmpty():
+        return links
+    rows = placed.join(dense, by).join(texts.select("node", "words"), "node").join(keys, "node")
 
     def meet(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         same = key[1] == key[2]
         left = group if same else group[group["first"]]
         right = group if same else group[~group["first"]]
-        links: list[tuple[int, int]] = []
-        if len(left) and len(right):
-            sides = [
+        sides = []
+        for g in (left, right):
+            words = [np.frombuffer(w, "<u4") for w in g["words"]]
+            sides.append(
                 {
-                    "bags": np.frombuffer(b"".join(g["bag"]), "<u4").reshape(-1, BAG).astype(np.int64),
-                    "words": [np.frombuffer(w, "<u4") for w in g["words"]],
-                    "n": np.array([len(w) // 4 for w in g["words"]]),
+                    "bags": np.stack([bags(w) for w in words]).astype(np.int64),
+                    "words": words,
+                    "n": np.array([len(w) for w in words]),
                     "nodes": g["node"].tolist(),
                     "part": g["component"].to_numpy(np.int64),
                     "keys": np.stack(g["keys"].tolist()),
                 }
-                for g in (left, right)
-            ]
-            links = _forest(*sides, key[0], similarity)
+            )
+        links = _forest(*sides, key[0], similarity)
         return pd.DataFrame(
             {"a": [max(p) for p in links], "b": [min(p) for p in links]}, dtype="int64"
         )
 
-    return rows.groupBy("key", "x", "y").applyInPandas(meet, "a bigint, b bigint").distinct()
+    more = rows.groupBy(*by).applyInPandas(meet, "a bigint, b bigint")
+    return links.unionByName(more).distinct()
 
 
 def _forest(left: dict, right: dict, key: int, similarity: float) -> list[tuple[int, int]]:
@@ -449,35 +600,41 @@ def near_duplicates(
 
     rows = docs.select(docs[key].cast("bigint").alias("doc_id"), docs[text].alias("text"))
     known = rows.filter("doc_id IS NOT NULL")
-    sketched = written(_sketched(known), "sketches")
+    sketched = _sketched(known).withColumn("row", F.monotonically_increasing_id())
+    sketched = written(sketched, "sketches")
 
-    # One node per different text.
+    # One node per different text, the number of one of its rows. Only what is small is joined with
+    # whole texts and their keys, which Spark may then leave in place.
     texts_of = written(
-        sketched.groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"), F.first("n_words").alias("n"))
-        .withColumn("node", F.monotonically_increasing_id()),
+        sketched.groupBy("digest").agg(
+            F.min("doc_id").alias("rep"), F.min("row").alias("node"), F.first("n_words").alias("n")
+        ),
         "texts",
     )
-    buckets = texts_of.filter("n > 0").select("node", F.explode("keys").alias("key"))
-    buckets = buckets.filter("key <> 0")
-    shared = buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    members = written(buckets.join(shared, "key").distinct(), "members")
-    wanted = members.select("node").distinct().join(texts_of, "node").select(
-        "node", "rep", "digest", "keys"
+    keys = sketched.select(F.col("row").alias("node"), "keys")
+    worded = texts_of.filter("n > 0").select("node")
+    buckets = keys.join(worded, "node", "left_semi").select("node", F.explode("keys").alias("key"))
+    bucket = Window.partitionBy("key")
+    lowest = F.min(F.struct(F.xxhash64("node"), F.col("node").alias("node"))).over(bucket)
+    members = buckets.filter("key <> 0").withColumns(
+        {"n": F.count("*").over(bucket), "leader": lowest["node"]}
     )
+    members = written(members.filter("n > 1").select("key", "node", "leader"), "members")
+    nodes = members.select("node").distinct()
+    wanted = written(nodes.join(texts_of, "node").select("node", "rep", "digest"), "wanted")
     texts = written(_texts(known, wanted), "words")
 
-    nodes = members.select("node").distinct()
-    leaders = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("node"), "node")).alias("leader"))
+    nodes = wanted.select("node")
     pairs = (
-        members.join(leaders.select("key", F.col("leader.node").alias("b")), "key")
-        .filter("node <> b")
-        .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
+        members.filter("node <> leader")
+        .select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
         .distinct()
     )
+    pairs = _plausible_pairs(pairs, texts, similarity)
     links = written(_verified(pairs, texts, similarity), "links")
     assigned = _assigned(nodes, links, written)
-    rest = _rest(members.join(assigned, "node"), texts, similarity)
+    members = members.select("key", "node").join(assigned, "node")
+    rest = _rest(members, texts, keys, similarity, written)
     links = links.unionByName(written(rest, "links"))
     assigned = _assigned(nodes, links, written)
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lexiform.llm import components, metric_join, order_minhash
@@ -147,6 +148,85 @@ def test_bags_never_reject_near_texts():
         assert len(order_minhash.plausible(*sides, None)[0]) == 1
 
 
+def test_signatures_never_reject_near_texts():
+    rng = np.random.default_rng(3)
+    texts = []
+    for n in (5, 40, 100, 100, 600):
+        source = rng.integers(0, 200 if n == 600 else 1 << 30, n).astype("<u4")
+        texts.append(source)
+        for share in (0.05, 0.2, 0.5):
+            changed = source.copy()
+            changed[rng.choice(n, int(n * share + 1e-9), replace=False)] += np.uint32(1)
+            texts.append(changed)
+    signatures = np.stack([np.frombuffer(order_minhash.signature(t), np.uint8) for t in texts])
+    n, part = np.array([len(t) for t in texts]), np.arange(len(texts))
+    near = {
+        (i, j) for i in part for j in part if i < j and order_minhash.near(texts[i], texts[j])
+    }
+    made = set(zip(*(x.tolist() for x in order_minhash.proposed(signatures, n, part, part, None))))
+    assert near <= made and len(made) < len(part) ** 2 / 4
+    i, j = order_minhash.proposed(signatures, n, part, part[::2], part[1::2])
+    assert {(min(p), max(p)) for p in zip(i.tolist(), j.tolist())} >= {p for p in near if sum(p) % 2}
+    assert order_minhash.proposed(signatures, n, part, part, None, dense=0) is None
+    assert not len(order_minhash.proposed(signatures, n, part * 0, part, None, dense=0)[0])
+    for i, j in near:
+        assert order_minhash.words_apart(texts[i], texts[j]) <= 0.2 * max(n[i], n[j])
+
+
+def test_groups_stay_whole_over_batches():
+    rows = [(0, 1), (0, 1), (0, 2), (3, 2), (3, 2), (3, 2), (4, 0)]
+    batches = [
+        pa.RecordBatch.from_pylist([{"k": k, "x": x} for k, x in rows[i : i + 2]])
+        for i in range(0, len(rows), 2)
+    ]
+    seen = []
+    for part, edges in order_minhash.whole_groups(iter(batches), ["k", "x"]):
+        seen += [part.slice(a, b - a).to_pylist() for a, b in zip(edges, edges[1:])]
+    assert [[(r["k"], r["x"]) for r in group] for group in seen] == [
+        rows[:2], rows[2:3], rows[3:6], rows[6:],
+    ]
+
+
+def test_a_common_passage_makes_few_rows(spark, monkeypatch):
+    """Rows of the blocks of what is left in a bucket stay near the rows of the buckets."""
+    rng = random.Random(7)
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) + " " + passage for _ in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    counts, rest = [], order_minhash._rest
+
+    def counted(members, texts, keys, similarity, written):
+        def noted(rows, name):
+            made = written(rows, name)
+            counts.append((name, made.count()))
+            return made
+
+        counts.append(("members", members.count()))
+        return rest(members, texts, keys, similarity, noted)
+
+    monkeypatch.setattr(order_minhash, "_rest", counted)
+    made = order_minhash.near_duplicates(df)
+    assert made.filter("doc_id <> class_id").count() == 0 and made.count() == 600
+    counts = dict(counts)
+    assert 600 < counts["blocks"] <= counts["members"]
+
+
+def test_dense_blocks_link_what_all_pairs_link(spark, monkeypatch):
+    """Blocks whose plausible pairs are too many align with the words at hand."""
+    monkeypatch.setattr(order_minhash, "BLOCK", 6)
+    rng = random.Random(8)
+    source = [f"w{i}" for i in range(40)]
+    texts = []
+    for i in range(40):  # a chain: each near to the one before, far from most others
+        for _ in range(3):
+            source[rng.randrange(40)] = f"c{rng.randrange(10**6)}"
+        texts.append(" ".join(source))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    plain = sorted(map(tuple, order_minhash.near_duplicates(df).collect()))
+    monkeypatch.setattr(order_minhash, "DENSE", 0)
+    assert sorted(map(tuple, order_minhash.near_duplicates(df).collect())) == plain
+
+
 def test_order_and_occurrence_change_a_sketch():
     def keys(*texts):
         words = [order_minhash.words_of(t) for t in texts]
