@@ -303,19 +303,15 @@ def proposed(
     return np.concatenate(found_i), np.concatenate(found_j)
 
 
-def plausible(a: dict, b: dict, key: int | None, similarity: float = SIMILARITY, pairs=None):
+def plausible(a: dict, b: dict, key: int | None, similarity: float = SIMILARITY):
     """Pairs (i, j) of two blocks that may be near, and their bag distances; near pairs always pass.
 
     Left out are pairs of one component, pairs that a bucket of an earlier sketch decides, and pairs
     whose word counts need too many edits. ``key`` is the block's bucket; None takes every pair.
-    ``pairs`` are the only ones looked at, as ``proposed`` gives them.
     """
-    if pairs is None:
-        n_a, n_b = a["n"][:, None], b["n"][None, :]
-        allowed = edits_allowed(np.maximum(n_a, n_b), similarity)
-        apart = a["part"][:, None] != b["part"][None, :]
-        pairs = np.nonzero(apart & (np.abs(n_a - n_b) <= allowed))
-    i, j = pairs
+    n_a, n_b = a["n"][:, None], b["n"][None, :]
+    allowed = np.floor(np.maximum(n_a, n_b) * (1 - similarity) + 1e-9)
+    i, j = np.nonzero((a["part"][:, None] != b["part"][None, :]) & (np.abs(n_a - n_b) <= allowed))
     found_i, found_j, distances = [], [], []
     for at in range(0, len(i), 4096):
         x, y = i[at : at + 4096], j[at : at + 4096]
@@ -326,7 +322,7 @@ def plausible(a: dict, b: dict, key: int | None, similarity: float = SIMILARITY,
         gaps = a["bags"][x] - b["bags"][y]
         size = np.abs(gaps).sum(1)
         needed = (size + np.abs(gaps.sum(1))) // 2  # the larger of what is missing and what is extra
-        fine = needed <= edits_allowed(np.maximum(a["n"][x], b["n"][y]), similarity)
+        fine = needed <= allowed[x, y]
         found_i.append(x[fine])
         found_j.append(y[fine])
         distances.append(size[fine])
@@ -536,22 +532,23 @@ def _rest(
     rows = placed.join(dense, by).join(texts.select("node", "words"), "node").join(keys, "node")
 
     def meet(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        words = [np.frombuffer(w, "<u4") for w in group["words"]]
-        block = {
-            "bags": np.stack([bags(w) for w in words]).astype(np.int64),
-            "words": words,
-            "n": np.array([len(w) for w in words]),
-            "nodes": group["node"].tolist(),
-            "part": group["component"].to_numpy(np.int64),
-            "keys": np.stack(group["keys"].tolist()),
-        }
-        left, right = np.arange(len(group)), None
-        if key[1] != key[2]:
-            first = group["first"].to_numpy(bool)
-            left, right = np.flatnonzero(first), np.flatnonzero(~first)
-        signatures = np.stack([np.frombuffer(signature(w), np.uint8) for w in words])
-        pairs = proposed(signatures, block["n"], block["part"], left, right, similarity, len(group))
-        links = _forest(block, block, key[0], similarity, pairs)
+        same = key[1] == key[2]
+        left = group if same else group[group["first"]]
+        right = group if same else group[~group["first"]]
+        sides = []
+        for g in (left, right):
+            words = [np.frombuffer(w, "<u4") for w in g["words"]]
+            sides.append(
+                {
+                    "bags": np.stack([bags(w) for w in words]).astype(np.int64),
+                    "words": words,
+                    "n": np.array([len(w) for w in words]),
+                    "nodes": g["node"].tolist(),
+                    "part": g["component"].to_numpy(np.int64),
+                    "keys": np.stack(g["keys"].tolist()),
+                }
+            )
+        links = _forest(*sides, key[0], similarity)
         return pd.DataFrame(
             {"a": [max(p) for p in links], "b": [min(p) for p in links]}, dtype="int64"
         )
@@ -560,12 +557,10 @@ def _rest(
     return links.unionByName(more).distinct()
 
 
-def _forest(
-    left: dict, right: dict, key: int, similarity: float, pairs=None
-) -> list[tuple[int, int]]:
+def _forest(left: dict, right: dict, key: int, similarity: float) -> list[tuple[int, int]]:
     """Links that connect what the texts of two blocks connect: plausible pairs are aligned by
     ascending bag distance unless they are connected already."""
-    i, j, distance = plausible(left, right, key, similarity, pairs)
+    i, j, distance = plausible(left, right, key, similarity)
     parts_a, parts_b = left["part"].tolist(), right["part"].tolist()
     parent = {p: p for p in (*parts_a, *parts_b)}
 
