@@ -53,8 +53,13 @@ LEVELS = 4  # word counts of a signature are clipped here
 SIGNATURE = BAG * LEVELS // 8  # bytes of a signature
 BLOCK = 2048  # texts of a block of what is left in a bucket
 STEP = 256  # texts of a block that meet the others at a time
+FIRST_STEP = 8  # texts of a dense block that meet the others first
 DENSE = 16  # plausible pairs for each text of a block, beyond which the words come to the block
+BITS = 4096  # words up to which texts are aligned with a bit for each word of one of them
 DIAGONALS = 64  # edits up to which single diagonals are followed
+MARKS = 16  # bits for each wanted id, of which about a sixteenth of the other ids finds one set
+MOST_MARKS = 1 << 27  # bits at most: 16 MB
+BITMAP = 4096  # bytes of a bucket of Spark's bitmaps
 RESUME = 12  # words ahead in which a simple alignment looks for its next run
 
 
@@ -152,6 +157,8 @@ def within(a: np.ndarray, b: np.ndarray, allowed: int) -> bool:
         a, b = a[: len(a) - end], b[: len(b) - end]
     if not len(a) or not len(b):
         return max(len(a), len(b)) <= allowed
+    if max(len(a), len(b)) <= BITS:
+        return _by_bits(a, b, allowed)
     if _greedy(a, b, allowed):
         return True
     found = _by_diagonals(a, b, min(allowed, DIAGONALS))
@@ -160,6 +167,34 @@ def within(a: np.ndarray, b: np.ndarray, allowed: int) -> bool:
     return _by_band(a, b, allowed)
 
 
+def _by_bits(a: np.ndarray, b: np.ndarray, allowed: int) -> bool:
+    """Myers' bit-parallel edit distance: a column of differences is two integers, one bit a row.
+
+    ``distance`` is that of all of a and what was read of b; each word still to come lowers it by
+    one at most."""
+    places: dict[int, int] = {}
+    for i, word in enumerate(a.tolist()):
+        places[word] = places.get(word, 0) | 1 << i
+    n, left = len(a), len(b)
+    every, last = (1 << n) - 1, 1 << n - 1
+    up, down, distance = every, 0, n
+    for word in b.tolist():
+        equal = places.get(word, 0)
+        level = equal | down
+        across = (((equal & up) + up) ^ up) | equal
+        more, less = down | ~(across | up) & every, up & across
+        if more & last:
+            distance += 1
+        elif less & last:
+            distance -= 1
+        left -= 1
+        if distance - left > allowed:
+            return False
+        more, less = (more << 1 | 1) & every, less << 1 & every
+        up, down = less | ~(level | more) & every, more & level
+    return distance <= allowed
+
+
 def _greedy(a: np.ndarray, b: np.ndarray, allowed: int) -> bool:
     """Whether one simple alignment needs few enough edits: equal runs, joined by the nearest place
     where three words agree again. Finds most near texts; says nothing of others."""
@@ -365,6 +400,30 @@ def _sketched(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def marked(ids: DataFrame, column: str) -> tuple[int, bytes]:
+    """How many marks there are, and as bits those of an id's xxhash64 modulo that number.
+
+    An id whose bit is not set is not among ``ids``. There are MARKS bits for each id, but at most
+    MOST_MARKS: of more ids than these allow, more others find their bit set as well.
+    """
+    many = min(MOST_MARKS, MARKS * max(1, ids.count()))
+    place = (F.pmod(F.xxhash64(column), F.lit(many)) + 1).alias("place")  # bitmaps begin at 1
+    found = (
+        ids.select(place)
+        .groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+        .toArrow()
+    )
+    held = dict(zip(found["bucket"].to_pylist(), found["bits"].to_pylist()))
+    buckets = range(1, many // (8 * BITMAP) + 2)
+    return many, b"".join(held.get(bucket, bytes(BITMAP)) for bucket in buckets)
+
+
+def has_mark(bits: bytes, at: np.ndarray) -> np.ndarray:
+    """Whether the bits with these numbers are set."""
+    return np.frombuffer(bits, np.uint8)[at >> 3] >> (at & 7) & 1 == 1
+
+
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, n, signature, words) of the wanted texts (node, rep, digest); words as 32-bit hashes."""
     digested = StructType(
@@ -377,8 +436,16 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         ]
     )
 
+    many, bits = marked(wanted, "rep")
+    marks = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("at").to_numpy()
+            yield batch.filter(pa.array(has_mark(marks.value, at)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in chunks_of_text(batches):
+        for part, texts in chunks_of_text(likely(batches)):
             words = [words_of(t) for t in texts]
             hashes, lengths = word_hashes(words)
             split = np.split(hashes.astype("<u4"), np.cumsum(lengths)[:-1])
@@ -393,10 +460,11 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 },
             )
 
-    # Text is joined by id first, so that only wanted documents are hashed again.
+    # Texts stay in place, whatever their number: marks leave out almost all that are not wanted, and
+    # only the words of the others are joined.
     wanted = wanted.withColumnRenamed("rep", "doc_id")
     return (
-        rows.join(wanted.select("doc_id"), "doc_id", "left_semi")
+        rows.withColumn("at", F.pmod(F.xxhash64("doc_id"), F.lit(many)))
         .mapInArrow(run, digested)
         .join(wanted, ["doc_id", "digest"])
         .dropDuplicates(["node"])
@@ -532,11 +600,8 @@ def _rest(
     rows = placed.join(dense, by).join(texts.select("node", "words"), "node").join(keys, "node")
 
     def meet(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        same = key[1] == key[2]
-        left = group if same else group[group["first"]]
-        right = group if same else group[~group["first"]]
         sides = []
-        for g in (left, right):
+        for g in [group] if key[1] == key[2] else [group[group["first"]], group[~group["first"]]]:
             words = [np.frombuffer(w, "<u4") for w in g["words"]]
             sides.append(
                 {
@@ -548,7 +613,7 @@ def _rest(
                     "keys": np.stack(g["keys"].tolist()),
                 }
             )
-        links = _forest(*sides, key[0], similarity)
+        links = _forest(sides[0], sides[-1], key[0], similarity)
         return pd.DataFrame(
             {"a": [max(p) for p in links], "b": [min(p) for p in links]}, dtype="int64"
         )
@@ -558,11 +623,13 @@ def _rest(
 
 
 def _forest(left: dict, right: dict, key: int, similarity: float) -> list[tuple[int, int]]:
-    """Links that connect what the texts of two blocks connect: plausible pairs are aligned by
-    ascending bag distance unless they are connected already."""
-    i, j, distance = plausible(left, right, key, similarity)
-    parts_a, parts_b = left["part"].tolist(), right["part"].tolist()
-    parent = {p: p for p in (*parts_a, *parts_b)}
+    """Links that connect what the texts of two blocks (or one, given twice) connect.
+
+    A few texts of ``left``, then more at a time, meet what they are not connected to yet; of these
+    the plausible pairs are aligned by ascending bag distance unless they are connected by then.
+    """
+    parts = {p for side in (left, right) for p in side["part"].tolist()}
+    parent = {p: p for p in parts}
 
     def root(part: int) -> int:
         while parent[part] != part:
@@ -570,13 +637,23 @@ def _forest(left: dict, right: dict, key: int, similarity: float) -> list[tuple[
             part = parent[part]
         return part
 
-    links = []
-    for k in np.argsort(distance, kind="stable").tolist():
-        a, b = int(i[k]), int(j[k])
-        x, y = root(parts_a[a]), root(parts_b[b])
-        if x != y and near(left["words"][a], right["words"][b], similarity):
-            parent[max(x, y)] = min(x, y)
-            links.append((left["nodes"][a], right["nodes"][b]))
+    def taken(side: dict, start: int, end: int | None = None) -> dict:
+        """Some texts of a block, with the parts that are connected by now."""
+        out = {name: column[start:end] for name, column in side.items()}
+        return out | {"part": np.array([root(p) for p in out["part"].tolist()], np.int64)}
+
+    links, start, step = [], 0, FIRST_STEP
+    while start < len(left["nodes"]):
+        a, b = taken(left, start, start + step), taken(right, start if right is left else 0)
+        i, j, distance = plausible(a, b, key, similarity)
+        parts_a, parts_b = a["part"].tolist(), b["part"].tolist()
+        for k in np.argsort(distance, kind="stable").tolist():
+            at, to = int(i[k]), int(j[k])
+            x, y = root(parts_a[at]), root(parts_b[to])
+            if x != y and near(a["words"][at], b["words"][to], similarity):
+                parent[max(x, y)] = min(x, y)
+                links.append((a["nodes"][at], b["nodes"][to]))
+        start, step = start + step, min(2 * step, STEP)
     return links
 
 

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lexiform.llm import components, metric_join, order_minhash
 
@@ -320,3 +321,79 @@ def test_near_duplicates_at_the_threshold(spark):
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert order_minhash.near_duplicates(df).count() == 0
+
+
+def test_components_in_rounds_and_together(spark, monkeypatch):
+    rng = random.Random(8)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(2**40, 3), (7, -9)]
+    real = [(a, b) for a, b in links if a != b]
+    df = spark.createDataFrame(links, "a bigint, b bigint")
+    wanted = united({n for link in real for n in link}, real)
+    for most in (0, 60, 10_000):
+        monkeypatch.setattr(components, "TOGETHER", most)
+        rows = components.components(df).collect()
+        assert len(rows) == len(wanted)
+        assert {r["node"]: r["component"] for r in rows} == wanted
+    # What is left is finished at once: no rounds of shuffles.
+    monkeypatch.setattr(components, "_stars", None)
+    assert components.components(df).count() == len(wanted)
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def test_alignment_by_bits_is_exact():
+    rng = random.Random(5)
+    for _ in range(300):
+        kinds = rng.choice([2, 4, 60])
+        a = [rng.randrange(kinds) for _ in range(rng.choice([0, 1, 2, 9, 63, 64, 65, 90]))]
+        b = [w if rng.random() > 0.15 else rng.randrange(kinds) for w in a if rng.random() > 0.1]
+        exact = distance(a, b)
+        for allowed in {max(0, exact - 1), exact, exact + 2}:
+            assert order_minhash.within(np.array(a, "<u4"), np.array(b, "<u4"), allowed) == (
+                exact <= allowed
+            )
+
+
+def test_a_dense_block_aligns_few_pairs(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 32, 40).astype("<u4")
+    words = [base.copy() for _ in range(400)]
+    for i, w in enumerate(words):
+        w[i % 40] = i
+    side = {
+        "bags": np.stack([order_minhash.bags(w) for w in words]).astype(np.int64),
+        "words": words, "n": np.full(400, 40), "nodes": list(range(400)),
+        "part": np.arange(400), "keys": np.full((400, 3), 7),
+    }
+    met, plausible = [], order_minhash.plausible
+    monkeypatch.setattr(
+        order_minhash, "plausible",
+        lambda *a: met.append(found := plausible(*a)) or found,
+    )
+    links = order_minhash._forest(side, side, 7, 0.8)
+    assert len(links) == 399 and set(united(range(400), links).values()) == {0}
+    assert sum(len(i) for i, *_ in met) < 400 * 400 / 10
+
+
+def test_marks_keep_every_wanted_id_and_few_others(spark, monkeypatch):
+    ids = spark.createDataFrame([(i * 7919 - 2**40,) for i in range(3000)], "id bigint")
+    others = spark.range(20_000).select(F.col("id") + 10**15)
+    for most in (1 << 27, 1 << 12):
+        monkeypatch.setattr(order_minhash, "MOST_MARKS", most)
+        many, bits = order_minhash.marked(ids, "id")
+
+        def share(df):
+            at = df.toDF("id").select(F.pmod(F.xxhash64("id"), F.lit(many)).alias("at")).toArrow()
+            return order_minhash.has_mark(bits, at["at"].to_numpy()).mean()
+
+        assert share(ids) == 1
+        assert share(others) < (0.1 if most > 1 << 20 else 0.7)
+    many, bits = order_minhash.marked(ids.limit(0), "id")
+    assert not order_minhash.has_mark(bits, np.arange(many)).any()
