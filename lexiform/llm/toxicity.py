@@ -42,7 +42,7 @@ SIGHTINGS = 5  # surroundings in which a word was seen when its ratio counts hal
 PAIR_SIGHTINGS = 200  # the same for a word pair
 RATIOS = ("mean_ratio", "peak_ratio", "window_ratio")
 THRESHOLD = 0.3
-PAIRS_IN_TASK = 1_000_000  # distinct pairs that a task holds before it emits them
+PAIRS_IN_TASK = 500_000  # distinct pairs that a task holds before it emits them
 PAIRS_AT_ONCE = 500_000  # pairs of the model that the driver works on at a time
 PARTS = 4  # parts of the corpus' pairs per shuffle partition
 WORD = re.compile(r"[^\W_]+")
