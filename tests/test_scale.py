@@ -49,3 +49,25 @@ def test_word_vectors_bound_the_tokens_of_a_part(spark, monkeypatch):
     trainer = Word2Vec(vectorSize=2, minCount=99, numPartitions=1, inputCol="tokens", outputCol="v")
     with pytest.raises(Exception):  # as the trainer itself
         pooling.train_in_parts(trainer, docs.select(tokenize_whitespace("text").alias("tokens")))
+
+
+def test_more_tokens_make_more_parts_than_eight(spark):
+    class Trainer:
+        numPartitions = "numPartitions"
+
+        def getInputCol(self):
+            return "tokens"
+
+        def getNumPartitions(self):
+            return pooling.TRAINING_PARTITIONS
+
+        def copy(self, extra):
+            self.parts = extra[self.numPartitions]
+            return self
+
+        def fit(self, rows):
+            return self
+
+    bags = spark.range(240).selectExpr("array_repeat('a', 100000) AS tokens")
+    assert pooling.train_in_parts(Trainer(), bags).parts == 12
+    assert pooling.train_in_parts(Trainer(), bags.limit(1)).parts == 8
